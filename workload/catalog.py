@@ -1,6 +1,6 @@
 """All queries, by importing the modules that register them."""
 
-from workload import decode_queries  # noqa: F401
+from workload import calendar_queries, decode_queries, statistics_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
