@@ -151,6 +151,11 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     )
 
 
+def ledger_id() -> Column:
+    """A stable 63-bit id of a revision: the plan needs no counter shared by all tasks."""
+    return F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in REVISION]), 1)
+
+
 def ledger_rows(manifests: DataFrame, files: DataFrame, local_only_cleanup: bool = False) -> DataFrame:
     """Ledger rows of finished revisions.
 
@@ -161,14 +166,12 @@ def ledger_rows(manifests: DataFrame, files: DataFrame, local_only_cleanup: bool
         F.sum("bytes").alias("data_bytes"), F.count(F.lit(1)).alias("_parts"),
         F.max("sha256").alias("_sha"), F.max("relative_path").alias("_name"),
     )
-    key = [F.col(c) for c in REVISION]
     directory = revision_directory(F.col("source_id"), F.col("stream_id"), F.col("archive_date"), F.col("revision"))
     published = F.lit(local_only_cleanup) & (F.size("required_destinations") == 0)
     return (
         manifests.join(sizes, list(REVISION), "left")
         .select(
-            # a stable 63-bit id: the plan needs no counter shared by all tasks
-            F.shiftrightunsigned(F.xxhash64(*key), 1).alias("compaction_id"),
+            ledger_id().alias("compaction_id"),
             *REVISION[:3], "format_version", "revision",
             F.when(published, F.lit("published")).otherwise(F.lit("ready")).alias("status"),
             directory.alias("directory"),

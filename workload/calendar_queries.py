@@ -183,7 +183,10 @@ def grid_coverage(b: Bindings):
     return G.missed_ticks(grid, snapped).select("source_id", "stream_id", text(F.col("scheduled_at")).alias("scheduled_at"))
 
 
-@query("stable_phase")
+@query("stable_phase", """
+SELECT source_id, stream_id, CAST((list_reduce(list_transform(string_split(source_id || '/' || stream_id, ''), lambda c: ascii(c)::UHUGEINT),
+  lambda h, c: (xor(h, c) * 1099511628211::UHUGEINT) % 18446744073709551616::UHUGEINT, 14695981039346656037::UHUGEINT)
+  % 30000000000) // 1000 AS BIGINT) AS phase_us FROM streams_v""")
 def stable_phase(b: Bindings):
     return G.with_phase(b.streams()).select("source_id", "stream_id", "phase_us")
 

@@ -1,6 +1,11 @@
 """All queries, by importing the modules that register them."""
 
-from workload import calendar_queries, decode_queries, statistics_queries  # noqa: F401
+from workload import (  # noqa: F401
+    calendar_queries,
+    decode_queries,
+    ledger_queries,
+    statistics_queries,
+)
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
