@@ -12,6 +12,7 @@ from transitlake.functions.urls import sanitize_url
 from transitlake.operators import statistics as S
 from transitlake.operators.ledger import REVISION
 from transitlake.operators.statistics import DAY
+from transitlake.schemas import ARTIFACT
 
 # --- fixed values: a local day has at most 25 hours, and a stream is polled at most
 # once a second, so a document lists at most this many inputs.
@@ -112,10 +113,11 @@ def manifest_documents(manifests: DataFrame, inputs: DataFrame, files: DataFrame
         .agg(F.array_sort(F.collect_list(entry)).alias("_inputs"))
         .select(*keys, F.transform("_inputs", lambda i: i.dropFields("scheduled_at")).alias("input_captures"))
     )
-    part = F.struct("part", "relative_path", "bytes", "sha256", "rows", "entities")
+    numbered = F.struct("part", F.struct(*ARTIFACT.names).alias("file"))
     file_lists = (
         files.join(listed, keys, "left_semi").groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(part)).alias("files"))
+        .agg(F.array_sort(F.collect_list(numbered)).alias("_files"))
+        .select(*keys, F.transform("_files", lambda f: f["file"]).alias("files"))
     )
     return manifests.join(input_lists, keys, "left").join(file_lists, keys, "left")
 

@@ -7,14 +7,16 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake import constants as K
 from transitlake.functions.paths import publish_error, publish_path
 from transitlake.functions.policy import next_attempt_at, retry_status
 from transitlake.functions.urls import sanitize_url
+from transitlake.operators import ledger as L
 from transitlake.operators.ledger import REVISION
+from transitlake.sources import revisions as R
 
 _CHUNK = 4 << 20
 COPY_RESULT = "source string, target string, expected string, actual string, bytes bigint, status string"
@@ -105,13 +107,13 @@ def copy_files(files: DataFrame, parallelism: int | None = None) -> DataFrame:
     return spread.mapInArrow(_copy_batches, COPY_RESULT)
 
 
-def published_files(work: DataFrame, files: DataFrame, on_disk: DataFrame) -> DataFrame:
-    """Copy list of the artifacts of due publications."""
-    sources = files.join(on_disk.select(*REVISION, "relative_path", F.col("path").alias("source")),
-                         [*REVISION, "relative_path"])
+def published_files(work: DataFrame, files: DataFrame, name: Column) -> DataFrame:
+    """Copy list of due publications. ``files``: revision, path and sha256 of each file;
+    ``name`` is what it is called at the destination."""
+    sources = files.select(*REVISION, F.col("path").alias("source"), name.alias("_name"), "sha256")
     due = work.filter(F.col("remote_path").isNotNull()).select("publication_id", *REVISION, "remote_path")
     return due.join(sources, list(REVISION)).select(
-        "publication_id", "source", F.concat_ws("/", "remote_path", "relative_path").alias("target"), "sha256")
+        "publication_id", "source", F.concat_ws("/", "remote_path", "_name").alias("target"), "sha256")
 
 
 def copy_outcomes(wanted: DataFrame, copied: DataFrame) -> DataFrame:
@@ -204,3 +206,32 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 
+
+
+def publish_due(spark: SparkSession, root: str, publications: DataFrame, compactions: DataFrame,
+                manifests: DataFrame, destinations: DataFrame, streams: DataFrame, now: Column,
+                jitter: Column) -> DataFrame:
+    """One round over the due publications; returns their change rows.
+
+    All artifacts are copied before any manifest, and a manifest follows only where
+    every artifact of its publication is verified. Copies are recorded in a table
+    before they are looked at, so nothing is copied twice.
+    """
+    work = with_publish_path(
+        L.publication_work(L.publication_queue(publications, now), destinations, compactions, manifests), streams)
+    work = R.materialize(work, root, "publications")
+    parts = R.scan_parts(spark, root).select(*REVISION, "relative_path", "path")
+    artifacts = R.scan_files(spark, root).join(parts, [*REVISION, "relative_path"])
+    wanted = R.materialize(published_files(work, artifacts, F.col("relative_path")), root, "artifacts")
+    copied = R.materialize(copy_files(wanted), root, "copied")
+    first = copy_outcomes(wanted, copied)
+
+    ready = work.join(first.filter(F.col("failed_with").isNotNull()), "publication_id", "left_anti")
+    documents = R.scan_documents(spark, root)
+    listed = R.materialize(published_files(ready, documents, F.lit("manifest.json")), root, "documents")
+    confirmed = R.materialize(copy_files(listed), root, "confirmed")
+    second = copy_outcomes(listed, confirmed)
+    outcomes = first.filter(F.col("failed_with").isNotNull()).unionByName(second)
+    unseen = work.filter(F.col("remote_path").isNotNull()).join(outcomes, "publication_id", "left_anti") \
+        .select("publication_id", F.lit("local_integrity").alias("failed_with"))
+    return R.materialize(attempt_outcomes(work, outcomes.unionByName(unseen), now, jitter), root, "attempts")

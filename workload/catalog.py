@@ -3,6 +3,7 @@
 from workload import (  # noqa: F401
     calendar_queries,
     decode_queries,
+    job_queries,
     ledger_queries,
     statistics_queries,
 )
