@@ -123,28 +123,31 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     R.write_nested(nested_plan(captures, bodies, days), root, options)
     R.write_flattened(flattened_plan(captures, bodies, days), root, options)
 
-    # The checks, the files and the stop totals all use the counts, which cost a
-    # second decode: keep them as a table, which also survives lost executors.
+    # The counts cost a second decode, and the accepted manifests decide what is
+    # published: both are kept as tables, which also survive lost executors.
     counts = R.materialize(expected_counts(captures, bodies, days), root, "counts")
-    nested = R.scan_written(spark, root, flattened=False).join(days.select(*REVISION), list(REVISION), "left_semi")
-    flat = R.scan_written(spark, root, flattened=True).join(days.select(*REVISION), list(REVISION), "left_semi")
+    nested = R.of_days(R.scan_written(spark, root, flattened=False), days)
+    flat = R.of_days(R.scan_written(spark, root, flattened=True), days)
     selected = captures.join(days.select(*REVISION), list(DAY))
-    violations = check_nested(nested, day_captures(captures, days, flattened=False)) \
-        .unionByName(check_flattened(flat, counts))
+    violations = R.materialize(
+        check_nested(nested, day_captures(captures, days, flattened=False))
+        .unionByName(check_flattened(flat, counts)), root, "violations")
 
     totals = counts.groupBy(*DAY).agg(F.sum("stop_time_updates").alias("stop_time_updates"))
     manifests = M.build_manifests(captures, ticks, streams, days, destinations, created_at,
                                   stop_totals=totals, **versions)
     refused = violations.select(*REVISION).distinct()
-    accepted = manifests.filter("urls_agree").drop("urls_agree").join(refused, list(REVISION), "left_anti")
+    accepted = R.materialize(
+        manifests.filter("urls_agree").drop("urls_agree").join(refused, list(REVISION), "left_anti"), root, "accepted")
     inputs = selected.select(*REVISION, "scheduled_at", F.col("capture_id").alias("id"),
                              F.col("body_sha256").alias("sha256"), F.col("decoded_length").alias("bytes"))
-    files = R.list_files(spark, root, nested, flat, selected, counts)
-    R.write_inputs(inputs.join(accepted.select(*REVISION), list(REVISION), "left_semi"), root)
-    R.write_files(files.join(accepted.select(*REVISION), list(REVISION), "left_semi"), root)
-    R.write_manifests(M.manifest_documents(accepted, inputs, files), root)
+    R.write_inputs(R.of_days(inputs, accepted), root)
+    files = R.list_files(spark, root, accepted, nested, flat, selected, counts)
+    R.write_files(R.of_days(files, accepted), root)
+    listed_inputs, listed_files = (R.of_days(t, accepted) for t in (R.scan_inputs(spark, root), R.scan_files(spark, root)))
+    R.write_manifests(M.manifest_documents(accepted, listed_inputs, listed_files), root)
 
-    written = R.scan_manifests(spark, root).join(days.select(*REVISION), list(REVISION), "left_semi")
+    written = R.of_days(R.scan_manifests(spark, root), days)
     return CompactionResult(
         manifests=written, inputs=R.scan_inputs(spark, root), files=R.scan_files(spark, root),
         violations=violations, compactions=ledger_rows(written, R.scan_files(spark, root), local_only_cleanup),

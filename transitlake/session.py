@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.openCostInBytes": str(1 << 20),
+    # partition values stay text: hour 09 must not become 9, nor a source 007 become 7
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from transitlake.schemas import CAPTURE
 
-# Partition values stay text, or hour 09 would become 9.
 BODY_FILE = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -39,22 +38,12 @@ def _with_partitions(files: DataFrame) -> DataFrame:
 
 
 def scan_bodies(spark: SparkSession, root: str) -> DataFrame:
-    """All raw bodies. Listing prunes with ``pathGlobFilter``; a filter on the
-    partition columns prunes directories when the directories are given in ``root``."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.pb")
-        .option("recursiveFileLookup", "true").load(f"{root}/raw")
-    )
-    return _with_partitions(files)
-
-
-def scan_day_bodies(spark: SparkSession, root: str, source: str, stream: str, date: str) -> DataFrame:
-    """The bodies of one stream-day: only its directory is listed and read."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.pb")
-        .option("recursiveFileLookup", "true").load(f"{root}/raw/source={source}/stream={stream}/date={date}")
-    )
-    return _with_partitions(files)
+    """All raw bodies with their partition columns, as text. A filter on source,
+    stream, date or hour prunes directories before any file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb").load(f"{root}/raw")
+    return files.select(
+        "source", "stream", "date", "hour", relative_path(F.col("path")).alias("raw_path"),
+        F.col("length").alias("body_bytes"), F.col("content").alias("body"))
 
 
 def list_bodies(spark: SparkSession, root: str) -> DataFrame:

@@ -118,10 +118,10 @@ def _compacted(b: Bindings):
     ticks = reconcile.ticks_of(captures).withColumn("archive_date", F.substring("scheduled_at", 1, 10)) \
         .drop("archive_date").join(captures.select("tick_id", "archive_date"), "tick_id")
     streams = captures.groupBy("source_id", "stream_id", "expected_kind", "timezone").agg(
-        F.concat(F.lit("https://example.test/"), F.first("stream_id")).alias("url")).withColumns({
+        F.concat(F.lit("https://example.test/"), F.first("source_id"), F.lit("/"), F.first("stream_id")).alias("url")).withColumns({
             "registry_id": F.lit(""), "license_url": F.lit(""), "attribution": F.lit("")})
     # pages of one day have different URLs: publish them under their stream's
-    same = captures.withColumn("sanitized_url", F.concat(F.lit("https://example.test/"), "stream_id"))
+    same = captures.withColumn("sanitized_url", F.concat(F.lit("https://example.test/"), "source_id", F.lit("/"), "stream_id"))
     result = compact.compact_days(b.spark, root, same, ticks, bodies, streams, days, b.destinations(), now())
     return root, same, bodies, days, streams, result
 
