@@ -6,6 +6,7 @@ from workload import (  # noqa: F401
     job_queries,
     ledger_queries,
     statistics_queries,
+    streaming_queries,
 )
 from workload.registry import ORACLES, QUERIES
 
