@@ -37,7 +37,9 @@ def stable_json(headers: Column) -> Column:
 
 def is_protobuf_content_type(content_type: Column) -> Column:
     media_type = F.lower(F.trim(F.split_part(content_type, F.lit(";"), F.lit(1))))
-    known = content_type.rlike(_MEDIA_TYPE) & media_type.isin(*K.PROTOBUF_MEDIA_TYPES)
+    # a bare known type needs no look at parameters
+    known = content_type.isin(*K.PROTOBUF_MEDIA_TYPES) | (
+        media_type.isin(*K.PROTOBUF_MEDIA_TYPES) & content_type.rlike(_MEDIA_TYPE))
     return F.coalesce(known, F.lit(False))
 
 

@@ -64,20 +64,17 @@ def header_metadata(decoded: DataFrame) -> DataFrame:
 def timestamp_flags(feed_timestamp: Column, observed_at: Column) -> list[Column]:
     """Future and stale flags of an unsigned header timestamp.
 
-    The comparison is made on decimals: the largest unsigned value cannot be cast to
-    a timestamp. Seconds past the range of signed clocks wrap to the distant past.
+    Seconds whose microseconds fit a long are compared as longs. Larger ones cannot be
+    cast to a timestamp: they lie in the future, up to where the seconds of a signed
+    clock wrap around to the distant past.
     """
-    wrap_at = F.lit(str(2**63 - K.UNIX_TO_YEAR_ONE_S)).cast("decimal(20,0)")
-    two_64 = F.lit(str(K.TWO_64)).cast("decimal(20,0)")
-    seconds = F.when(feed_timestamp >= wrap_at, feed_timestamp - two_64).otherwise(feed_timestamp)
-    feed_us = seconds.cast("decimal(21,0)") * F.lit(1000000).cast("decimal(7,0)")
-    observed_us = F.unix_micros(observed_at).cast("decimal(21,0)")
-    future = F.lit(K.FUTURE_TOLERANCE_S * 1000000).cast("decimal(15,0)")
-    stale = F.lit(K.STALE_AFTER_S * 1000000).cast("decimal(15,0)")
-    return [
-        F.when(feed_us > observed_us + future, F.lit("feed_timestamp_future")),
-        F.when(feed_us < observed_us - stale, F.lit("feed_timestamp_stale")),
-    ]
+    fits = feed_timestamp < F.lit(9_000_000_000_000).cast("decimal(20,0)")
+    wraps = feed_timestamp >= F.lit(str(2**63 - K.UNIX_TO_YEAR_ONE_S)).cast("decimal(20,0)")
+    feed_us = F.when(fits, feed_timestamp).cast("bigint") * 1000000
+    observed_us = F.unix_micros(observed_at)
+    future = F.when(fits, feed_us > observed_us + K.FUTURE_TOLERANCE_S * 1000000).otherwise(~wraps)
+    stale = F.when(fits, feed_us < observed_us - K.STALE_AFTER_S * 1000000).otherwise(wraps)
+    return [F.when(future, F.lit("feed_timestamp_future")), F.when(stale, F.lit("feed_timestamp_stale"))]
 
 
 def validation_flags(df: DataFrame, observed_at: str = "completed_at",

@@ -49,17 +49,6 @@ def long_counts(df: DataFrame, value: str, keys: tuple[str, ...] = DAY, name: st
     )
 
 
-def as_map(counts: DataFrame, value: str, column: str, keys: tuple[str, ...] = DAY,
-           name: str = "n") -> DataFrame:
-    """Long counts folded to one map per key, in key order.
-
-    The map has one entry per status, flag or failure category: a closed vocabulary
-    of about a dozen words, not a value that grows with the data.
-    """
-    entries = F.array_sort(F.collect_list(F.struct(F.col(value).alias("key"), F.col(name).alias("value"))))
-    return counts.groupBy(*keys).agg(F.map_from_entries(entries).alias(column))
-
-
 def failure_category_counts(ticks: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame:
     return long_counts(ticks, "error_category", keys)
 
@@ -101,6 +90,73 @@ def capture_stats(captures: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame
     return captures.groupBy(*keys).agg(*capture_counters())
 
 
+def _summed(entries: Column, keys: Column, belongs) -> Column:
+    """A map from each key to the summed counts of the entries it belongs to."""
+    def total(k: Column) -> Column:
+        mine = F.filter(entries, lambda e: belongs(e, k))
+        return F.aggregate(mine, F.lit(0).cast("bigint"), lambda acc, e: acc + e["n"])
+
+    return F.map_from_entries(F.transform(F.array_sort(F.array_distinct(keys)), lambda k: F.struct(k, total(k))))
+
+
+def tick_facts(ticks: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame:
+    """All tick statistics in one pass: rows are first combined per outcome, of which
+    there are a dozen, and those are folded to one row and one map per key."""
+    category = F.coalesce("error_category", F.lit("")).alias("error_category")
+    outcomes = ticks.groupBy(*keys, "result", category).agg(F.count(F.lit(1)).alias("n"))
+    entries = F.collect_list(F.struct("error_category", "n")).alias("_entries")
+    n, name = F.col("n"), F.col("error_category")
+
+    def total(test: Column) -> Column:
+        return F.sum(F.when(test, n).otherwise(0))
+
+    folded = outcomes.groupBy(*keys).agg(
+        F.sum(n).alias("scheduled_ticks"),
+        total(F.col("result") == "skipped").alias("skipped_ticks"),
+        total(name == "http_status").alias("http_failures"),
+        total(name.isin(*K.NETWORK_CATEGORIES)).alias("network_failures"),
+        entries,
+    )
+    failed = F.filter("_entries", lambda e: e["error_category"] != "")
+    counts = _summed(failed, F.transform(failed, lambda e: e["error_category"]), lambda e, k: e["error_category"] == k)
+    return folded.withColumn("failure_category_counts", counts).drop("_entries")
+
+
+def capture_facts(captures: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame:
+    """All order-free capture statistics in one pass.
+
+    Rows are first combined per (status, completeness, flags). Both vocabularies are
+    closed and small, so what is left of a day, however large, is a handful of rows.
+    """
+    valid = valid_column()
+    ordered = F.struct("scheduled_at", "capture_id", "completed_at")
+    shapes = captures.groupBy(*keys, "parse_status", "transport_complete", "validation_flags").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("entity_count").alias("_entities"),
+        F.min("feed_timestamp").alias("_low"), F.max("feed_timestamp").alias("_high"),
+        F.min(ordered).alias("_first"), F.max(ordered).alias("_last"),
+        F.min("sanitized_url").alias("_url"), F.max("sanitized_url").alias("_other_url"),
+    )
+    n = F.col("n")
+    folded = shapes.groupBy(*keys).agg(
+        F.sum(n).alias("captured_responses"),
+        F.sum(F.when(valid, n).otherwise(0)).alias("valid_snapshots"),
+        F.sum(F.when(valid, 0).otherwise(n)).alias("invalid_payloads"),
+        F.coalesce(F.sum("_entities"), F.lit(0)).cast("bigint").alias("entity_total"),
+        F.min(F.when(valid, F.col("_low"))).alias("earliest_feed_timestamp"),
+        F.max(F.when(valid, F.col("_high"))).alias("latest_feed_timestamp"),
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+        F.min("_url").alias("captured_url"), (F.min("_url") == F.max("_other_url")).alias("urls_agree"),
+        F.collect_list(F.struct("parse_status", "validation_flags", "n")).alias("_shapes"),
+    )
+    statuses = F.transform("_shapes", lambda e: e["parse_status"])
+    flags = F.flatten(F.transform("_shapes", lambda e: e["validation_flags"]))
+    return folded.withColumns({
+        "earliest_capture": F.col("_first.completed_at"), "latest_capture": F.col("_last.completed_at"),
+        "parse_status_counts": _summed(F.col("_shapes"), statuses, lambda e, k: e["parse_status"] == k),
+        "validation_flag_counts": _summed(F.col("_shapes"), flags, lambda e, k: F.array_contains(e["validation_flags"], k)),
+    }).drop("_first", "_last", "_shapes")
+
+
 SLICE_SECONDS = 900
 
 

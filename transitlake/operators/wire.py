@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress
+from operator import attrgetter, methodcaller
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,9 @@ from transitlake.schemas import MESSAGES, SCALAR_TYPES
 # Bodies decoded into one output batch: the decoded tree is several times larger.
 BATCH_BODY_BYTES = 4 << 20
 
-_SCALARS = {
-    "string": pa.binary(), "bool": pa.bool_(), "int32": pa.int32(), "int64": pa.int64(),
-    "uint32": pa.int64(), "uint64": pa.uint64(), "float": pa.float32(), "double": pa.float64(),
+_NUMBERS = {
+    "bool": np.bool_, "int32": np.int32, "int64": np.int64, "uint32": np.int64, "uint64": np.uint64,
+    "float": np.float32, "double": np.float64,
 }
 
 
@@ -53,38 +54,66 @@ def message_class(name: str = "FeedMessage"):
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"feed.{name}"))
 
 
-def _scalar_array(kind: str, values: list) -> pa.Array:
-    array = pa.array(values, _SCALARS[kind])
+def _scalar_array(name: str, kind: str, messages: list) -> pa.Array:
+    """One scalar field of all messages, NULL where it was not published.
+
+    A value other than zero was published for certain, so presence is asked for only
+    where zero or an empty text was read.
+    """
+    values = list(map(attrgetter(name), messages))
+    if kind == "string":
+        present = np.fromiter(map(len, values), np.int64, len(values)) > 0
+    else:
+        numbers = np.fromiter(values, _NUMBERS[kind], len(values))
+        present = numbers != 0
+    if not present.all():
+        unsure = np.flatnonzero(~present)
+        asked = map(methodcaller("HasField", name), map(messages.__getitem__, unsure.tolist()))
+        present[unsure] = np.fromiter(asked, np.bool_, len(unsure))
     if kind == "string":
-        return array.view(pa.string())  # the published bytes, not re-encoded
-    if kind == "uint64":
-        return array.cast(pa.decimal128(20, 0))
-    return array
+        # the published bytes, not re-encoded
+        return pa.array(values, pa.binary(), mask=~present).view(pa.string())
+    array = pa.array(numbers, mask=~present)
+    return array.cast(pa.decimal128(20, 0)) if kind == "uint64" else array
+
+
+def _spread(dense: pa.Array, present: np.ndarray) -> pa.Array:
+    """Put the rows of ``dense`` where ``present`` is set, and NULL elsewhere."""
+    if present.all():
+        return dense
+    places = np.cumsum(present) - 1
+    return dense.take(pa.array(places, pa.int64(), mask=~present))
 
 
 def struct_array(message: str, wanted: T.StructType, values: list) -> pa.StructArray:
-    """Column by column projection of messages (None where absent) onto ``wanted``."""
+    """Column by column projection of messages onto ``wanted``; one field of all
+    messages is read by one mapped call."""
     kinds = {field: (kind, label) for field, _, kind, label in MESSAGES[message]}
     children, names = [], []
     for field in wanted.fields:
         name = field.name
         kind, label = kinds[name]
         if label == "rep":
-            lists = [() if v is None else getattr(v, name) for v in values]
+            lists = list(map(attrgetter(name), values))
             offsets = np.zeros(len(lists) + 1, np.int32)
-            np.cumsum([len(x) for x in lists], out=offsets[1:])
+            np.cumsum(np.fromiter(map(len, lists), np.int32, len(lists)), out=offsets[1:])
             items = struct_array(kind, field.dataType.elementType, list(chain.from_iterable(lists)))
             child = pa.ListArray.from_arrays(pa.array(offsets), items)
+        elif kind in SCALAR_TYPES:
+            child = _scalar_array(name, kind, values)
         else:
-            present = [getattr(v, name) if v is not None and v.HasField(name) else None for v in values]
-            if kind in SCALAR_TYPES:
-                child = _scalar_array(kind, present)
-            else:
-                child = struct_array(kind, field.dataType, present)
+            present = np.fromiter(map(methodcaller("HasField", name), values), np.bool_, len(values))
+            held = map(attrgetter(name), compress(values, present))
+            child = _spread(struct_array(kind, field.dataType, list(held)), present)
         children.append(child)
         names.append(name)
-    absent = pa.array([v is None for v in values], pa.bool_())
-    return pa.StructArray.from_arrays(children, names=names, mask=absent)
+    return pa.StructArray.from_arrays(children, names=names)
+
+
+def message_array(wanted: T.StructType, messages: list) -> pa.StructArray:
+    """Feed messages as structs, NULL where a body could not be read."""
+    present = np.fromiter((m is not None for m in messages), np.bool_, len(messages))
+    return _spread(struct_array("FeedMessage", wanted, list(compress(messages, present))), present)
 
 
 def _parse(body: bytes | None):
@@ -128,7 +157,7 @@ def decoder(body_column: str, wanted: T.StructType, keep_body: bool):
                 }
                 columns["decode_status"] = pa.array([p[0] for p in parsed], pa.string())
                 columns["decode_error"] = pa.array([p[1] for p in parsed], pa.string())
-                columns["message"] = struct_array("FeedMessage", wanted, [p[2] for p in parsed])
+                columns["message"] = message_array(wanted, [p[2] for p in parsed])
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run

@@ -26,24 +26,20 @@ _ZERO_CAPTURES = ("captured_responses", "valid_snapshots", "invalid_payloads", "
 def day_facts(captures: DataFrame, ticks: DataFrame, streams: DataFrame) -> DataFrame:
     """All statistics of every stream-day that has ticks or captures.
 
-    Every part is grouped by the same key, so the joins reuse its partitioning.
-    ``ticks`` carry ``archive_date`` (see :func:`with_local_day`).
+    Ticks are read once, captures twice: once combined, once for the gaps. All parts
+    are grouped by the same key, so the joins reuse their partitioning. ``ticks``
+    carry ``archive_date`` (see :func:`with_local_day`).
     """
     day = list(DAY)
     empty = F.create_map().cast("map<string,bigint>")
     facts = (
-        S.day_stats(ticks)
-        .join(S.capture_stats(captures), day, "full_outer")
+        S.tick_facts(ticks)
+        .join(S.capture_facts(captures), day, "full_outer")
         .join(S.largest_fetch_gap(captures), day, "left")
-        .join(S.url_agreement(captures), day, "left")
-        .join(S.as_map(S.failure_category_counts(ticks), "error_category", "failure_category_counts"), day, "left")
-        .join(S.as_map(S.parse_status_counts(captures), "parse_status", "parse_status_counts"), day, "left")
-        .join(S.as_map(S.validation_flag_counts(captures), "flag", "validation_flag_counts"), day, "left")
     )
-    for name in (*_ZERO_TICKS, *_ZERO_CAPTURES):
-        facts = facts.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
-    for name in ("failure_category_counts", "parse_status_counts", "validation_flag_counts"):
-        facts = facts.withColumn(name, F.coalesce(name, empty))
+    zeros = {n: F.coalesce(n, F.lit(0).cast("bigint")) for n in (*_ZERO_TICKS, *_ZERO_CAPTURES)}
+    maps = {n: F.coalesce(n, empty) for n in ("failure_category_counts", "parse_status_counts", "validation_flag_counts")}
+    facts = facts.withColumns({**zeros, **maps})
     dimension = streams.select("source_id", "stream_id", "expected_kind", "timezone", "registry_id",
                                "license_url", "attribution", F.col("url").alias("_url"))
     return facts.join(dimension, ["source_id", "stream_id"])
@@ -125,22 +121,10 @@ def manifest_documents(manifests: DataFrame, inputs: DataFrame, files: DataFrame
 def daily_summaries(captures: DataFrame, ticks: DataFrame, days: DataFrame, summarized_at: Column) -> DataFrame:
     """What remains of a stream-day once its detail is dropped."""
     day = list(DAY)
-    captured = captures.groupBy(*DAY).agg(
-        F.count(F.lit(1)).alias("captured_responses"), F.count_if(S.valid_column()).alias("valid_snapshots")
-    )
-    statuses = S.as_map(S.parse_status_counts(captures), "parse_status", "parse_status_counts")
-    joined = (
-        days.select(*DAY)
-        .join(S.day_stats(ticks), day, "left")
-        .join(captured, day, "left")
-        .join(statuses, day, "left")
-    )
-    for name in (*_ZERO_TICKS, "captured_responses", "valid_snapshots"):
-        joined = joined.withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+    zero, empty = F.lit(0).cast("bigint"), F.create_map().cast("map<string,bigint>")
+    joined = days.select(*DAY).join(S.tick_facts(ticks), day, "left").join(S.capture_facts(captures), day, "left")
     return joined.select(
-        *DAY, *_ZERO_TICKS[:2], "captured_responses", "valid_snapshots",
-        (F.col("captured_responses") - F.col("valid_snapshots")).alias("invalid_payloads"),
-        *_ZERO_TICKS[2:],
-        F.coalesce("parse_status_counts", F.create_map().cast("map<string,bigint>")).alias("parse_status_counts"),
+        *DAY, *[F.coalesce(n, zero).alias(n) for n in (*_ZERO_TICKS, "captured_responses", "valid_snapshots", "invalid_payloads")],
+        F.coalesce("parse_status_counts", empty).alias("parse_status_counts"),
         summarized_at.alias("summarized_at"),
     )

@@ -21,13 +21,16 @@ SESSION_CONF = {
     "spark.sql.files.openCostInBytes": str(1 << 20),
     # partition values stay text: hour 09 must not become 9, nor a source 007 become 7
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # no stack trace per column expression: plans here have thousands of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library relies on to an existing session."""
     for key, value in SESSION_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 

@@ -7,6 +7,8 @@ trip updates with stop times, and ``pages`` are captured bodies with a URL.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,15 +45,31 @@ def pick(column: Column, table: dict) -> Column:
     return chain
 
 
+def once(method):
+    """Build a table's plan once per instance; no data is kept."""
+
+    @wraps(method)
+    def build(self, *args):
+        key = (method.__name__, *args)
+        if key not in self.plans:
+            self.plans[key] = method(self, *args)
+        return self.plans[key]
+
+    return build
+
+
 class Bindings:
     """Lazily derived tables of one data directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.dir = configure(spark), sf_dir
+        self.plans: dict[tuple, DataFrame] = {}
 
+    @once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    @once
     def events(self) -> DataFrame:
         raw = self.table("events")
         return raw.withColumns({
@@ -61,6 +79,7 @@ class Bindings:
             "m": F.col("event_id") % 20,
         })
 
+    @once
     def streams(self) -> DataFrame:
         pairs = self.events().select("source_id", "stream_id").distinct()
         source = F.col("source_id")
@@ -82,6 +101,7 @@ class Bindings:
         return (F.when(m == 5, "protobuf_decode")
                 .when((m == 6) & (event % 3 == 0), "protobuf_required_field").otherwise("valid"))
 
+    @once
     def ticks(self) -> DataFrame:
         """All polls with their local day."""
         event, m = F.col("event_id"), F.col("m")
@@ -101,6 +121,7 @@ class Bindings:
         )
         return with_local_day(ticks, self.streams())
 
+    @once
     def captures(self) -> DataFrame:
         """Kept responses, with every column of the capture schema, and ``event_id``."""
         event, c = F.col("event_id"), F.col
@@ -163,6 +184,7 @@ class Bindings:
     def _dayed(self, df: DataFrame) -> DataFrame:
         return df.withColumn("_d", F.to_date("archive_date")).withColumn("_dom", F.dayofmonth("_d"))
 
+    @once
     def revisions(self) -> DataFrame:
         """The revision numbers of each stream-day: none, one or two."""
         days = self._dayed(self.ticks().select(*DAY).distinct())
@@ -177,12 +199,14 @@ class Bindings:
     def _in_revision(self) -> Column:
         return (F.col("event_id") % 10 != 9) | ((F.col("revision") == 2) & (F.col("_dom") % 8 == 0))
 
+    @once
     def inputs_wide(self) -> DataFrame:
         return self.captures().join(self.revisions(), list(DAY)).filter(self._in_revision())
 
     def inputs(self) -> DataFrame:
         return self.inputs_wide().select("compaction_id", "capture_id")
 
+    @once
     def compactions(self) -> DataFrame:
         totals = self.inputs_wide().groupBy("compaction_id").agg(
             F.count(F.lit(1)).alias("rows"), F.sum("entity_count").cast("bigint").alias("entities"))
@@ -203,11 +227,13 @@ class Bindings:
             F.when(F.col("_dom") % 3 != 0, base + F.expr("INTERVAL 2 DAYS")).alias("published_at"),
         )
 
+    @once
     def destinations(self) -> DataFrame:
         """Configuration: the destinations named by the publications, with their address."""
         ids = self.publications().select(F.col("destination_id").alias("id"), "required").distinct()
         return ids.withColumn("remote", F.concat(F.lit("lake/"), "id", F.lit("/")))
 
+    @once
     def publications(self) -> DataFrame:
         c = F.col
         targets = F.array(F.struct(F.lit("primary").alias("id"), F.lit(True).alias("required"), F.lit(0).alias("n")),
@@ -225,9 +251,11 @@ class Bindings:
             F.lit(None).cast("timestamp").alias("completed_at"),
         )
 
+    @once
     def summaries(self) -> DataFrame:
         return self._dayed(self.ticks().select(*DAY).distinct()).filter("_dom <= 2").select(*DAY)
 
+    @once
     def manifests(self) -> DataFrame:
         """Documents found on disk: those of the ledger, and some it has never seen."""
         known = self.compactions().select(*REVISION, F.col("rows").alias("captured_responses"),
@@ -242,6 +270,7 @@ class Bindings:
             .otherwise(F.col("expected_kind")),
         }).drop("url")
 
+    @once
     def manifest_inputs(self) -> DataFrame:
         event = F.col("event_id")
         return self.inputs_wide().select(
@@ -252,6 +281,7 @@ class Bindings:
         )
 
     # --- pages as bodies -----------------------------------------------------
+    @once
     def landing(self) -> DataFrame:
         """Each page is a body with its capture document; most are no protobuf at all."""
         page, c = F.col("page_id"), F.col
