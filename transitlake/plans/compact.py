@@ -120,14 +120,17 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     manifest: readers never see its files, and other days are not held up.
     """
     options = options or R.WriterOptions()
+    old = R.materialize(R.leftovers(spark, root, days), root, "leftovers")
     R.write_nested(nested_plan(captures, bodies, days), root, options)
     R.write_flattened(flattened_plan(captures, bodies, days), root, options)
 
     # The counts cost a second decode, and the accepted manifests decide what is
     # published: both are kept as tables, which also survive lost executors.
     counts = R.materialize(expected_counts(captures, bodies, days), root, "counts")
-    nested = R.of_days(R.scan_written(spark, root, flattened=False), days)
-    flat = R.of_days(R.scan_written(spark, root, flattened=True), days)
+    nested, flat = (
+        R.of_days(R.scan_written(spark, root, flattened), days).join(old, "file_name", "left_anti")
+        for flattened in (False, True)
+    )
     selected = captures.join(days.select(*REVISION), list(DAY))
     violations = R.materialize(
         check_nested(nested, day_captures(captures, days, flattened=False))
@@ -180,7 +183,7 @@ def ledger_rows(manifests: DataFrame, files: DataFrame, local_only_cleanup: bool
             directory.alias("directory"),
             F.when(F.col("_parts") == 1, F.concat(directory, F.lit("/"), F.col("_name")))
             .otherwise(F.when(F.col("_parts") > 1, directory).otherwise(F.lit(""))).alias("data_path"),
-            directory.alias("manifest_path"),
+            F.replace(directory, F.lit("parquet/"), F.lit("manifests/")).alias("manifest_path"),
             F.when(F.col("_parts") == 1, F.col("_sha")).otherwise(F.lit("")).alias("data_sha256"),
             F.coalesce("data_bytes", F.lit(0)).cast("bigint").alias("data_bytes"),
             F.col("captured_responses").alias("rows"), F.col("entity_total").alias("entities"),
