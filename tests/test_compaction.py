@@ -124,6 +124,17 @@ def test_content_check_sees_a_wrong_body(compacted):
     assert compact.check_flattened(written, missing).count() == 3
 
 
+def test_empty_body_needs_no_file(spark, tmp_path):
+    root = str(tmp_path)
+    captures = R.materialize(lake.captures_with_bodies(spark, [b"", body(feed())], kind="alert", stream="alerts"), root, "c")
+    chosen = lake.days(spark, ("demo", "alerts", "2026-08-12", 1))
+    listed = captures.filter("decoded_length > 0").select("raw_path", "body")
+    rows = compact.nested_plan(captures.drop("body"), listed, chosen).orderBy("scheduled_at").collect()
+    assert [(r["parse_status"], r["entity_count"], len(r["feed_message_pb"]) > 0) for r in rows] == [
+        ("empty_body", None, False), ("valid", 0, True)]
+    assert rows[0]["header"] is None and rows[0]["entities"] == []
+
+
 def test_disagreeing_urls_are_refused(spark, compacted, tmp_path):
     moved = compacted["captures"].withColumn("sanitized_url", F.concat("sanitized_url", F.lit("/"), "capture_id"))
     result = compact.compact_days(spark, str(tmp_path), moved, compacted["ticks"], compacted["bodies"], compacted["streams"],

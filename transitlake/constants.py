@@ -42,6 +42,7 @@ ID_PATTERN = r"^[a-z0-9][a-z0-9_-]{0,62}$"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 SEGMENT_PATTERN = r"^[A-Za-z0-9_.=-]+$"
 SHA256_PATTERN = r"^[a-fA-F0-9]{64}$"
+EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 RETAINED_PREFIX = "@retained/"
 
 # --- fixed values: defaults ---------------------------------------------------

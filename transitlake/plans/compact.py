@@ -35,9 +35,13 @@ def day_captures(captures: DataFrame, days: DataFrame, flattened: bool) -> DataF
     return captures.filter(layout).join(days.select(*REVISION), list(DAY))
 
 
-def with_bodies(captures: DataFrame, bodies: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on the body's path. ``bodies``: raw_path, body."""
-    return captures.join(bodies.select("raw_path", "body"), "raw_path", how)
+def with_bodies(captures: DataFrame, bodies: DataFrame, keep_missing: bool = False) -> DataFrame:
+    """Join on the body's path. ``bodies``: raw_path, body. A capture that recorded no
+    byte has an empty body, which file scans do not show."""
+    empty = F.when(F.col("decoded_length") == 0, F.lit(b""))
+    joined = captures.join(bodies.select("raw_path", F.col("body").alias("_body")), "raw_path", "left") \
+        .withColumn("body", F.coalesce("_body", empty)).drop("_body")
+    return joined if keep_missing else joined.filter(F.col("body").isNotNull())
 
 
 def _by_day(df: DataFrame) -> DataFrame:
@@ -59,7 +63,7 @@ def flattened_plan(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> D
 
 def expected_counts(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> DataFrame:
     """What each flattened capture must contribute, from a second read of its body."""
-    rows = with_bodies(day_captures(captures, days, flattened=True), bodies, "left")
+    rows = with_bodies(day_captures(captures, days, flattened=True), bodies, keep_missing=True)
     slim = rows.select(*REVISION, "capture_id", "entity_count", "body_sha256", "body") \
         .withColumn("hash_matches", F.coalesce(body_sha256(F.col("body")) == F.col("body_sha256"), F.lit(False)))
     decoded = decode_bodies(slim, wanted=TRIP_UPDATE_MESSAGE, keep_body=False)

@@ -46,6 +46,16 @@ def scan_bodies(spark: SparkSession, root: str) -> DataFrame:
         F.col("length").alias("body_bytes"), F.col("content").alias("body"))
 
 
+def empty_bodies(sidecars: DataFrame) -> DataFrame:
+    """The empty bodies, from their documents: Spark's file scans pass over files of
+    zero bytes, so these come from the captures that recorded no byte. Works on a
+    stream of sidecars as well."""
+    return sidecars.filter(F.col("decoded_length") == 0).select(
+        F.col("source_id").alias("source"), F.col("stream_id").alias("stream"), F.col("archive_date").alias("date"),
+        F.regexp_extract("raw_path", _HOUR, 1).alias("hour"), "raw_path",
+        F.lit(0).cast("bigint").alias("body_bytes"), F.lit(b"").alias("body"))
+
+
 def list_bodies(spark: SparkSession, root: str) -> DataFrame:
     """Paths and sizes only; the content column is pruned, so no body is read."""
     return scan_bodies(spark, root).drop("body")
@@ -65,7 +75,7 @@ def scan_sidecars(spark: SparkSession, root: str) -> DataFrame:
     return documents.select(
         *CAPTURE.names,
         relative_path(F.col("_metadata.file_path")).alias("found_path"),
-        F.col("_corrupt_record").isNotNull().alias("corrupt"),
+        (F.col("_corrupt_record").isNotNull() | F.col("capture_id").isNull()).alias("corrupt"),
     )
 
 

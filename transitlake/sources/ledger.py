@@ -22,6 +22,9 @@ KEYS: dict[str, tuple[str, ...]] = {
     "audit": (),
     "daily_summaries": ("source_id", "stream_id", "archive_date"),
 }
+# Tables of captures and revisions lie in one directory per archive date, so that work
+# on a few days reads those days only.
+PARTITIONED = {"captures": ["archive_date"], "compactions": ["archive_date"], "daily_summaries": ["archive_date"]}
 _CHANGE = [T.StructField("change_seq", T.LongType()), T.StructField("removed", T.BooleanType())]
 
 
@@ -34,28 +37,41 @@ class Ledger:
     def path(self, table: str) -> str:
         return f"{self.root}/ledger/{table}"
 
-    def changes(self, table: str) -> DataFrame:
+    def changes(self, table: str, days: DataFrame | None = None) -> DataFrame:
+        """All change rows, or those of the archive dates in ``days``."""
         schema = T.StructType([*LEDGER[table].fields, *_CHANGE])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        rows = self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
+        if days is None:
+            return rows
+        # the comparison makes the list selective in the optimizer's eyes: it prunes directories
+        dates = days.select("archive_date").filter("archive_date > ''").distinct()
+        return rows.join(dates, "archive_date", "left_semi").select(*schema.names)
 
     def append(self, table: str, rows: DataFrame, seq: int | Column, removed: bool = False) -> None:
         """Append change rows under one sequence number, given by the single writer."""
         fields = LEDGER[table].fields
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
         number = F.lit(seq) if isinstance(seq, int) else seq
-        (rows.select(*columns, number.cast("bigint").alias("change_seq"), F.lit(removed).alias("removed"))
-         .write.mode("append").parquet(self.path(table)))
+        changed = rows.select(*columns, number.cast("bigint").alias("change_seq"), F.lit(removed).alias("removed"))
+        self._write(table, changed)
+
+    def _write(self, table: str, changed: DataFrame) -> None:
+        partitions = PARTITIONED.get(table, [])
+        if partitions:
+            # one task per directory, or more where a directory's share is large
+            changed = changed.hint("rebalance", *[F.col(c) for c in partitions])
+        changed.write.mode("append").partitionBy(*partitions).parquet(self.path(table))
 
     def create(self) -> Ledger:
         """Make every table exist, empty."""
         for table, schema in LEDGER.items():
             empty = self.spark.createDataFrame([], T.StructType([*schema.fields, *_CHANGE]))
-            empty.write.mode("append").parquet(self.path(table))
+            empty.write.mode("append").parquet(self.path(table))  # no row, so no directory of a date
         return self
 
-    def current(self, table: str) -> DataFrame:
+    def current(self, table: str, days: DataFrame | None = None) -> DataFrame:
         """The present state: a tick keeps its identity, other rows their last change."""
-        changes, keys = self.changes(table), KEYS[table]
+        changes, keys = self.changes(table, days), KEYS[table]
         names = LEDGER[table].names
         if not keys:
             return changes.select(*names)

@@ -23,13 +23,15 @@ def first_seen(captures: DataFrame, horizon: str = "1 hour") -> DataFrame:
 def register(ledger: Ledger, batch: DataFrame, batch_id: int) -> DataFrame:
     """Append the captures the ledger does not know; returns the rows of this batch.
 
-    The rows carry the batch id as change number, so a batch that is run again after
-    a failure finds its own rows and adds none.
+    Only the days of the batch are looked at. The rows carry the batch id as change
+    number, so a batch that is run again after a failure finds its own rows and adds
+    none.
     """
-    known = ledger.changes("captures").select("capture_id")
+    known = ledger.changes("captures", batch).select("capture_id")
     fresh = batch.dropDuplicates(["capture_id"]).join(known, "capture_id", "left_anti").select(*CAPTURE.names)
     ledger.append("captures", fresh, batch_id)
-    return ledger.changes("captures").filter(F.col("change_seq") == batch_id).select(*CAPTURE.names)
+    mine = ledger.changes("captures", batch).filter(F.col("change_seq") == batch_id)
+    return mine.select(*CAPTURE.names)
 
 
 def touched_days(captures: DataFrame, arrived: DataFrame, compactions: DataFrame) -> DataFrame:
@@ -52,15 +54,15 @@ def revise_late_days(ledger: Ledger, created_at: Column,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         arrived = register(ledger, batch, batch_id)
-        done = ledger.changes("compactions").filter(F.col("change_seq") < batch_id)
-        days = touched_days(ledger.current("captures"), arrived, done)
+        done = ledger.changes("compactions", arrived).filter(F.col("change_seq") < batch_id)
+        days = touched_days(ledger.current("captures", arrived), arrived, done)
         if compact is not None:
             compact(days)
         values = {"compaction_id": ledger_id(), "format_version": F.lit(1), "status": F.lit("ready"), "created_at": created_at}
         rows = days.withColumns(values)
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in COMPACTION.fields]
-        already = ledger.changes("compactions").filter(F.col("change_seq") == batch_id).select("compaction_id")
+        already = ledger.changes("compactions", arrived).filter(F.col("change_seq") == batch_id).select("compaction_id")
         ledger.append("compactions", rows.select(*columns).join(already, "compaction_id", "left_anti"), batch_id)
 
     return run
