@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlake import constants as K
+from transitlake.functions.bodies import words
 from transitlake.operators.wire import decoder
 from transitlake.schemas import FEED_MESSAGE
 
@@ -79,7 +80,7 @@ def timestamp_flags(feed_timestamp: Column, observed_at: Column) -> list[Column]
 
 def validation_flags(df: DataFrame, observed_at: str = "completed_at",
                      expected_kind: str = "expected_kind") -> DataFrame:
-    """The seven decode flags as a sorted array without repeats.
+    """The seven decode flags as an array, each at most once, in alphabetical order.
 
     Expects the output of :func:`header_metadata`; only the presence of each payload
     is looked at, so ENTITY_KIND_MESSAGE is enough.
@@ -100,14 +101,16 @@ def validation_flags(df: DataFrame, observed_at: str = "completed_at",
     def any_entity(test) -> Column:
         return F.coalesce(_readable() & F.exists("message.entity", test), F.lit(False))
 
-    found = [
+    future, stale = timestamp_flags(F.col("feed_timestamp"), F.col(observed_at))
+    flags = words(  # kept in alphabetical order, so that nothing is left to sort
         F.when(_has_header() & (F.col("incrementality") == 1), F.lit("differential_incrementality")),
-        *timestamp_flags(F.col("feed_timestamp"), F.col(observed_at)),
-        F.when(_has_header() & F.col("feed_timestamp").isNull(), F.lit("missing_feed_timestamp")),
-        F.when(any_entity(lambda e: payloads(e) > 1), F.lit("multiple_entity_payloads")),
         F.when(any_entity(lambda e: (payloads(e) == 0) & ~F.coalesce(e["is_deleted"], F.lit(False))),
                F.lit("entity_without_payload")),
+        future,
+        stale,
+        F.when(_has_header() & F.col("feed_timestamp").isNull(), F.lit("missing_feed_timestamp")),
+        F.when(any_entity(lambda e: payloads(e) > 1), F.lit("multiple_entity_payloads")),
         F.when(checks_kind & any_entity(lambda e: F.coalesce(actual(e) != kind, F.lit(False))),
                F.lit("unexpected_entity_kind")),
-    ]
-    return df.withColumn("validation_flags", F.array_sort(F.array_compact(F.array(*found))))
+    )
+    return df.withColumn("validation_flags", flags)

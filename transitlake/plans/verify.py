@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlake import constants as K
+from transitlake.functions.bodies import words
 from transitlake.operators.ledger import REVISION
 
 
@@ -43,7 +44,7 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
 
 
 def _as_violations(df: DataFrame, rules: dict[str, Column], keys: tuple[str, ...]) -> DataFrame:
-    broken = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]))
+    broken = words(*[F.when(test, F.lit(name)) for name, test in rules.items()])
     return df.select(*keys, F.explode(broken).alias("violation"))
 
 

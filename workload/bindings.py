@@ -153,11 +153,11 @@ class Bindings:
                                    F.get_json_object("props", "$.k").cast("int")),
             "archive_date": local_date_text(c("scheduled_at"), c("timezone")),
         })
-        decode_flags = F.array_sort(F.array_compact(F.array(
+        decode_flags = B.words(
             F.when(c("incrementality") == 1, F.lit("differential_incrementality")),
             *timestamp_flags(c("feed_timestamp"), c("completed_at")),
             F.when(valid & c("feed_timestamp").isNull(), F.lit("missing_feed_timestamp")),
-        )))
+        )
         flags = B.ingest_flags(decode_flags, F.element_at("response_headers", "Content-Type"), c("transport_complete"))
         stem = capture_stem(c("source_id"), c("stream_id"), c("scheduled_at"), c("timezone"), c("capture_id"),
                             c("body_sha256"))

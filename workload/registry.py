@@ -11,6 +11,7 @@ from workload.oracle_views import over_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BUILDERS: dict[str, Callable[[Bindings], DataFrame]] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -24,6 +25,7 @@ def query(name: str, sql: str | None = None):
             return build(Bindings(spark, sf_dir))
 
         QUERIES[name] = run
+        BUILDERS[name] = build
         if sql is not None:
             ORACLES[name] = over_views(sql)
         return build
