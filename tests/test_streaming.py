@@ -60,6 +60,8 @@ def test_late_captures_open_a_revision_and_repeats_do_not(spark, tmp_path):
     assert run() == [(1, 3)]
     deliver(late, f"{root}/in", 3)
     assert run() == [(1, 3), (2, 4)] and ledger.current("captures").count() == 4
+    inputs = ledger.current("compaction_inputs").groupBy("compaction_id").count()
+    assert sorted(r["count"] for r in inputs.collect()) == [3, 4]
     # a batch that is run once more changes nothing
     handle(late, 2)
     assert ledger.current("compactions").count() == 2 and ledger.changes("captures").count() == 4

@@ -124,6 +124,8 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     manifest: readers never see its files, and other days are not held up.
     """
     options = options or R.WriterOptions()
+    # the list of days decides everything below, so it is settled once
+    days = R.materialize(days.select(*REVISION), root, "days")
     old = R.materialize(R.leftovers(spark, root, days), root, "leftovers")
     R.write_nested(nested_plan(captures, bodies, days), root, options)
     R.write_flattened(flattened_plan(captures, bodies, days), root, options)

@@ -99,11 +99,12 @@ def _copy_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def copy_files(files: DataFrame, parallelism: int | None = None) -> DataFrame:
     """Copy (source, target, sha256) rows; each file is streamed once by one task.
 
-    Files are spread by their target, whatever revision they belong to. The result
-    must be written or checkpointed before it is used twice.
+    Files are spread by their target, whatever revision they belong to, over a fixed
+    number of tasks: the rows are tiny, so adaptive execution would otherwise put all
+    copies into one. The result must be written before it is used twice.
     """
-    spread = files.select("source", "target", "sha256")
-    spread = spread.repartition(parallelism, "target") if parallelism else spread.repartition("target")
+    tasks = parallelism or 4 * files.sparkSession.sparkContext.defaultParallelism
+    spread = files.select("source", "target", "sha256").repartition(tasks, "target")
     return spread.mapInArrow(_copy_batches, COPY_RESULT)
 
 

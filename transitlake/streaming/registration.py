@@ -54,14 +54,19 @@ def revise_late_days(ledger: Ledger, created_at: Column,
 
     def run(batch: DataFrame, batch_id: int) -> None:
         arrived = register(ledger, batch, batch_id)
+        captures = ledger.current("captures", arrived)
         done = ledger.changes("compactions", arrived).filter(F.col("change_seq") < batch_id)
-        days = touched_days(ledger.current("captures", arrived), arrived, done)
+        days = touched_days(captures, arrived, done)
         if compact is not None:
             compact(days)
         values = {"compaction_id": ledger_id(), "format_version": F.lit(1), "status": F.lit("ready"), "created_at": created_at}
         rows = days.withColumns(values)
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in COMPACTION.fields]
+        # inputs first: a revision is never in the ledger without them, and repeats of a
+        # batch that failed in between have the same keys
+        inputs = captures.join(rows.select(*DAY, "compaction_id"), list(DAY)).select("compaction_id", "capture_id")
+        ledger.append("compaction_inputs", inputs, batch_id)
         already = ledger.changes("compactions", arrived).filter(F.col("change_seq") == batch_id).select("compaction_id")
         ledger.append("compactions", rows.select(*columns).join(already, "compaction_id", "left_anti"), batch_id)
 
