@@ -202,6 +202,33 @@ def test_publication_round(spark, compacted):
     assert again.filter("status = 'verified'").count() == 3
 
 
+def test_unsound_revision_is_not_published(spark, compacted, tmp_path):
+    result, root = compacted["result"], compacted["root"]
+    wrong = result.compactions.withColumn("entities", F.when(F.col("stream_id") == "trips", 99).otherwise(F.col("entities")))
+    target = compacted["destinations"].filter("required").withColumn("remote", F.lit(f"file://{tmp_path}/out"))
+    queue = R.materialize(compact.queue_publications(wrong, target, now()), root, "q2")
+    done = publish.publish_due(spark, root, queue, wrong, result.manifests, target, compacted["streams"], now(), F.lit(0.5))
+    streams = done.join(wrong.select("compaction_id", "stream_id"), "compaction_id").collect()
+    assert {r["stream_id"]: (r["status"], r["last_error"]) for r in streams} == {
+        "trips": ("permanent_failure", "local_integrity"), "mixed": ("verified", ""), "silent": ("verified", "")}
+    assert not (tmp_path / "out" / "trip_updates" / "date=2026-08-12" / "base64url=aHR0cHM6Ly9leGFtcGxlLnRlc3QvdHJpcHM").exists()
+
+
+def test_misplaced_manifest_is_not_adopted(spark, compacted, tmp_path):
+    root = str(tmp_path)
+    documents = compacted["result"].manifests
+    columns = {p: F.col(c) for p, c in zip(R.PARTITIONS[:3], ("source_id", "stream_id", "archive_date"), strict=True)}
+    moved = documents.withColumns(columns).withColumn("manifest_revision", F.col("revision")).withColumn(
+        "date", F.when(F.col("stream_id") == "mixed", "2020-01-01").otherwise(F.col("date")))
+    moved.write.partitionBy(*R.PARTITIONS).json(R.manifest_root(root))
+    found = R.misplaced_manifests(spark, root)
+    assert [r["stream_id"] for r in found.collect()] == ["mixed"]
+    result, none = compacted["result"], compacted["result"].compactions.filter("false")
+    clean = verify.verify_revisions(result.manifests, result.compactions, result.inputs, result.files, R.scan_parts(spark, compacted["root"]))
+    adopted = reconcile.adoptable(R.scan_manifests(spark, root), none, result.inputs, compacted["captures"], clean, found)
+    assert {r["stream_id"] for r in adopted.collect()} == {"trips", "silent"}
+
+
 def test_publication_never_overwrites(spark, compacted, tmp_path):
     source, target = tmp_path / "a", tmp_path / "b"
     source.write_bytes(b"one")

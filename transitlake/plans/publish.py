@@ -16,6 +16,7 @@ from transitlake.functions.policy import next_attempt_at, retry_status
 from transitlake.functions.urls import sanitize_url
 from transitlake.operators import ledger as L
 from transitlake.operators.ledger import REVISION
+from transitlake.plans.verify import verify_revisions
 from transitlake.sources import revisions as R
 
 _CHUNK = 4 << 20
@@ -209,18 +210,33 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 
 
+def _refuse_unsound(spark: SparkSession, root: str, work: DataFrame, compactions: DataFrame,
+                    manifests: DataFrame) -> DataFrame:
+    """Due publications, those of revisions that do not verify marked local_integrity."""
+    due = work.filter(F.col("remote_path").isNotNull()).select(*REVISION).distinct()
+    tables = (manifests, compactions, R.scan_inputs(spark, root), R.scan_files(spark, root),
+              R.scan_parts(spark, root).drop("path"))
+    unsound = verify_revisions(*[R.of_days(t, due) for t in tables]).select(*REVISION).distinct()
+    marked = work.join(unsound.withColumn("_unsound", F.lit("local_integrity")), list(REVISION), "left")
+    return marked.withColumns({
+        "error_category": F.coalesce("error_category", "_unsound"),
+        "remote_path": F.when(F.col("_unsound").isNull(), F.col("remote_path")),
+    }).select(*work.columns)
+
+
 def publish_due(spark: SparkSession, root: str, publications: DataFrame, compactions: DataFrame,
                 manifests: DataFrame, destinations: DataFrame, streams: DataFrame, now: Column,
                 jitter: Column) -> DataFrame:
     """One round over the due publications; returns their change rows.
 
-    All artifacts are copied before any manifest, and a manifest follows only where
+    A revision that no longer verifies is not copied at all. All artifacts are copied before any manifest, and a manifest follows only where
     every artifact of its publication is verified. Copies are recorded in a table
     before they are looked at, so nothing is copied twice.
     """
     work = with_publish_path(
         L.publication_work(L.publication_queue(publications, now), destinations, compactions, manifests), streams)
     work = R.materialize(work, root, "publications")
+    work = R.materialize(_refuse_unsound(spark, root, work, compactions, manifests), root, "sound")
     parts = R.scan_parts(spark, root).select(*REVISION, "relative_path", "path")
     artifacts = R.scan_files(spark, root).join(parts, [*REVISION, "relative_path"])
     wanted = R.materialize(published_files(work, artifacts, F.col("relative_path")), root, "artifacts")
