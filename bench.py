@@ -22,7 +22,7 @@ from transitlake import build_session, schemas  # noqa: E402
 from transitlake.operators.decode import decode_bodies, header_metadata, validation_flags  # noqa: E402
 from transitlake.operators.flatten import flatten_trip_updates, projected_rows, stop_time_updates  # noqa: E402
 from transitlake.sources import revisions as R  # noqa: E402
-from workload import catalog  # noqa: E402, F401
+import workload.catalog  # noqa: E402, F401  registers the queries
 from workload.bindings import Bindings  # noqa: E402
 from workload.feeds import feed_captures  # noqa: E402
 from workload.registry import BUILDERS  # noqa: E402

@@ -53,4 +53,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "transitlake-scratch")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{qualified(spark, base).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, so that tasks outside the JVM mean the same one."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None or "://" in path:
+        return path
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(target).toString()

@@ -69,7 +69,7 @@ SELECT feed, '2.0' AS feed_version, CAST(feed % 2 AS INTEGER) AS incrementality,
 FROM stops_v GROUP BY feed""")
 def header_metadata(b: Bindings):
     decoded = D.header_metadata(D.decode_bodies(encoded_feeds(b), wanted=ENTITY_KIND_MESSAGE, keep_body=False))
-    # chunks of a split feed repeat no entity but the one they were cut at
+    # one row per feed: the bodies of a split feed are added up
     return decoded.groupBy("feed", "feed_version", "incrementality", "parse_status",
                            F.col("feed_timestamp").cast("bigint").alias("feed_timestamp")) \
         .agg(F.sum("entity_count").alias("entity_count"))

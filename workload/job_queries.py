@@ -4,12 +4,10 @@ from pyspark.sql import functions as F
 
 from transitlake import scratch_dir
 from transitlake.functions.bodies import body_sha256
-from transitlake.operators import ledger as L
 from transitlake.operators.decode import decode_bodies
 from transitlake.operators.ledger import REVISION
 from transitlake.operators.statistics import DAY
 from transitlake.plans import compact, publish, reconcile, verify
-from transitlake.plans.manifest import build_manifests
 from transitlake.schemas import CAPTURE, ENTITY_KIND_MESSAGE
 from transitlake.sources import bodies as B
 from transitlake.sources import revisions as R
@@ -256,7 +254,7 @@ def publish_and_checksum(b: Bindings):
     """Copy every revision to a destination, artifacts before manifests, and read it back."""
     root, _, _, _, streams, result = _compacted(b)
     target = scratch_dir(b.spark, "destination")
-    destinations = b.destinations().filter("required").withColumn("remote", F.lit(target if "://" in target else f"file://{target}"))
+    destinations = b.destinations().filter("required").withColumn("remote", F.lit(target))
     queue = compact.queue_publications(result.compactions, destinations, now())
     state = R.materialize(queue, root, "queue")
     done = publish.publish_due(b.spark, root, state, result.compactions, result.manifests, destinations, streams, now(), F.lit(0.5))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from transitlake import constants as K
 from transitlake.operators import metrics as M
 from transitlake.operators import statistics as S
-from transitlake.operators.ledger import REVISION, next_revision
+from transitlake.operators.ledger import next_revision
 from transitlake.plans.manifest import build_manifests, daily_summaries
 from workload.bindings import Bindings, now, text
 from workload.oracle_views import stamp
