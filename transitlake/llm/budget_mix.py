@@ -8,7 +8,7 @@ min(3 x words, level x weight), and the level is the largest of
 
 A source takes whole passes over its documents, then documents for the remaining budget:
 they are counted by exact size; a systematic share of each size comes near the budget
-(within twice the largest size); and a bounded knapsack over the sizes left, whose reachable
+(within three times the largest size); and a bounded knapsack over the sizes left, whose reachable
 sums are the bits of one long integer, closes the gap, exactly where any choice can. The
 plan says how many documents of each size to take; which ones, a seeded hash decides.
 
@@ -57,7 +57,7 @@ def targets(histogram: DataFrame) -> DataFrame:
 
 
 def fit_subset(sizes: np.ndarray, counts: np.ndarray, budget: int, offset: float) -> np.ndarray:
-    """How many documents of each size to take so that their sizes sum to ``budget``, or just below."""
+    """How many documents of each size to take so that their sizes sum to ``budget``, or near it."""
     chosen = np.zeros(len(sizes), np.int64)
     usable = np.flatnonzero((sizes > 0) & (counts > 0))
     if budget <= 0 or not len(usable):
@@ -66,7 +66,11 @@ def fit_subset(sizes: np.ndarray, counts: np.ndarray, budget: int, offset: float
     if budget >= total:
         chosen[usable] = counts[usable]
         return chosen
-    share = max(0, budget - largest) / total
+    if 2 * budget > total:  # rather choose what stays out
+        left_out = fit_subset(sizes, np.where(sizes > 0, counts, 0), total - budget, offset)
+        chosen[usable] = counts[usable] - left_out[usable]
+        return chosen
+    share = max(0, budget - 2 * largest) / total
     ends = np.floor(np.cumsum(counts[usable] * share) + offset).astype(np.int64)
     chosen[usable] = np.minimum(np.diff(np.concatenate([[0], ends])), counts[usable])
     rest = budget - int((sizes * chosen).sum())

@@ -68,16 +68,16 @@ LINE_WINDOWS_SQL = r"""
 WITH lined AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 windows AS (
-  SELECT doc_id, i AS at, array_to_string(lines[i:i + 2], chr(10)) AS w
+  SELECT doc_id, i AS pos, array_to_string(lines[i:i + 2], chr(10)) AS w
   FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM lined WHERE len(lines) >= 3)),
 worded AS (SELECT * FROM windows WHERE regexp_matches(w, '[^\x20\x09-\x0D]')),
-numbered AS (SELECT doc_id, at, row_number() OVER (PARTITION BY w ORDER BY doc_id, at) AS nth FROM worded),
+numbered AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) AS nth FROM worded),
 covered AS (
-  SELECT DISTINCT doc_id, at + k AS at FROM numbered, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1),
+  SELECT DISTINCT doc_id, pos + k AS pos FROM numbered, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1),
 kept AS (
-  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS text, count(*) AS n_kept
-  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at FROM lined) l
-  LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.at = l.at WHERE c.at IS NULL GROUP BY l.doc_id)
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text, count(*) AS n_kept
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM lined) l
+  LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.pos = l.pos WHERE c.pos IS NULL GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(len(d.lines) AS BIGINT) AS n_lines,
        CAST(len(d.lines) - coalesce(k.n_kept, 0) AS BIGINT) AS n_removed, md5(coalesce(k.text, '')) AS clean_md5
 FROM lined d LEFT JOIN kept k ON k.doc_id = d.doc_id
