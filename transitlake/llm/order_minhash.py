@@ -156,12 +156,12 @@ def banded_similarity(x: list, y: list, floor: float) -> float:
 def verified(pairs: DataFrame, docs: DataFrame, text: str, width: int = WIDTH, floor: float = SIMILARITY) -> DataFrame:
     """``a, b, similarity`` of the pairs that reach ``floor``. Whole texts are compared."""
     involved = pairs.select(F.explode(F.array("a", "b")).alias("tkey")).distinct()
+    # copies are combined before the shuffle, so a text in a third of all rows is a few rows by then
     texts = docs.select(text_key(F.col(text)).alias("tkey"), F.col(text).alias("text")).where("text is not null") \
-        .join(involved, "tkey", "left_semi").withColumn("copy", F.xxhash64("tkey"))
-    texts = stored(texts.drop("copy").dropDuplicates(["tkey"]), "texts")
+        .groupBy("tkey").agg(F.first("text").alias("text"))
+    texts = stored(texts.join(involved, "tkey", "left_semi"), "texts")
 
     def run(batches):
-        last: tuple = (None, None)
         for batch in batches:
             lefts, rights = list(T.blocks(batch.column(2))), list(T.blocks(batch.column(3)))
             sequences = [_sequences(side, width) for side in (lefts, rights)]
