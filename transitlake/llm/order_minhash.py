@@ -159,7 +159,7 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str, width: int = WIDTH, f
     # copies are combined before the shuffle, so a text in a third of all rows is a few rows by then
     texts = docs.select(text_key(F.col(text)).alias("tkey"), F.col(text).alias("text")).where("text is not null") \
         .groupBy("tkey").agg(F.first("text").alias("text"))
-    texts = stored(texts.join(involved, "tkey", "left_semi"), "texts")
+    texts = stored(texts.join(involved, "tkey"), "texts")  # keys are distinct; a semi join would go below the aggregate
 
     def run(batches):
         for batch in batches:
