@@ -9,9 +9,10 @@ by a banded alignment of their shingle sequences:
     similarity = LCS / (n1 + n2 - LCS) >= 0.8
 
 Candidates come from buckets that adapt to density. Texts that agree in one sketch
-value form a bucket. In a small one all are compared. In a larger one each text is
-compared with one member chosen by hash, and the bucket is divided by further sketch
-values until its parts are small, so work stays linear in a group of any size.
+value form a bucket. In a small one all are compared. A larger one is divided by further sketch
+values until its parts are small, and in each part on the way a text is compared with one
+member chosen by hash; texts that are in no large class after that, with four more. So a
+text has a bounded number of comparisons, in a group of any size.
 Exact copies count once; their text is named by 128 bits.
 
 Null texts and texts without a word are near to nothing: each document of that kind is
@@ -34,7 +35,8 @@ SIMILARITY = 0.8
 SKETCHES = 16
 LEAST = 3          # labelled shingles in a sketch value
 SMALL = 8          # buckets up to this size are compared throughout
-BRANCHES = (2, 2, 1, 1, 1)   # further sketch values that divide a larger bucket, level by level
+HUBS = 5           # members of a larger bucket that its texts are compared with, four of them in the second round
+BRANCHES = (1, 1, 1, 1, 1)   # further sketch values that divide a larger bucket, level by level
 
 
 def _constants(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,31 +90,57 @@ def sketches(docs: DataFrame, text: str, width: int = WIDTH, count: int = SKETCH
     return stored(per_row.groupBy("tkey").agg(F.first("sk").alias("sk")), "sketches")
 
 
-def candidate_pairs(sketched: DataFrame, count: int = SKETCHES, small: int = SMALL, branches=BRANCHES) -> DataFrame:
-    """``a, b``: distinct pairs of texts to compare; linear in the texts of a bucket."""
+def buckets(sketched: DataFrame, count: int = SKETCHES, small: int = SMALL, branches=BRANCHES,
+            hubs: int = HUBS) -> list[DataFrame]:
+    """Tables of ``bucket, tkey, tree, size, hub0, hub1, ...``, level by level; a bucket has two texts or more."""
     entries = sketched.select("tkey", F.posexplode("sk").alias("tree", "value")) \
         .select("tkey", "tree", F.xxhash64("tree", "value").alias("bucket"))
-    found = None
+    levels = []
     for level, fan in enumerate((*branches, 0)):
-        # every bucket has its own member that the others are compared with
-        order = F.struct(F.xxhash64("tkey", "bucket").alias("h"), F.col("tkey").alias("hub"))
-        sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), F.min(order).alias("least")) \
-            .where("size > 1").select("bucket", "size", "least.hub")
-        members = stored(entries.join(sizes, "bucket"), f"buckets{level}")
-        large = members.where(F.col("size") > small)
-        pairs = large.where("tkey != hub").select(F.col("hub").alias("a"), F.col("tkey").alias("b"))
-        few = members.where(F.col("size") <= small).groupBy("bucket").agg(F.sort_array(F.collect_set("tkey")).alias("all"))
-        pairs = pairs.union(few.select("all", F.posexplode("all").alias("at", "a"))
-                            .select("a", F.explode(F.slice("all", F.col("at") + 2, F.lit(small))).alias("b")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = pairs if found is None else found.union(pairs)
+        # every bucket has its own members that the others are compared with
+        least = [F.min(F.struct(F.xxhash64("tkey", "bucket", F.lit(k)).alias("h"), "tkey"))["tkey"].alias(f"hub{k}")
+                 for k in range(hubs)]
+        sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), *least).where("size > 1")
+        levels.append(stored(entries.join(sizes, "bucket"), f"buckets{level}"))
+        large = levels[-1].where(F.col("size") > small)
         if not fan or large.isEmpty():
             break
         # the next sketch values around the ring, a different stride for each branch
         at = lambda k: F.get("sk", F.pmod(F.col("tree") + (level + 1) * (2 * k + 1), F.lit(count)).cast("int"))
         entries = large.join(sketched, "tkey").select(
             "tkey", "tree", F.explode(F.array(*[F.xxhash64("bucket", F.lit(k), at(k)) for k in range(fan)])).alias("bucket"))
-    return found.distinct()
+    return levels
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    whole = frames[0]
+    for frame in frames[1:]:
+        whole = whole.union(frame)
+    return whole
+
+
+def _with_hub(members: DataFrame, k: int) -> DataFrame:
+    hub = F.col(f"hub{k}")
+    return members.where(F.col("tkey") != hub).select(F.least("tkey", hub).alias("a"), F.greatest("tkey", hub).alias("b"))
+
+
+def first_pairs(levels: list[DataFrame], small: int = SMALL) -> DataFrame:
+    """``a, b``: all pairs of small buckets, and each text of a larger one with its first hub."""
+    found = []
+    for members in levels:
+        few = members.where(F.col("size") <= small).groupBy("bucket").agg(F.sort_array(F.collect_set("tkey")).alias("all"))
+        found += [_with_hub(members.where(F.col("size") > small), 0),
+                  few.select("all", F.posexplode("all").alias("at", "a"))
+                  .select("a", F.explode(F.slice("all", F.col("at") + 2, F.lit(small))).alias("b"))]
+    return _union(found).distinct()
+
+
+def further_pairs(levels: list[DataFrame], links: DataFrame, small: int = SMALL, hubs: int = HUBS) -> DataFrame:
+    """``a, b``: texts of larger buckets that are in no large class yet, with the other hubs."""
+    classes = connected_components(links)
+    settled = classes.join(classes.groupBy("root").count().where(F.col("count") > small), "root").select(F.col("node").alias("tkey"))
+    loose = stored(_union(levels).where(F.col("size") > small).join(settled, "tkey", "left_anti"), "loose")
+    return _union([_with_hub(loose, k) for k in range(1, hubs)]).distinct()
 
 
 def banded_similarity(x: list, y: list, floor: float) -> float:
@@ -153,14 +181,17 @@ def banded_similarity(x: list, y: list, floor: float) -> float:
     return common / (n + m - common)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str, width: int = WIDTH, floor: float = SIMILARITY) -> DataFrame:
-    """``a, b, similarity`` of the pairs that reach ``floor``. Whole texts are compared."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("tkey")).distinct()
-    # copies are combined before the shuffle, so a text in a third of all rows is a few rows by then
+def whole_texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """``tkey, text`` for the keys in ``wanted``. Copies are combined before the shuffle, so
+    that a text in a third of all rows is a few rows by then."""
     texts = docs.select(text_key(F.col(text)).alias("tkey"), F.col(text).alias("text")).where("text is not null") \
         .groupBy("tkey").agg(F.first("text").alias("text"))
-    texts = stored(texts.join(involved, "tkey"), "texts")  # keys are distinct; a semi join would go below the aggregate
+    # keys are distinct; a semi join would go below the aggregate
+    return stored(texts.join(wanted.select("tkey").distinct(), "tkey"), "texts")
+
 
+def verified(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, floor: float = SIMILARITY) -> DataFrame:
+    """``a, b, similarity`` of the pairs that reach ``floor``. Whole texts are compared."""
     def run(batches):
         for batch in batches:
             lefts, rights = list(T.blocks(batch.column(2))), list(T.blocks(batch.column(3)))
@@ -191,8 +222,14 @@ def _sequences(side: list, width: int):
 def near_duplicate_links(docs: DataFrame, text: str = "text", width: int = WIDTH, floor: float = SIMILARITY) -> DataFrame:
     """``a, b, similarity`` between the keys of different texts that are near."""
     prepare(docs.sparkSession)
-    pairs = stored(candidate_pairs(sketches(docs, text, width)), "pairs")
-    return stored(verified(pairs, docs, text, width, floor), "near")
+    levels = buckets(sketches(docs, text, width))
+    texts = whole_texts(docs, text, _union([members.select("tkey") for members in levels]))
+    first = stored(first_pairs(levels), "pairs")
+    links = stored(verified(first, texts, width, floor), "near")
+    if len(levels) > 1:  # there are larger buckets
+        more = stored(further_pairs(levels, links).join(first, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(stored(verified(more, texts, width, floor), "near"))
+    return links
 
 
 def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
