@@ -104,6 +104,17 @@ def test_fresh_revisions_verify(spark, compacted):
     assert found.collect() == []
 
 
+def test_missing_fields_break_their_rules(spark, compacted):
+    result = compacted["result"]
+    rules = {"manifest_version": "format_version", "format_version": "format_version", "schema_version": "schema_version",
+             "dataset_status": "dataset_status", "captured_responses": "aggregate_counts", "entity_total": "aggregate_counts"}
+    for field, rule in rules.items():
+        kind = result.manifests.schema[field].dataType
+        damaged = result.manifests.withColumn(field, F.lit(None).cast(kind))
+        found = verify.manifest_violations(damaged, result.compactions, result.inputs, result.files)
+        assert rule in {r["violation"] for r in found.collect()}, field
+
+
 def test_damage_is_found(spark, compacted):
     result, root = compacted["result"], compacted["root"]
     parts = R.scan_parts(spark, root).withColumn("sha256", F.lit("0" * 64))

@@ -67,6 +67,24 @@ def test_late_captures_open_a_revision_and_repeats_do_not(spark, tmp_path):
     assert ledger.current("compactions").count() == 2 and ledger.changes("captures").count() == 4
 
 
+def test_a_capture_far_behind_is_registered(spark, tmp_path):
+    root = str(tmp_path)
+    captures = lake.captures_with_bodies(spark, [body(feed())] * 2).drop("body")
+    newer, older = captures.filter("capture_id <> 'demo-trips-1'"), captures.filter("capture_id = 'demo-trips-1'")
+    ledger = Ledger(spark, root).create()
+
+    def run():
+        handle = lambda batch, batch_id: registration.register(ledger, batch, batch_id)
+        registration.start(arriving(spark, f"{root}/in"), handle, f"{root}/cp").awaitTermination()
+        return {r["capture_id"] for r in ledger.current("captures").collect()}
+
+    far = older.withColumn("completed_at", F.col("completed_at") - F.expr("INTERVAL 90 DAYS"))
+    deliver(newer, f"{root}/in", 1)
+    assert run() == {"demo-trips-2"}
+    deliver(far, f"{root}/in", 2)
+    assert run() == {"demo-trips-1", "demo-trips-2"}
+
+
 def test_windows_nest_in_local_days(spark, tmp_path):
     root = str(tmp_path)
     start = dt.datetime(2026, 8, 12, 6, 50)

@@ -16,6 +16,11 @@ def expected_artifact_rows() -> Column:
     return F.when(flattened, F.col("stop_time_update_total")).otherwise(F.col("captured_responses"))
 
 
+def missing_or(broken: Column) -> Column:
+    """A rule over required fields: one that is missing breaks it."""
+    return F.coalesce(broken, F.lit(True))
+
+
 def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]:
     """Rules over a manifest joined with its ledger row (``ledger_*`` columns)."""
     c = F.col
@@ -25,16 +30,16 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
     has_destinations = F.coalesce(F.size("destinations") > 0, F.lit(False))
     flattened = c("schema_version") == K.SCHEMA_FLATTENED
     return {
-        "format_version": (c("manifest_version") != K.MANIFEST_FORMAT_VERSION)
-        | (c("format_version") != K.PARQUET_FORMAT_VERSION),
-        "schema_version": ~c("schema_version").isin(*K.SUPPORTED_SCHEMA_VERSIONS),
+        "format_version": missing_or(c("manifest_version") != K.MANIFEST_FORMAT_VERSION)
+        | missing_or(c("format_version") != K.PARQUET_FORMAT_VERSION),
+        "schema_version": missing_or(~c("schema_version").isin(*K.SUPPORTED_SCHEMA_VERSIONS)),
         "identity": c("ledger_rows").isNull(),
-        "aggregate_counts": (input_count != c("captured_responses"))
+        "aggregate_counts": missing_or(input_count != c("captured_responses")) | c("entity_total").isNull()
         | (c("captured_responses") != c("ledger_rows")) | (c("entity_total") != c("ledger_entities")),
         "ready_shape": (c("dataset_status") == "ready") & ((c("captured_responses") <= 0) | (file_count < 1)),
         "empty_shape": (c("dataset_status") == "no_captured_responses")
         & ((c("captured_responses") != 0) | (file_count != 0)),
-        "dataset_status": ~c("dataset_status").isin(*K.DATASET_STATUSES),
+        "dataset_status": missing_or(~c("dataset_status").isin(*K.DATASET_STATUSES)),
         "destination_ids": has_destinations
         & (F.exists(ids, lambda i: i == "") | (F.size(F.array_distinct(ids)) != F.size(ids))),
         "destination_snapshot": has_destinations & (F.array_sort(required) != F.array_sort(listed)),
@@ -73,7 +78,8 @@ def file_violations(manifests: DataFrame, compactions: DataFrame, files: DataFra
     per_file = _as_violations(listed, {
         "artifact_name": F.col("relative_path").contains("/"),
         "artifact_missing": F.col("_sha").isNull(),
-        "artifact_integrity": (F.col("_sha") != F.col("sha256")) | (F.col("_bytes") != F.col("bytes")),
+        "artifact_integrity": F.col("_sha").isNotNull() & (
+            missing_or(F.col("_sha") != F.col("sha256")) | missing_or(F.col("_bytes") != F.col("bytes"))),
     }, REVISION)
     totals = files.groupBy(*keys).agg(
         F.sum("rows").alias("_rows"), F.sum("entities").alias("_entities"), F.sum("bytes").alias("_size"),

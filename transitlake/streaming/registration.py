@@ -15,15 +15,11 @@ from transitlake.schemas import CAPTURE, COMPACTION
 from transitlake.sources.ledger import Ledger
 
 
-def first_seen(captures: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """A stream without repeats of a capture id within the horizon."""
-    return captures.withWatermark("completed_at", horizon).dropDuplicatesWithinWatermark(["capture_id"])
-
-
 def register(ledger: Ledger, batch: DataFrame, batch_id: int) -> DataFrame:
     """Append the captures the ledger does not know; returns the rows of this batch.
 
-    Only the days of the batch are looked at. The rows carry the batch id as change
+    However late a capture is, it is registered: repeats are told by the ledger, not by a
+    watermark. Only the days of the batch are looked at. The rows carry the batch id as change
     number, so a batch that is run again after a failure finds its own rows and adds
     none.
     """
