@@ -151,6 +151,9 @@ def test_disagreeing_urls_are_refused(spark, compacted, tmp_path):
     result = compact.compact_days(spark, str(tmp_path), moved, compacted["ticks"], compacted["bodies"], compacted["streams"],
                                   compacted["days"], compacted["destinations"], now())
     assert [r["stream_id"] for r in result.manifests.collect()] == ["silent"]
+    reported = {(r["stream_id"], r["violation"]) for r in result.violations.collect()}
+    assert reported and {violation for _, violation in reported} == {"url_mismatch"}
+    assert "silent" not in {stream for stream, _ in reported}
 
 
 def test_leftovers_of_an_unfinished_attempt_are_not_read(spark, compacted, tmp_path):

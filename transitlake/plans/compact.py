@@ -138,13 +138,15 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
         for flattened in (False, True)
     )
     selected = captures.join(days.select(*REVISION), list(DAY))
-    violations = R.materialize(
-        check_nested(nested, day_captures(captures, days, flattened=False))
-        .unionByName(check_flattened(flat, counts)), root, "violations")
+    content = check_nested(nested, day_captures(captures, days, flattened=False)).unionByName(check_flattened(flat, counts))
 
     totals = counts.groupBy(*DAY).agg(F.sum("stop_time_updates").alias("stop_time_updates"))
-    manifests = M.build_manifests(captures, ticks, streams, days, destinations, created_at,
-                                  stop_totals=totals, **versions)
+    manifests = R.materialize(M.build_manifests(captures, ticks, streams, days, destinations, created_at,
+                                                stop_totals=totals, **versions), root, "built")
+    # a day whose captures name different URLs is reported as a whole, without a capture
+    mismatched = manifests.filter(~F.col("urls_agree")).select(
+        *REVISION, F.lit(None).cast("string").alias("capture_id"), F.lit("url_mismatch").alias("violation"))
+    violations = R.materialize(content.unionByName(mismatched), root, "violations")
     refused = violations.select(*REVISION).distinct()
     accepted = R.materialize(
         manifests.filter("urls_agree").drop("urls_agree").join(refused, list(REVISION), "left_anti"), root, "accepted")
