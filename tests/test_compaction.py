@@ -8,7 +8,9 @@ from transitlake.functions.paths import publish_path
 from transitlake.operators.statistics import DAY
 from transitlake.plans import backlog, compact, publish, reconcile, verify
 from transitlake.schemas import FLAT_ROW
+from transitlake.sources import bodies as B
 from transitlake.sources import revisions as R
+from workload.landing_files import write_landing
 
 def now():
     return F.lit("2026-08-20 00:00:00").cast("timestamp")
@@ -268,3 +270,107 @@ def test_publish_path_vectors(spark):
 def test_writer_options():
     with pytest.raises(ValueError):
         R.WriterOptions(compression="gzip")
+
+
+def tombstone(entity=b"gone"):
+    m = feed()
+    e = m.entity.add(id=entity, is_deleted=True)
+    e.ClearField("trip_update")
+    return body(m)
+
+
+def run_lake(spark, root, per_stream):
+    """Compact trip-update streams, given the bodies of each; all as revision 1."""
+    frames = [lake.captures_with_bodies(spark, bodies, stream=name, url=f"https://example.test/{name}")
+              for name, bodies in per_stream.items()]
+    both = frames[0]
+    for more in frames[1:]:
+        both = both.unionByName(more)
+    both = R.materialize(both, root, "bronze")
+    captures = both.drop("body")
+    streams = lake.streams(spark, *[("demo", name, "trip_update", "UTC") for name in per_stream])
+    target = lake.destinations(spark, ("primary", True, f"file://{root}/out"))
+    chosen = lake.days(spark, *[("demo", name, "2026-08-12", 1) for name in per_stream])
+    result = compact.compact_days(spark, root, captures, lake.ticks(captures), both.select("raw_path", "body"), streams,
+                                  chosen, target, now())
+    return result, streams, target
+
+
+def published(spark, root, result, streams, target):
+    queue = R.materialize(compact.queue_publications(result.compactions, target, now()), root, "queue")
+    done = publish.publish_due(spark, root, queue, result.compactions, result.manifests, target, streams, now(), F.lit(0.5))
+    return [(r["status"], r["last_error"]) for r in done.collect()]
+
+
+def sound(spark, root, result):
+    return verify.verify_revisions(result.manifests, result.compactions, result.inputs, result.files,
+                                   R.scan_parts(spark, root)).collect() == []
+
+
+def test_capture_without_rows_beside_a_full_one(spark, tmp_path):
+    root = str(tmp_path)
+    result, *rest = run_lake(spark, root, {"trips": [flattened_bodies()[0], tombstone()]})
+    m = result.manifests.first()
+    assert (m["captured_responses"], m["entity_total"], [f["entities"] for f in m["files"]]) == (2, 3, [3])
+    assert result.violations.count() == 0 and sound(spark, root, result)
+    assert published(spark, root, result, *rest) == [("verified", "")]
+
+
+def test_day_whose_captures_flatten_to_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    result, *rest = run_lake(spark, root, {"trips": [MALFORMED, tombstone()]})
+    m = result.manifests.first()
+    assert (m["dataset_status"], m["captured_responses"], m["stop_time_update_total"], m["files"]) == ("ready", 2, 0, None)
+    assert result.violations.count() == 0 and sound(spark, root, result)
+    assert R.read_revisions(spark, root, flattened=True).count() == 0
+    assert published(spark, root, result, *rest) == [("verified", "")]
+
+
+def test_repeated_job_leaves_one_document_and_one_list(spark, tmp_path):
+    root = str(tmp_path)
+    per_stream = {"trips": flattened_bodies()}
+    run_lake(spark, root, per_stream)
+    result, *rest = run_lake(spark, root, per_stream)
+    assert result.manifests.count() == 1 and result.inputs.count() == 3 and result.files.count() == 1
+    assert sound(spark, root, result) and published(spark, root, result, *rest) == [("verified", "")]
+    assert R.read_revisions(spark, root, flattened=True).count() == 4
+
+
+def test_lake_where_every_day_was_refused(spark, compacted, tmp_path):
+    root = str(tmp_path)
+    moved = compacted["captures"].withColumn("sanitized_url", F.concat("sanitized_url", "capture_id"))
+    chosen = compacted["days"].filter("stream_id <> 'silent'")
+    result = compact.compact_days(spark, root, moved, compacted["ticks"], compacted["bodies"], compacted["streams"],
+                                  chosen, compacted["destinations"], now())
+    assert result.manifests.count() == 0 and R.unreadable_manifests(spark, root).count() == 0
+    queue = compact.queue_publications(result.compactions, compacted["destinations"], now())
+    done = publish.publish_due(spark, root, queue, result.compactions, result.manifests, compacted["destinations"],
+                               compacted["streams"], now(), F.lit(0.5))
+    assert done.count() == 0
+
+
+def test_unreadable_documents_and_ledger_differences_count_as_corrupt(spark, compacted, tmp_path):
+    root = str(tmp_path)
+    R.write_manifests(compacted["result"].manifests.filter("stream_id <> 'silent'"), root)
+    home = tmp_path / "manifests" / "format=v1" / "source=demo" / "stream=silent" / "date=2026-08-12" / "revision=1"
+    home.mkdir(parents=True)
+    (home / "part-0.json").write_text("{not a document\n")
+    broken = R.unreadable_manifests(spark, root)
+    assert [r["stream_id"] for r in broken.collect()] == ["silent"]
+    assert {r["stream_id"] for r in R.scan_manifests(spark, root).collect()} == {"trips", "mixed"}
+    result = compacted["result"]
+    altered = result.compactions.withColumn("data_sha256", F.lit("0" * 64))
+    found = verify.verify_revisions(result.manifests, altered, result.inputs, result.files, R.scan_parts(spark, compacted["root"]))
+    assert {r["stream_id"] for r in reconcile.unsound(found).collect()} == {"trips", "mixed"}
+
+
+def test_only_the_days_in_hand_are_read(spark, compacted, tmp_path):
+    root = str(tmp_path)
+    write_landing(compacted["captures"].join(compacted["bodies"], "raw_path"), root)
+    wanted = compacted["days"].filter("stream_id = 'trips'")
+    bodies = compact.bodies_of_days(B.scan_bodies(spark, root), wanted)
+    assert {r["stream"] for r in bodies.select("stream").distinct().collect()} == {"trips"}
+    plans = [bodies, R.of_days(R.scan_inputs(spark, compacted["root"]), wanted),
+             R.of_days(R.scan_files(spark, compacted["root"]), wanted)]
+    for plan in plans:
+        assert "dynamicpruning" in plan._jdf.queryExecution().toString().lower()

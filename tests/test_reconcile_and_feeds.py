@@ -86,12 +86,12 @@ def flattened(b):
     return captured, rows.select("trip_id", "stop_sequence", "stop_id", "arrival_delay")
 
 
-def test_a_hot_feed_is_split_without_losing_rows(spark, monkeypatch):
-    """With a small bound every feed is hot; the rows must be those of the plain join."""
+def test_blocks_of_line_numbers_lose_no_rows(spark, monkeypatch):
+    """With small blocks every feed has several bodies; the rows must be those of the plain join."""
     b = Bindings(spark, SMALL)
     whole, wanted = flattened(b)
     bodies = whole.count()
-    monkeypatch.setattr(feeds, "MAX_STOPS", 40)
+    monkeypatch.setattr(feeds, "LINE_BLOCK", 2)
     split, found = flattened(Bindings(spark, SMALL))
     assert split.count() > 3 * bodies
     # an order is cut at a body's end, so only its base rows could differ: none may

@@ -36,14 +36,26 @@ def day_captures(captures: DataFrame, days: DataFrame, flattened: bool) -> DataF
 
 
 def with_bodies(captures: DataFrame, bodies: DataFrame, keep_missing: bool = False) -> DataFrame:
-    """Join on the body's path. ``bodies``: raw_path, body. A capture that recorded no
-    byte has an empty body, which file scans do not show."""
+    """Join on the body's path. ``bodies``: raw_path, body; see :func:`bodies_of_days`. A
+    capture that recorded no byte has an empty body, which file scans do not show."""
     empty = F.when(F.col("decoded_length") == 0, F.lit(b""))
     joined = captures.join(bodies.select("raw_path", F.col("body").alias("_body")), "raw_path", "left") \
         .withColumn("body", F.coalesce("_body", empty)).drop("_body")
     return joined if keep_missing else joined.filter(F.col("body").isNotNull())
 
 
+def bodies_of_days(bodies: DataFrame, days: DataFrame) -> DataFrame:
+    """Bodies of the selected days. Bodies scanned from the landing area carry its partition
+    columns: the join on these prunes directories at run time, so other days' bodies are
+    neither opened nor shuffled. A frame without these columns is left whole."""
+    columns = {"source": "source_id", "stream": "stream_id", "date": "archive_date"}
+    if not set(columns) <= set(bodies.columns):
+        return bodies
+    # the comparison makes the list selective in the optimizer's eyes
+    wanted = days.filter("archive_date > ''").select(*[F.col(c).alias(p) for p, c in columns.items()]).distinct()
+    return bodies.join(wanted, list(columns), "left_semi")
+
+
 def _by_day(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in REVISION])
 
@@ -75,7 +87,12 @@ def expected_counts(captures: DataFrame, bodies: DataFrame, days: DataFrame) ->
 def check_flattened(written: DataFrame, expected: DataFrame) -> DataFrame:
     """Content check of flattened revisions: one row per violation."""
     found = written.groupBy(*REVISION, "capture_id").agg(F.count(F.lit(1)).alias("found_rows"))
-    joined = expected.join(found, [*REVISION, "capture_id"], "full_outer")
+    return check_placed(found, expected)
+
+
+def check_placed(found: DataFrame, expected: DataFrame) -> DataFrame:
+    """The same check over rows already counted for each capture (``found_rows``)."""
+    joined = expected.join(found.select(*REVISION, "capture_id", "found_rows"), [*REVISION, "capture_id"], "full_outer")
     problem = (
         F.when(F.col("expected_rows").isNull(), F.lit("extra_capture"))
         .when(~F.col("hash_matches"), F.lit("body_hash_mismatch"))
@@ -85,6 +102,11 @@ def check_flattened(written: DataFrame, expected: DataFrame) -> DataFrame:
         .select(*REVISION, "capture_id", "violation")
 
 
+def check_parts(placed: DataFrame) -> DataFrame:
+    """A capture's rows lie in one part; one violation row for each that does not."""
+    return placed.filter("found_parts > 1").select(*REVISION, "capture_id", F.lit("split_capture").alias("violation"))
+
+
 def check_nested(written: DataFrame, captures: DataFrame) -> DataFrame:
     """Content check of nested revisions: ids, hashes, the stored body, entity counts."""
     rows = written.select(*REVISION, "capture_id", F.col("body_sha256").alias("_hash"),
@@ -126,6 +148,7 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     options = options or R.WriterOptions()
     # the list of days decides everything below, so it is settled once
     days = R.materialize(days.select(*REVISION), root, "days")
+    bodies = bodies_of_days(bodies, days)
     old = R.materialize(R.leftovers(spark, root, days), root, "leftovers")
     R.write_nested(nested_plan(captures, bodies, days), root, options)
     R.write_flattened(flattened_plan(captures, bodies, days), root, options)
@@ -138,7 +161,11 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
         for flattened in (False, True)
     )
     selected = captures.join(days.select(*REVISION), list(DAY))
-    content = check_nested(nested, day_captures(captures, days, flattened=False)).unionByName(check_flattened(flat, counts))
+    placed = R.materialize(R.place_captures(flat), root, "placed")
+    nested_placed = R.materialize(R.place_captures(nested), root, "placed")
+    content = check_nested(nested, day_captures(captures, days, flattened=False)) \
+        .unionByName(check_placed(placed, counts)) \
+        .unionByName(check_parts(placed)).unionByName(check_parts(nested_placed))
 
     totals = counts.groupBy(*DAY).agg(F.sum("stop_time_updates").alias("stop_time_updates"))
     manifests = R.materialize(M.build_manifests(captures, ticks, streams, days, destinations, created_at,
@@ -153,7 +180,7 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     inputs = selected.select(*REVISION, "scheduled_at", F.col("capture_id").alias("id"),
                              F.col("body_sha256").alias("sha256"), F.col("decoded_length").alias("bytes"))
     R.write_inputs(R.of_days(inputs, accepted), root)
-    files = R.list_files(spark, root, accepted, nested, flat, selected, counts)
+    files = R.list_files(spark, root, accepted, nested_placed, placed, selected, counts)
     R.write_files(R.of_days(files, accepted), root)
     listed_inputs, listed_files = (R.of_days(t, accepted) for t in (R.scan_inputs(spark, root), R.scan_files(spark, root)))
     R.write_manifests(M.manifest_documents(accepted, listed_inputs, listed_files), root)

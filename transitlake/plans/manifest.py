@@ -14,10 +14,6 @@ from transitlake.operators.ledger import REVISION
 from transitlake.operators.statistics import DAY
 from transitlake.schemas import ARTIFACT
 
-# --- fixed values: a local day has at most 25 hours, and a stream is polled at most
-# once a second, so a document lists at most this many inputs.
-MAX_LISTED_INPUTS = 25 * 60 * 60
-
 _ZERO_TICKS = ("scheduled_ticks", "skipped_ticks", "http_failures", "network_failures")
 _ZERO_CAPTURES = ("captured_responses", "valid_snapshots", "invalid_payloads", "entity_total",
                   "largest_fetch_gap_ms")
@@ -98,11 +94,11 @@ def with_destinations(manifests: DataFrame, destinations: DataFrame) -> DataFram
 def manifest_documents(manifests: DataFrame, inputs: DataFrame, files: DataFrame) -> DataFrame:
     """Manifests with their files and inputs listed inside, ready to be written as JSON.
 
-    A day beyond the format's own bound keeps its lists in the long tables only, where
-    they are always complete.
+    Every document has both lists whole. A list is one stream's polls of one local day:
+    a stream is polled at most once a second, and a local day has at most 25 hours.
     """
     keys = list(REVISION)
-    listed = manifests.filter(F.col("captured_responses") <= MAX_LISTED_INPUTS).select(*keys)
+    listed = manifests.select(*keys)
     entry = F.struct("scheduled_at", "id", "sha256", "bytes")
     input_lists = (
         inputs.join(listed, keys, "left_semi").groupBy(*keys)

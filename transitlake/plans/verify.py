@@ -29,6 +29,7 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
     listed = F.coalesce("required_destinations", F.array().cast("array<string>"))
     has_destinations = F.coalesce(F.size("destinations") > 0, F.lit(False))
     flattened = c("schema_version") == K.SCHEMA_FLATTENED
+    may_lack_parts = F.coalesce(flattened & (c("stop_time_update_total") == 0), F.lit(False))
     return {
         "format_version": missing_or(c("manifest_version") != K.MANIFEST_FORMAT_VERSION)
         | missing_or(c("format_version") != K.PARQUET_FORMAT_VERSION),
@@ -36,7 +37,8 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
         "identity": c("ledger_rows").isNull(),
         "aggregate_counts": missing_or(input_count != c("captured_responses")) | c("entity_total").isNull()
         | (c("captured_responses") != c("ledger_rows")) | (c("entity_total") != c("ledger_entities")),
-        "ready_shape": (c("dataset_status") == "ready") & ((c("captured_responses") <= 0) | (file_count < 1)),
+        # captures that all flatten to nothing leave a day without parts
+        "ready_shape": (c("dataset_status") == "ready") & ((c("captured_responses") <= 0) | ((file_count < 1) & ~may_lack_parts)),
         "empty_shape": (c("dataset_status") == "no_captured_responses")
         & ((c("captured_responses") != 0) | (file_count != 0)),
         "dataset_status": missing_or(~c("dataset_status").isin(*K.DATASET_STATUSES)),

@@ -281,5 +281,4 @@ def reconcile_counters(b: Bindings):
     nothing = result.compactions.filter("false")
     found = verify.verify_revisions(result.manifests, nothing, result.inputs, result.files, R.scan_parts(b.spark, root))
     adopted = reconcile.adoptable(result.manifests, nothing, result.inputs, captures, found)
-    unsound = found.filter(~F.col("violation").isin("identity", "ledger_artifact"))
-    return reconcile.reconcile_counters(checked, classified, adopted, unsound)
+    return reconcile.reconcile_counters(checked, classified, adopted, found)
