@@ -149,6 +149,9 @@ def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: Dat
     # the list of days decides everything below, so it is settled once
     days = R.materialize(days.select(*REVISION), root, "days")
     bodies = bodies_of_days(bodies, days)
+    # statistics and inputs concern these days; their dates prune the ledger's directories
+    dated = days.filter("archive_date > ''").select(*DAY)
+    captures, ticks = (t.join(dated, list(DAY), "left_semi") for t in (captures, ticks))
     old = R.materialize(R.leftovers(spark, root, days), root, "leftovers")
     R.write_nested(nested_plan(captures, bodies, days), root, options)
     R.write_flattened(flattened_plan(captures, bodies, days), root, options)

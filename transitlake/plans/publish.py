@@ -157,12 +157,17 @@ def release(compactions: DataFrame, publications: DataFrame, verified: DataFrame
         "status": F.lit("published"), "published_at": now})
 
 
+def publication_id(destination: Column) -> Column:
+    """A stable 63-bit id of a revision's (``compaction_id``) publication."""
+    return F.shiftrightunsigned(F.xxhash64(F.col("compaction_id"), destination), 1)
+
+
 def backfill(compactions: DataFrame, publications: DataFrame, destination: str, now: Column) -> DataFrame:
     """Queue a destination, as optional, for every revision that still has files."""
     queued = publications.filter(F.col("destination_id") == destination).select("compaction_id")
     missing = compactions.filter("manifest_path <> ''").join(queued, "compaction_id", "left_anti")
     return missing.select(
-        F.shiftrightunsigned(F.xxhash64("compaction_id", F.lit(destination)), 1).alias("publication_id"),
+        publication_id(F.lit(destination)).alias("publication_id"),
         "compaction_id", F.lit(destination).alias("destination_id"), F.lit(False).alias("required"),
         F.lit("pending").alias("status"), F.lit(0).alias("attempt_count"), now.alias("next_attempt_at"),
         F.lit("").alias("last_error"), F.lit("").alias("remote_path"),
@@ -207,9 +212,6 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return state.join(changed.select(key), key, "left_anti").unionByName(changed)
 
 
-
-
-
 def _refuse_unsound(spark: SparkSession, root: str, work: DataFrame, compactions: DataFrame,
                     manifests: DataFrame) -> DataFrame:
     """Due publications, those of revisions that do not verify marked local_integrity."""

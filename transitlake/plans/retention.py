@@ -1,7 +1,7 @@
 """Retention: what may be dropped, and what remains of it.
 
-Nothing here deletes a file. The candidates are tables; ``remove_files`` applies a
-list of paths only when a caller asks for it.
+Nothing here deletes a file. The candidates are tables, and :func:`files_to_remove` lists
+paths for the caller, who deletes them.
 """
 
 from __future__ import annotations

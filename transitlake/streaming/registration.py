@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from transitlake.operators.ledger import latest_revision
+from transitlake.operators.ledger import REVISION, latest_revision
 from transitlake.operators.statistics import DAY
-from transitlake.plans.compact import ledger_id
+from transitlake.plans import jobs
+from transitlake.plans.compact import CompactionResult, ledger_id
 from transitlake.schemas import CAPTURE, COMPACTION
 from transitlake.sources.ledger import Ledger
 
@@ -41,11 +42,14 @@ def touched_days(captures: DataFrame, arrived: DataFrame, compactions: DataFrame
 
 
 def revise_late_days(ledger: Ledger, created_at: Column,
-                     compact: Callable[[DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
+                     compact: Callable[[DataFrame], CompactionResult | None] | None = None,
+                     destinations: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: register a batch, then open revisions of its days.
 
-    ``compact`` writes the data of the days it is given; without it only the ledger
-    rows are made.
+    ``compact`` writes the data of the days it is given. What it returns is what the ledger
+    gets: its revisions with their paths and hashes, their inputs, and a publication for each
+    of ``destinations``; a day it refused gets no row. Without ``compact``, or where it only
+    takes note of the days, rows without data are made, for a ledger kept elsewhere.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -53,8 +57,12 @@ def revise_late_days(ledger: Ledger, created_at: Column,
         captures = ledger.current("captures", arrived)
         done = ledger.changes("compactions", arrived).filter(F.col("change_seq") < batch_id)
         days = touched_days(captures, arrived, done)
-        if compact is not None:
-            compact(days)
+        # a batch that is run once more leaves the revisions it already recorded
+        mine = ledger.changes("compactions", arrived).filter(F.col("change_seq") == batch_id)
+        result = None if compact is None else compact(days.join(mine.select(*REVISION), list(REVISION), "left_anti"))
+        if result is not None:
+            jobs.record_compaction(ledger, result, destinations, created_at, batch_id)
+            return
         values = {"compaction_id": ledger_id(), "format_version": F.lit(1), "status": F.lit("ready"), "created_at": created_at}
         rows = days.withColumns(values)
         columns = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
