@@ -25,10 +25,6 @@ def test_from_landing_to_retention(spark, tmp_path):
     streams = lake.streams(spark, ("demo", "trips", "trip_update", "UTC"))
     target = lake.destinations(spark, ("primary", True, f"file://{root}/out"), ("spare", True, ""))
     write_landing(lake.captures_with_bodies(spark, flattened_bodies()), root)
-    # an empty lake has no manifests, inputs or files; a first compaction of nothing makes the trees
-    none = lake.days(spark, ("demo", "trips", "2026-08-11", 1)).filter("false")
-    compact.compact_days(spark, root, ledger.current("captures"), lake.ticks(ledger.current("captures")),
-                         B.scan_bodies(spark, root), streams, none, target, at("2026-08-12"))
     found = jobs.reconcile_lake(ledger, root, at("2026-08-20"), 1).first()
     assert (found["captures_registered"], found["revisions_adopted"], found["corrupt"]) == (3, 0, 0)
 

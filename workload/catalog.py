@@ -1,6 +1,7 @@
 """All queries, by importing the modules that register them."""
 
 from workload import (  # noqa: F401
+    applied_queries,
     calendar_queries,
     decode_queries,
     job_queries,
