@@ -43,11 +43,29 @@ def test_classifiers(spark, labels):
 
 def test_toxic_grammar():
     model = toxicity.Model({**toxicity.fixed_lexicon(), "fool": ("insult", 4.0)})
-    plain, aimed = model.weight("what a fool"), model.weight("you fool")
-    assert aimed > plain > model.weight("he is not a fool, it rains") > 0
-    assert model.weight("a fool") > model.weight("the paper reported a fool")
-    assert model.weight("will kill. you") < model.weight("they will kill")
-    assert model.weight("") == model.weight("nothing here") == 0
+    weight = lambda text: model.weigh(text)[0]
+    plain, aimed = weight("what a fool"), weight("you fool")
+    assert aimed > plain > weight("he is not a fool, it rains") > 0
+    assert weight("a fool") > weight("the paper reported a fool")
+    assert weight("will kill. you") < weight("they will kill")
+    assert weight("") == weight("nothing here") == 0
+    stems = toxicity.Model({**toxicity.fixed_lexicon(), "wretch*": ("insult", 3.0), "wretched": ("insult", 5.0)})
+    assert [stems.weigh(t) for t in ("a wretch", "all wretches, wretched", "wre")] == [(3.0, 2), (8.0, 3), (0.0, 1)]
+
+
+def test_toxic_stems_are_learned_from_their_inflections(spark):
+    """No inflection is frequent; a long clean text that holds the stem once is left alone."""
+    clean = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(300))
+    ends = "ab cd ef gh ij kl mn op qr st uv wx".split()
+    rows = [(i, " ".join(f"{clean[7 * (i % 40 + 20 * k):][:63]} grobul{ends[(i + k) % 12]}" for k in range(3)), 1) for i in range(80)]
+    rows += [(1000 + i, clean[7 * (i % 40):] + (" grobulzz" if i % 5 == 0 else ""), 0) for i in range(160)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, "toxic")
+    assert any(term.startswith("grobul") and term.endswith("*") for term in model.lexicon)
+    unseen = spark.createDataFrame([(1, "so grobulyy it is, grobulvv and grobuluu"), (2, clean + " grobulyy"), (3, "")], docs.schema)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(unseen, model).collect()}
+    assert scores[1] > 0.7 > 0.3 > max(scores[2], scores[3])
 
 
 def test_near_duplicates(spark):

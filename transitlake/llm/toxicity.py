@@ -11,8 +11,11 @@ They are composed into one transducer, and a clause weighs what its path weighs:
 arc's factor times the term's own weight. Isolated words of other classes weigh
 nothing. The lexicon of insults is learned: terms whose odds in toxic texts are higher
 with confidence, and which occur in several contexts (so that copies of one text do not
-make terms of its words). Threats, targets, negators and verbs of saying are fixed
-lists. A logistic curve over the document's weight gives its score.
+make terms of its words). A term is a word, or a stem (``worthl*``) whose inflections are
+too rare one by one; a stem is weighed by how much denser it stands in toxic texts. Threats,
+targets, negators and verbs of saying are fixed lists. A logistic curve over the document's
+weight, and its weight for a thousand words, gives its score: a long clean text may hold a
+stem by chance, but not densely.
 
 How sure a term must be, and the curve, are chosen on the quarter of the sample that the
 lexicon has not seen. Lexicon and curve are learned from a bounded sample of labelled rows (``sample``), and
@@ -29,14 +32,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlake.llm.quality_classifier import logistic
 from transitlake.llm.tables import prepare
 
 SAMPLE = 20000
 TERMS = 4000
+STEMS = range(3, 9)  # lengths of stems in characters
+SAME_STEM = 0.9      # share of a stem's words that a longer one has, for it to stand in its place
+CLEAN_WORDS = 50     # words added to a text's own for its density, so that one word of few is no dense text
 BARS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0)  # lower bounds of the log odds ratio to choose from
 
 # Word classes in English, French, German and Spanish.
@@ -124,8 +129,9 @@ def grammar() -> Transducer:
 
 @dataclass
 class Model:
-    lexicon: dict  # term -> (class, weight)
-    slope: float = 1.0
+    lexicon: dict  # term, a stem with ``*`` -> (class, weight)
+    slope: float = 1.0           # for the logarithm of the weight
+    density_slope: float = 0.0   # for that of the weight for a thousand words
     offset: float = -3.0
 
     def __post_init__(self):
@@ -133,24 +139,37 @@ class Model:
         for (state, symbol), (after, out, factor) in grammar().arcs.items():
             self.arcs.setdefault(state, {})[symbol] = (after, factor if out == "hit" else 0.0)
         self.start = grammar().start
-        self.heavy = {term for term, (kind, _) in self.lexicon.items() if kind in ("insult", "threat")}
-
-    def weight(self, text: str) -> float:
-        """The sum over the text's clauses of what their matched patterns weigh."""
+        heavy = [term.removesuffix("*") for term, (kind, _) in self.lexicon.items() if kind in ("insult", "threat")]
+        # what no term of weight begins with is not looked up as a stem
+        self.heads = {term[:STEMS[0]] for term in heavy}
+        self.stems = [k for k in STEMS if any(len(t) == k + 1 and t[-1] == "*" for t in self.lexicon)]
+
+    def entry(self, token: str) -> tuple[str, float]:
+        """Class and weight of a word: its own, or those of the weightiest of its stems."""
+        own = self.lexicon.get(token, ("word", 0.0))
+        if own[0] in ("word", "insult") and token[:STEMS[0]] in self.heads:
+            for k in self.stems:
+                stem = self.lexicon.get(token[:k] + "*")
+                if stem and stem[1] > own[1] and len(token) >= k:
+                    own = stem
+        return own
+
+    def weigh(self, text: str) -> tuple[float, int]:
+        """The sum over the text's clauses of what their matched patterns weigh, and its words."""
         lowered = text.lower()
-        if self.heavy.isdisjoint(TOKEN.findall(lowered)):
-            return 0.0
-        total = 0.0
+        heads, width = self.heads, STEMS[0]
+        total, words = 0.0, 0
         for clause in CLAUSE.split(lowered):
             tokens = TOKEN.findall(clause)
-            if self.heavy.isdisjoint(tokens):
+            words += len(tokens) - tokens.count(",")
+            if heads.isdisjoint([token[:width] for token in tokens]):
                 continue
             state = self.start
             for token in tokens:
-                kind, own = ("comma", 0.0) if token == "," else self.lexicon.get(token, ("word", 0.0))
+                kind, own = ("comma", 0.0) if token == "," else self.entry(token)
                 state, factor = self.arcs[state][kind]
                 total += factor * own
-        return total
+        return total, words
 
 
 def fixed_lexicon() -> dict:
@@ -160,39 +179,77 @@ def fixed_lexicon() -> dict:
 
 
 def learned_terms(rows: DataFrame, terms: int = TERMS, contexts: int = 3, confidence: float = 1.64) -> dict:
-    """``term -> (log odds ratio, its lower bound)`` for terms with higher odds in toxic texts."""
+    """``term -> (log odds ratio, its lower bound)`` for terms with higher odds in toxic texts.
+
+    A word's odds are those of the texts that have it. A stem's are those of its occurrences,
+    as confident as its texts are many, and it must be twice as likely in a toxic text as well.
+    """
     def run(batches):
         for batch in batches:
-            seen: dict = {}
+            seen: dict = {}  # (term, around, label) -> texts whose first occurrence it is, occurrences
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tokens = TOKEN.findall((text or "").lower())
-                own = set()
+                own: dict = {}
                 for i, token in enumerate(tokens):
-                    if token in own or len(token) < 2:
+                    if len(token) < 2:
                         continue
-                    own.add(token)
-                    around = f"{tokens[i - 1] if i else ''} {tokens[i + 1] if i + 1 < len(tokens) else ''}" if label else ""
-                    seen[token, around, label] = seen.get((token, around, label), 0) + 1
+                    for term in (token, *[token[:k] + "*" for k in STEMS if k <= len(token)]):
+                        if term not in own:
+                            around = f"{tokens[i - 1] if i else ''} {tokens[i + 1] if i + 1 < len(tokens) else ''}" if label else ""
+                            own[term] = [around, 0]
+                        own[term][1] += 1
+                for term, (around, n) in own.items():
+                    counts = seen.setdefault((term, around, label), [0, 0])
+                    counts[0] += 1
+                    counts[1] += n
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([
                 pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                pa.array([k[2] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())],
-                names=["term", "around", "label", "n"])
+                pa.array([k[2] for k in keys], pa.int32()), pa.array([seen[k][0] for k in keys], pa.int64()),
+                pa.array([seen[k][1] for k in keys], pa.int64())], names=["term", "around", "label", "n", "hits"])
 
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic:
         return {}
-    counted = rows.select("text", "label").mapInArrow(run, "term string, around string, label int, n bigint") \
-        .groupBy("term", "around", "label").agg(F.sum("n").alias("n")) \
-        .groupBy("term").agg(F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"),
-                             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("neg"),
-                             F.count(F.when(F.col("label") == 1, True)).alias("contexts"))
-    odds = F.log((F.col("pos") + 0.5) / (toxic + 1.0)) - F.log((F.col("neg") + 0.5) / (clean + 1.0))
-    least = odds - confidence * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    found = counted.where(F.col("contexts") >= contexts).select("term", odds.alias("odds"), least.alias("least")) \
+    def total(column: str, label: int) -> Column:
+        return F.sum(F.when(F.col("label") == label, F.col(column)).otherwise(0))
+
+    counted = rows.select("text", "label").mapInArrow(run, "term string, around string, label int, n bigint, hits bigint") \
+        .groupBy("term", "around", "label").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")) \
+        .groupBy("term").agg(total("n", 1).alias("pos"), total("n", 0).alias("neg"), total("hits", 1).alias("pos_hits"),
+                             total("hits", 0).alias("neg_hits"), F.count(F.when(F.col("label") == 1, True)).alias("contexts"))
+
+    def ratio(pos: str, neg: str) -> Column:
+        return F.log((F.col(pos) + 0.5) / (toxic + 1.0)) - F.log((F.col(neg) + 0.5) / (clean + 1.0))
+
+    stem, spread = F.col("term").endswith("*"), confidence * F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    odds = F.when(stem, ratio("pos_hits", "neg_hits")).otherwise(ratio("pos", "neg"))
+    found = counted.where(F.col("contexts") >= contexts).where(~stem | (ratio("pos", "neg") - spread > math.log(2))) \
+        .select("term", odds.alias("odds"), (odds - spread).alias("least"), "pos_hits") \
         .where(F.col("least") > BARS[0]).orderBy(F.desc("least"), "term").limit(terms).collect()  # ``terms`` rows at most
-    return {r["term"]: (r["odds"], r["least"]) for r in found}
+    # of stems that stand for the same words the longest is the closest
+    hits = {r["term"]: r["pos_hits"] for r in found}
+    loose = {term[:k] + "*" for term in hits if term.endswith("*") for k in range(STEMS[0], len(term) - 1)
+             if hits[term] >= SAME_STEM * hits.get(term[:k] + "*", math.inf)}
+    return {r["term"]: (r["odds"], r["least"]) for r in found if r["term"] not in loose}
+
+
+def curve(features: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Slopes of the two features, none negative, and the offset of a logistic curve, by Newton steps."""
+    used = [k for k in range(len(features)) if features[k].any()]
+    while True:
+        design = np.stack([*features[used], np.ones(len(y))])
+        beta, ridge = np.zeros(len(design)), 1e-2 * np.eye(len(design))
+        for _ in range(steps):
+            p = 1 / (1 + np.exp(-np.clip(beta @ design, -35, 35)))
+            step = np.linalg.solve((design * (p * (1 - p) + 1e-9)) @ design.T + ridge, design @ (p - y) + ridge @ beta)
+            beta = beta - step * min(1.0, 4.0 / (np.abs(step).max() + 1e-12))
+        if not used or beta[:-1].min() >= 0:
+            found = np.zeros(len(features) + 1)
+            found[[*used, -1]] = beta
+            return found
+        used.pop(int(beta[:-1].argmin()))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
@@ -211,31 +268,34 @@ def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", t
     y, best, chosen_model = rest["id"].to_numpy(), math.inf, models[0]
     if len(set(y.tolist())) < 2:
         return chosen_model
+    per_thousand = 1000 / (rest["words"].to_numpy() + CLEAN_WORDS)
     for i, model in enumerate(models):
-        x = np.log1p(rest["weights"].combine_chunks().values.to_numpy()[i::len(models)])
-        slope, offset = logistic(x, y) if x.any() else (0.0, 0.0)
-        p = np.clip(1 / (1 + np.exp(-np.clip(slope * x + offset, -35, 35))), 1e-9, 1 - 1e-9)
+        weight = rest["weights"].combine_chunks().values.to_numpy()[i::len(models)]
+        x = np.log1p(np.stack([weight, weight * per_thousand]))
+        slopes = curve(x, y)
+        p = np.clip(1 / (1 + np.exp(-np.clip(slopes @ np.stack([*x, np.ones(len(y))]), -35, 35))), 1e-9, 1 - 1e-9)
         share = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both classes weigh the same
         loss = float((share * -np.where(y == 1, np.log(p), np.log(1 - p))).mean())
         if loss < best - 1e-3:
-            best, chosen_model = loss, Model(model.lexicon, slope, offset)
+            best, chosen_model = loss, Model(model.lexicon, *map(float, slopes))
     return chosen_model
 
 
 def _weighed(rows: DataFrame, models: list[Model], kind: str) -> DataFrame:
-    """``id, weights``: what the document weighs by each model."""
+    """``id, weights, words``: what the document weighs by each model, and its words."""
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
         own = shared.value
         for batch in batches:
-            weights = [m.weight(text or "") for text in batch.column(1).to_pylist() for m in own]
+            found = [m.weigh(text or "") for text in batch.column(1).to_pylist() for m in own]
             offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * len(own)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(weights, pa.float64())),
-            ], names=["id", "weights"])
+                batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array([f[0] for f in found], pa.float64())),
+                pa.array([f[1] for f in found[::len(own)]], pa.int64()),
+            ], names=["id", "weights", "words"])
 
-    return rows.select("id", "text").mapInArrow(run, f"id {kind}, weights array<double>")
+    return rows.select("id", "text").mapInArrow(run, f"id {kind}, weights array<double>, words bigint")
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,6 +303,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     prepare(docs.sparkSession)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     weight = F.col("weights")[0]
-    curve = 1 / (1 + F.exp(-(F.log1p(weight) * model.slope + model.offset)))
+    density = weight * 1000 / (F.col("words") + CLEAN_WORDS)
+    margin = F.log1p(weight) * model.slope + F.log1p(density) * model.density_slope + model.offset
     return _weighed(rows, [model], dict(docs.dtypes)[key]).select(
-        F.col("id").alias(key), weight.alias("weight"), curve.alias("score"))
+        F.col("id").alias(key), weight.alias("weight"), (1 / (1 + F.exp(-margin))).alias("score"))
