@@ -5,7 +5,7 @@ from transitlake.operators.wire import message_class
 MALFORMED = bytes([0xFF, 0x01, 0x02])
 
 
-def feed(version="2.2.0", timestamp=1786600000, incrementality=None):
+def feed(version="2.0", timestamp=1735700400, incrementality=None):
     message = message_class()()
     if version is not None:
         message.header.gtfs_realtime_version = version.encode()
@@ -22,26 +22,26 @@ def five_entities():
     e1 = m.entity.add(id=b"e1")
     trip(e1)
     v = e1.trip_update.vehicle
-    v.id, v.label, v.license_plate = b"veh-1", b"Bus 1", b"ABC123"
-    e1.trip_update.timestamp, e1.trip_update.delay = 1786600005, 42
-    s = e1.trip_update.stop_time_update.add(stop_sequence=10, stop_id=b"100", schedule_relationship=1)
-    s.arrival.delay, s.arrival.time, s.arrival.uncertainty = 3, 1786600030, 15
-    s.departure.delay, s.departure.time, s.departure.uncertainty = 4, 1786600060, 16
-    s.stop_time_properties.assigned_stop_id = b"100-plat2"
-    e1.trip_update.stop_time_update.add(stop_sequence=11, stop_id=b"200")
+    v.id, v.label, v.license_plate = b"tram/44", b"Harbour line", b"KX 771"
+    e1.trip_update.timestamp, e1.trip_update.delay = 1735700311, -75
+    s = e1.trip_update.stop_time_update.add(stop_sequence=3, stop_id=b"quay", schedule_relationship=1)
+    s.arrival.delay, s.arrival.time, s.arrival.uncertainty = 61, 1735700555, 8
+    s.departure.delay, s.departure.time, s.departure.uncertainty = 58, 1735700600, 9
+    s.stop_time_properties.assigned_stop_id = b"quay:east"
+    e1.trip_update.stop_time_update.add(stop_sequence=7, stop_id=b"mill")
     trip(m.entity.add(id=b"e2"))
     m.entity.add(id=b"e3", is_deleted=True)
     e4 = m.entity.add(id=b"e4", is_deleted=True)
     trip(e4)
-    e4.trip_update.stop_time_update.add(stop_sequence=10)
+    e4.trip_update.stop_time_update.add(stop_sequence=21)
     m.entity.add(id=b"e5").vehicle.timestamp = 1
     return m
 
 
 def trip(entity, relationship=0):
     t = entity.trip_update.trip
-    t.trip_id, t.route_id, t.direction_id = b"trip-9", b"route-2", 1
-    t.start_time, t.start_date, t.schedule_relationship = b"07:30:00", b"20260812", relationship
+    t.trip_id, t.route_id, t.direction_id = b"run 0815", b"H", 1
+    t.start_time, t.start_date, t.schedule_relationship = b"22:05:30", b"20250101", relationship
 
 
 def body(message) -> bytes:

@@ -20,12 +20,12 @@ def flattened_bodies():
     one, two = feed(), feed()
     e1 = one.entity.add(id=b"e1")
     trip(e1)
-    e1.trip_update.stop_time_update.add(stop_sequence=10, stop_id=b"100")
-    e1.trip_update.stop_time_update.add(stop_sequence=11, stop_id=b"200")
+    e1.trip_update.stop_time_update.add(stop_sequence=4, stop_id=b"quay")
+    e1.trip_update.stop_time_update.add(stop_sequence=9, stop_id=b"mill")
     trip(one.entity.add(id=b"e2"))
     e4 = two.entity.add(id=b"e4", is_deleted=True)
     trip(e4)
-    e4.trip_update.stop_time_update.add(stop_sequence=10)
+    e4.trip_update.stop_time_update.add(stop_sequence=17)
     return [body(one), MALFORMED, body(two)]
 
 
@@ -33,7 +33,7 @@ def nested_bodies():
     m = feed()
     m.entity.add(id=b"v").vehicle.timestamp = 5
     trip(m.entity.add(id=b"t"))
-    m.entity.add(id=b"a").alert.header_text.translation.add(text=b"Service disruption", language=b"en")
+    m.entity.add(id=b"a").alert.header_text.translation.add(text=b"Ferry replaced by coach", language=b"en")
     m.entity.add(id=b"d", is_deleted=True)
     return [body(m), MALFORMED, body(m)]
 
@@ -67,7 +67,7 @@ def manifest(compacted, stream):
 
 def test_flattened_day(spark, compacted):
     rows = R.read_revisions(spark, compacted["root"], flattened=True).collect()
-    assert sorted((r["entity_id"], r["stop_id"] or "") for r in rows) == [("e1", "100"), ("e1", "200"), ("e2", ""), ("e4", "")]
+    assert sorted((r["entity_id"], r["stop_id"] or "") for r in rows) == [("e1", "mill"), ("e1", "quay"), ("e2", ""), ("e4", "")]
     m = manifest(compacted, "trips")
     assert (m["captured_responses"], m["entity_total"], m["stop_time_update_total"]) == (3, 3, 3)
     assert m["schema_version"] == 2 and [f["rows"] for f in m["files"]] == [3]
@@ -87,7 +87,7 @@ def test_file_order_and_columns(spark, compacted):
 def test_nested_day(spark, compacted):
     rows = R.read_revisions(spark, compacted["root"], flattened=False).orderBy("scheduled_at").collect()
     assert [len(r["entities"]) for r in rows] == [4, 0, 4] and bytes(rows[1]["feed_message_pb"]) == MALFORMED
-    assert rows[0]["entities"][2]["alert"]["header_text"]["translation"][0]["text"] == "Service disruption"
+    assert rows[0]["entities"][2]["alert"]["header_text"]["translation"][0]["text"] == "Ferry replaced by coach"
     m = manifest(compacted, "mixed")
     assert (m["valid_snapshots"], m["invalid_payloads"], m["schema_version"]) == (1, 2, 1)
     assert m["stop_time_update_total"] is None and m["entity_total"] == 8
@@ -109,12 +109,22 @@ def test_fresh_revisions_verify(spark, compacted):
 def test_missing_fields_break_their_rules(spark, compacted):
     result = compacted["result"]
     rules = {"manifest_version": "format_version", "format_version": "format_version", "schema_version": "schema_version",
-             "dataset_status": "dataset_status", "captured_responses": "aggregate_counts", "entity_total": "aggregate_counts"}
+             "dataset_status": "dataset_status", "captured_responses": "aggregate_counts", "entity_total": "aggregate_counts",
+             "expected_kind": "flattened_kind", "stop_time_update_total": "flattened_total"}
     for field, rule in rules.items():
         kind = result.manifests.schema[field].dataType
         damaged = result.manifests.withColumn(field, F.lit(None).cast(kind))
         found = verify.manifest_violations(damaged, result.compactions, result.inputs, result.files)
         assert rule in {r["violation"] for r in found.collect()}, field
+    # the same of the ledger, but nothing is said of a revision that the ledger does not have
+    parts = R.scan_parts(spark, compacted["root"])
+    for field, rule in {"rows": "aggregate_counts", "entities": "aggregate_counts", "data_bytes": "ledger_artifact",
+                        "data_path": "ledger_artifact", "data_sha256": "ledger_artifact"}.items():
+        damaged = result.compactions.withColumn(field, F.lit(None).cast(result.compactions.schema[field].dataType))
+        found = verify.verify_revisions(result.manifests, damaged, result.inputs, result.files, parts)
+        assert rule in {r["violation"] for r in found.collect()}, field
+    unknown = verify.verify_revisions(result.manifests, result.compactions.filter("false"), result.inputs, result.files, parts)
+    assert {r["violation"] for r in unknown.collect()} == {"identity"}
 
 
 def test_damage_is_found(spark, compacted):

@@ -44,7 +44,7 @@ def test_decode_classes(spark):
     assert rows[4]["message"]["header"] is None and rows[4]["message"]["entity"] == []
     assert rows[4]["entity_count"] is None and rows[4]["validation_flags"] == []
     # a missing required field elsewhere still leaves header facts and count
-    assert rows[5]["feed_version"] == "2.2.0" and rows[5]["entity_count"] == 1
+    assert rows[5]["feed_version"] == "2.0" and rows[5]["entity_count"] == 1
 
 
 def test_timestamp_flags_survive_the_whole_unsigned_range(spark):
@@ -90,17 +90,17 @@ def test_flatten_grain_and_values(spark):
     rows, counts = flat(spark, body(five_entities()))
     assert counts == (4, 3)
     assert [(r["entity_id"], r["stop_id"], r["is_deleted"]) for r in rows] == [
-        ("e1", "100", False), ("e1", "200", False), ("e2", None, False), ("e4", None, True)]
+        ("e1", "quay", False), ("e1", "mill", False), ("e2", None, False), ("e4", None, True)]
     first = rows[0]
-    assert (first["arrival_delay"], first["arrival_time"], first["arrival_uncertainty"]) == (3, 1786600030, 15)
-    assert (first["departure_delay"], first["departure_time"]) == (4, 1786600060)
-    assert first["assigned_stop_id"] == "100-plat2" and first["stop_schedule_relationship"] == 1
-    assert first["license_plate"] == "ABC123" and first["trip_delay"] == 42
-    assert first["trip_timestamp"] == Decimal(1786600005) and first["direction_id"] == 1
+    assert (first["arrival_delay"], first["arrival_time"], first["arrival_uncertainty"]) == (61, 1735700555, 8)
+    assert (first["departure_delay"], first["departure_time"]) == (58, 1735700600)
+    assert first["assigned_stop_id"] == "quay:east" and first["stop_schedule_relationship"] == 1
+    assert first["license_plate"] == "KX 771" and first["trip_delay"] == -75
+    assert first["trip_timestamp"] == Decimal(1735700311) and first["direction_id"] == 1
     assert rows[1]["stop_schedule_relationship"] is None and rows[1]["arrival_delay"] is None
-    assert rows[2]["stop_sequence"] is None and rows[2]["trip_id"] == "trip-9"
-    assert rows[3]["stop_sequence"] == 10
-    assert first["incrementality"] == 1 and first["feed_version"] == "2.2.0"
+    assert rows[2]["stop_sequence"] is None and rows[2]["trip_id"] == "run 0815"
+    assert rows[3]["stop_sequence"] == 21
+    assert first["incrementality"] == 1 and first["feed_version"] == "2.0"
 
 
 def test_presence(spark):
@@ -132,7 +132,7 @@ def test_unknown_enum_and_broken_utf8_are_kept(spark):
 def test_nested_projection_keeps_presence(spark):
     m = feed(timestamp=EPOCH)
     a = m.entity.add(id=b"a").alert
-    a.header_text.translation.add(text=b"Service disruption", language=b"en")
+    a.header_text.translation.add(text=b"Ferry replaced by coach", language=b"en")
     a.active_period.add(start=2**64 - 1)
     a.informed_entity.add(route_id=b"r")
     v = m.entity.add(id=b"v").vehicle
@@ -140,7 +140,7 @@ def test_nested_projection_keeps_presence(spark):
     v.multi_carriage_details.add(carriage_sequence=3, occupancy_percentage=-1)
     df = decode_bodies(captures(spark, [body(m), MALFORMED]))
     alert, vehicle = df.orderBy("capture_id").first()["message"]["entity"]
-    assert alert["alert"]["header_text"]["translation"][0]["text"] == "Service disruption"
+    assert alert["alert"]["header_text"]["translation"][0]["text"] == "Ferry replaced by coach"
     assert alert["alert"]["active_period"][0].asDict() == {"start": Decimal(2**64 - 1), "end": None}
     assert alert["trip_update"] is None and alert["alert"]["cause"] is None and alert["alert"]["url"] is None
     assert vehicle["vehicle"]["position"]["latitude"] == 49.25

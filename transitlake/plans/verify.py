@@ -29,14 +29,16 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
     listed = F.coalesce("required_destinations", F.array().cast("array<string>"))
     has_destinations = F.coalesce(F.size("destinations") > 0, F.lit(False))
     flattened = c("schema_version") == K.SCHEMA_FLATTENED
+    in_ledger = c("ledger_known").isNotNull()
     may_lack_parts = F.coalesce(flattened & (c("stop_time_update_total") == 0), F.lit(False))
     return {
         "format_version": missing_or(c("manifest_version") != K.MANIFEST_FORMAT_VERSION)
         | missing_or(c("format_version") != K.PARQUET_FORMAT_VERSION),
         "schema_version": missing_or(~c("schema_version").isin(*K.SUPPORTED_SCHEMA_VERSIONS)),
-        "identity": c("ledger_rows").isNull(),
+        "identity": ~in_ledger,
         "aggregate_counts": missing_or(input_count != c("captured_responses")) | c("entity_total").isNull()
-        | (c("captured_responses") != c("ledger_rows")) | (c("entity_total") != c("ledger_entities")),
+        | (in_ledger & (missing_or(c("captured_responses") != c("ledger_rows"))
+                        | missing_or(c("entity_total") != c("ledger_entities")))),
         # captures that all flatten to nothing leave a day without parts
         "ready_shape": (c("dataset_status") == "ready") & ((c("captured_responses") <= 0) | ((file_count < 1) & ~may_lack_parts)),
         "empty_shape": (c("dataset_status") == "no_captured_responses")
@@ -45,7 +47,7 @@ def manifest_rules(input_count: Column, file_count: Column) -> dict[str, Column]
         "destination_ids": has_destinations
         & (F.exists(ids, lambda i: i == "") | (F.size(F.array_distinct(ids)) != F.size(ids))),
         "destination_snapshot": has_destinations & (F.array_sort(required) != F.array_sort(listed)),
-        "flattened_kind": flattened & (c("expected_kind") != "trip_update"),
+        "flattened_kind": flattened & missing_or(c("expected_kind") != "trip_update"),
         "flattened_total": flattened & (c("expected_kind") == "trip_update") & c("stop_time_update_total").isNull(),
     }
 
@@ -59,7 +61,8 @@ def manifest_violations(manifests: DataFrame, compactions: DataFrame, inputs: Da
                         files: DataFrame) -> DataFrame:
     """Violations that follow from documents, ledger and long tables alone."""
     keys = list(REVISION)
-    ledger = compactions.select(*keys, F.col("rows").alias("ledger_rows"), F.col("entities").alias("ledger_entities"))
+    ledger = compactions.select(*keys, F.col("rows").alias("ledger_rows"), F.col("entities").alias("ledger_entities"),
+                                F.lit(True).alias("ledger_known"))
     counted = inputs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_inputs"))
     parts = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("_files"))
     joined = manifests.join(ledger, keys, "left").join(counted, keys, "left").join(parts, keys, "left")
@@ -87,12 +90,16 @@ def file_violations(manifests: DataFrame, compactions: DataFrame, files: DataFra
         F.sum("rows").alias("_rows"), F.sum("entities").alias("_entities"), F.sum("bytes").alias("_size"),
         F.count(F.lit(1)).alias("_parts"), F.max("sha256").alias("_one"))
     ledger = compactions.select(*keys, "data_bytes", "data_sha256", "data_path", "directory")
+    in_ledger = F.col("directory").isNotNull()
     summed = manifests.join(totals, keys).join(ledger, keys, "left")
     per_revision = _as_violations(summed, {
-        "artifact_metadata": (F.col("_rows") != expected_artifact_rows()) | (F.col("_entities") != F.col("entity_total")),
-        "ledger_artifact": (F.col("data_bytes") != F.col("_size"))
-        | ((F.col("_parts") == 1) & (F.col("data_sha256") != F.col("_one")))
-        | ~F.col("data_path").startswith(F.col("directory")),
+        "artifact_metadata": missing_or(F.col("_rows") != expected_artifact_rows())
+        | missing_or(F.col("_entities") != F.col("entity_total")),
+        # without a ledger row there is nothing to compare with
+        "ledger_artifact": in_ledger & (
+            missing_or(F.col("data_bytes") != F.col("_size"))
+            | ((F.col("_parts") == 1) & missing_or(F.col("data_sha256") != F.col("_one")))
+            | missing_or(~F.col("data_path").startswith(F.col("directory")))),
     }, REVISION)
     return per_file.unionByName(per_revision)
 
