@@ -109,6 +109,36 @@ def test_large_group_is_linear(spark):
     assert {r["class_id"] for r in order_minhash.near_duplicate_classes(docs).collect()} == {0}
 
 
+def test_twins_in_a_dense_group_are_all_found(spark):
+    """Texts of one core are strangers (74 of 94 shingles), but each has a twin (76 of 92); none may be missed."""
+    rng, core, rows = random.Random(5), [f"w{i}" for i in range(78)], []
+    for i in range(300):
+        own, other, at = [f"own{i}x{k}" for k in range(10)], list(core), rng.randrange(5, 65)
+        other[at], other[at + 3] = f"p{i}", f"q{i}"
+        rows += [(2 * i, " ".join(core + own), "en", "s", 1), (2 * i + 1, " ".join(other + own), "en", "s", 1)]
+    for i, j in ((0, 1), (0, 2), (1, 3)):
+        near = brute.lcs_similarity(brute.shingles(rows[i][1]), brute.shingles(rows[j][1]))
+        assert (near >= 0.8) == (i // 2 == j // 2)
+    found = order_minhash.near_duplicate_classes(spark.createDataFrame(rows, brute.SCHEMA)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == {i: i - i % 2 for i in range(600)}
+
+
+def test_exact_pairs_miss_none(spark):
+    rng, base = random.Random(6), [f"w{i % 30}" for i in range(60)]
+    texts = {bytes([i]): " ".join(w if rng.random() > 0.02 else rng.choice(base) for w in base[rng.randrange(4):60 - rng.randrange(6)])
+             for i in range(70)}
+    table = spark.createDataFrame([(bytearray(k), t) for k, t in texts.items()], "tkey binary, text string")
+    runs = {k: brute.shingles(t) for k, t in texts.items()}
+    near = {(a, b) for a in texts for b in texts if a < b and brute.lcs_similarity(runs[a], runs[b]) >= 0.8}
+    for joined in (set(), set(sorted(near)[::9])):
+        links = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in joined], "a binary, b binary")
+        root = {bytes(r["node"]): bytes(r["root"]) for r in tables.connected_components(links).collect()}
+        found = {(bytes(r["a"]), bytes(r["b"])) for r in order_minhash.exact_pairs(table, links, salted=4).collect()}
+        apart = {(a, b) for a, b in near if root.get(a, a) != root.get(b, b)}
+        assert len(near) > 100 and apart and apart <= found
+        assert all(root.get(a, a) != root.get(b, b) for a, b in found)
+
+
 def test_link_graph(spark):
     rules = [("good.org", "/", "allow"), ("bad.org", "/", "block")]
     link = "<a href='{}'>x</a>"

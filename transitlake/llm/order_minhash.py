@@ -11,9 +11,12 @@ by a banded alignment of their shingle sequences:
 Candidates come from buckets that adapt to density. Texts that agree in one sketch
 value form a bucket. In a small one all are compared. A larger one is divided by further sketch
 values until its parts are small, and in each part on the way a text is compared with one
-member chosen by hash; texts that are in no large class after that, with four more. So a
-text has a bounded number of comparisons, in a group of any size.
-Exact copies count once; their text is named by 128 bits.
+member chosen by hash. That joins most of a large group in linear work; what it leaves apart is
+then found by an exact join over all texts of larger buckets. Near texts share ``floor`` of the
+longer one's labelled shingles at least, so they share one among the rarest rest of each, and so
+early that what follows can still suffice. Pairs within one class are passed over there, as they
+cannot change the classes; all others are compared. So only what small buckets hold rests on
+the sketches alone. Exact copies count once; their text is named by 128 bits.
 
 Null texts and texts without a word are near to nothing: each document of that kind is
 a class of its own. Texts of fewer than five words have one shingle, all their words.
@@ -35,7 +38,7 @@ SIMILARITY = 0.8
 SKETCHES = 16
 LEAST = 3          # labelled shingles in a sketch value
 SMALL = 8          # buckets up to this size are compared throughout
-HUBS = 5           # members of a larger bucket that its texts are compared with, four of them in the second round
+SALTED = 256       # holders of one rare shingle that a task meets
 BRANCHES = (1, 1, 1, 1, 1)   # further sketch values that divide a larger bucket, level by level
 
 
@@ -90,17 +93,15 @@ def sketches(docs: DataFrame, text: str, width: int = WIDTH, count: int = SKETCH
     return stored(per_row.groupBy("tkey").agg(F.first("sk").alias("sk")), "sketches")
 
 
-def buckets(sketched: DataFrame, count: int = SKETCHES, small: int = SMALL, branches=BRANCHES,
-            hubs: int = HUBS) -> list[DataFrame]:
-    """Tables of ``bucket, tkey, tree, size, hub0, hub1, ...``, level by level; a bucket has two texts or more."""
+def buckets(sketched: DataFrame, count: int = SKETCHES, small: int = SMALL, branches=BRANCHES) -> list[DataFrame]:
+    """Tables of ``bucket, tkey, tree, size, hub``, level by level; a bucket has two texts or more."""
     entries = sketched.select("tkey", F.posexplode("sk").alias("tree", "value")) \
         .select("tkey", "tree", F.xxhash64("tree", "value").alias("bucket"))
     levels = []
     for level, fan in enumerate((*branches, 0)):
-        # every bucket has its own members that the others are compared with
-        least = [F.min(F.struct(F.xxhash64("tkey", "bucket", F.lit(k)).alias("h"), "tkey"))["tkey"].alias(f"hub{k}")
-                 for k in range(hubs)]
-        sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), *least).where("size > 1")
+        # every bucket has its own member that the others are compared with
+        hub = F.min(F.struct(F.xxhash64("tkey", "bucket").alias("h"), "tkey"))["tkey"].alias("hub")
+        sizes = entries.groupBy("bucket").agg(F.count("*").alias("size"), hub).where("size > 1")
         levels.append(stored(entries.join(sizes, "bucket"), f"buckets{level}"))
         large = levels[-1].where(F.col("size") > small)
         if not fan or large.isEmpty():
@@ -119,28 +120,66 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def _with_hub(members: DataFrame, k: int) -> DataFrame:
-    hub = F.col(f"hub{k}")
-    return members.where(F.col("tkey") != hub).select(F.least("tkey", hub).alias("a"), F.greatest("tkey", hub).alias("b"))
-
-
 def first_pairs(levels: list[DataFrame], small: int = SMALL) -> DataFrame:
-    """``a, b``: all pairs of small buckets, and each text of a larger one with its first hub."""
+    """``a, b``: all pairs of small buckets, and each text of a larger one with its hub."""
     found = []
     for members in levels:
         few = members.where(F.col("size") <= small).groupBy("bucket").agg(F.sort_array(F.collect_set("tkey")).alias("all"))
-        found += [_with_hub(members.where(F.col("size") > small), 0),
+        found += [members.where((F.col("size") > small) & (F.col("tkey") != F.col("hub")))
+                  .select(F.least("tkey", "hub").alias("a"), F.greatest("tkey", "hub").alias("b")),
                   few.select("all", F.posexplode("all").alias("at", "a"))
                   .select("a", F.explode(F.slice("all", F.col("at") + 2, F.lit(small))).alias("b"))]
     return _union(found).distinct()
 
 
-def further_pairs(levels: list[DataFrame], links: DataFrame, small: int = SMALL, hubs: int = HUBS) -> DataFrame:
-    """``a, b``: texts of larger buckets that are in no large class yet, with the other hubs."""
-    classes = connected_components(links)
-    settled = classes.join(classes.groupBy("root").count().where(F.col("count") > small), "root").select(F.col("node").alias("tkey"))
-    loose = stored(_union(levels).where(F.col("size") > small).join(settled, "tkey", "left_anti"), "loose")
-    return _union([_with_hub(loose, k) for k in range(1, hubs)]).distinct()
+def labelled_shingles(texts: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``tkey, gram``: a row for each labelled shingle of each text."""
+    def run(batches):
+        for batch in batches:
+            for block in T.blocks(batch.column(1)):
+                hashes, bounds = block.word_hashes(), block.word_offsets
+                runs = [T.shingles(hashes[bounds[i]:bounds[i + 1]], width) for i in range(block.n)]
+                labelled = [T.mix(r + T.occurrences(r).astype(np.uint64) * T.BASE) for r in runs]
+                owners = np.repeat(np.arange(block.first, block.first + block.n), [len(x) for x in labelled])
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(pa.array(owners, pa.int64())), pa.array(np.concatenate(labelled).view(np.int64))],
+                    names=["tkey", "gram"])
+
+    return texts.select("tkey", "text").mapInArrow(run, "tkey binary, gram bigint")
+
+
+def exact_pairs(texts: DataFrame, links: DataFrame, width: int = WIDTH, floor: float = SIMILARITY,
+                salted: int = SALTED) -> DataFrame:
+    """``a, b``: every pair of ``texts`` that may reach ``floor`` and lies in two classes of ``links``.
+
+    Near texts of n and m shingles have r = floor / (1 + floor) x (n + m) in common at least, which
+    is floor x max(n, m) or more. Each text has its shingles sorted, the rarest first. The first
+    that both have is then among the n - floor x n + 1 first ones, at a place behind which
+    (itself included) both have r left. A pair of two classes has one text outside of the
+    class that holds most of a shingle's texts: those meet all, instead of all meeting all.
+    """
+    roots = connected_components(links).select(F.col("node").alias("tkey"), "root")
+    grams = stored(labelled_shingles(texts, width), "grams")
+    ranked = grams.join(grams.groupBy("gram").agg(F.count("*").alias("held")), "gram") \
+        .groupBy("tkey").agg(F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("all"))  # of one text
+    n = F.size("all")
+    first = ranked.join(roots, "tkey", "left").select(
+        "tkey", F.coalesce("root", "tkey").alias("root"), n.alias("n"),
+        F.posexplode(F.slice("all", F.lit(1), (n - F.ceil(n * floor - 1e-6) + 1).cast("int"))).alias("at", "one")) \
+        .where("one.held > 1").select("tkey", "root", "n", "at", F.col("one.gram").alias("gram"))
+    first = stored(first, "prefixes")
+    shared = first.groupBy("gram", "root").agg(F.count("*").alias("many")).groupBy("gram").agg(
+        F.sum("many").alias("holders"), F.count("*").alias("roots"), F.max(F.struct("many", "root"))["root"].alias("main")) \
+        .where("roots > 1").withColumn("salts", F.ceil(F.col("holders") / salted).cast("int")).drop("roots", "holders")
+    held = stored(first.join(shared, "gram"), "shared")
+    name = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("tkey", "root", "n", "at")]
+    left = held.where(F.col("root") != F.col("main")).select(
+        "gram", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *name("x"))
+    right = held.select("gram", F.pmod(F.xxhash64("tkey"), F.col("salts")).cast("int").alias("salt"), *name("y"))
+    common = (F.col("n_x") + F.col("n_y")) * (floor / (1 + floor)) - 1e-6
+    met = left.join(right, ["gram", "salt"]).where(
+        (F.col("root_x") != F.col("root_y")) & (F.col("n_x") - F.col("at_x") >= common) & (F.col("n_y") - F.col("at_y") >= common))
+    return met.select(F.least("tkey_x", "tkey_y").alias("a"), F.greatest("tkey_x", "tkey_y").alias("b")).distinct()
 
 
 def banded_similarity(x: list, y: list, floor: float) -> float:
@@ -220,14 +259,16 @@ def _sequences(side: list, width: int):
 
 
 def near_duplicate_links(docs: DataFrame, text: str = "text", width: int = WIDTH, floor: float = SIMILARITY) -> DataFrame:
-    """``a, b, similarity`` between the keys of different texts that are near."""
+    """``a, b, similarity`` between the keys of different texts that are near; those of one
+    class are not all there, but join it."""
     prepare(docs.sparkSession)
     levels = buckets(sketches(docs, text, width))
     texts = whole_texts(docs, text, _union([members.select("tkey") for members in levels]))
     first = stored(first_pairs(levels), "pairs")
     links = stored(verified(first, texts, width, floor), "near")
     if len(levels) > 1:  # there are larger buckets
-        more = stored(further_pairs(levels, links).join(first, ["a", "b"], "left_anti"), "pairs")
+        dense = levels[0].where(F.col("size") > SMALL).select("tkey").distinct()
+        more = stored(exact_pairs(texts.join(dense, "tkey"), links, width, floor).join(first, ["a", "b"], "left_anti"), "pairs")
         links = links.union(stored(verified(more, texts, width, floor), "near"))
     return links
 
