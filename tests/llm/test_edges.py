@@ -139,6 +139,14 @@ def test_exact_pairs_miss_none(spark):
         assert all(root.get(a, a) != root.get(b, b) for a, b in found)
 
 
+def test_near_copies_with_null_or_equal_keys_keep_one(spark):
+    texts = [" ".join([*(f"w{i}" for i in range(60)), f"end{k}"]) for k in range(4)]
+    for keys in ([None] * 4, [5] * 4, [None, 5, None, 5]):
+        docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in zip(keys, texts)] * 2, brute.SCHEMA)
+        kept = order_minhash.drop_near_duplicates(docs).collect()
+        assert [r["doc_id"] for r in kept] == [max((k for k in keys if k), default=None)]
+
+
 def test_link_graph(spark):
     rules = [("good.org", "/", "allow"), ("bad.org", "/", "block")]
     link = "<a href='{}'>x</a>"

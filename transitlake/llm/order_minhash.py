@@ -278,20 +278,21 @@ def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     """``tkey, root, class_id, class_size, copies``: a row for each distinct text with a word.
 
     ``class_id`` is the least key of the class's documents (null if all are null),
-    ``copies`` how many rows of this text bear that key.
+    ``copies`` how many rows of this text bear that key; only one text of a class has
+    any, the one with the least name of those that bear it.
     """
     links = near_duplicate_links(docs, text, width, floor)
     roots = connected_components(links).select(F.col("node").alias("tkey"), "root")
     rows = docs.where(F.col(text).rlike(r"[^\x20\x09-\x0D]")).select(
         text_key(F.col(text)).alias("tkey"), F.col(key).alias("id"))
     texts = rows.groupBy("tkey", "id").count().groupBy("tkey").agg(
-        F.sum("count").alias("rows"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "count")).alias("least"))
+        F.sum("count").alias("rows"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey", "count")).alias("least"))
     texts = stored(texts.join(roots, "tkey", "left").select(
         "tkey", F.coalesce("root", "tkey").alias("root"), "rows", "least"), "classes")
     classes = texts.groupBy("root").agg(F.sum("rows").alias("class_size"), F.min("least").alias("first"))
     return texts.join(classes, "root").select(
         "tkey", "root", F.col("first.id").alias("class_id"), "class_size",
-        F.when(F.col("least") == F.col("first"), F.col("least.count")).otherwise(F.lit(0)).alias("copies"))
+        F.when(F.col("tkey") == F.col("first.tkey"), F.col("first.count")).otherwise(F.lit(0)).alias("copies"))
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
