@@ -163,6 +163,32 @@ def test_link_graph(spark):
     assert link_graph.judge(pages.where("false"), rules).count() == 0
 
 
+def test_links_decide_by_default(spark):
+    """Default parameters: links between hosts against a plain propagation."""
+    links = {"bad.org": ["bad.org"] * 6, "good.org": ["good.org", "liked.org", "liked.org"], "farm1.org": ["bad.org"] * 3 + ["farm1.org"] * 9,
+             "farm2.org": ["farm1.org", "bad.org"], "half.org": ["bad.org", "good.org"], "third.org": ["bad.org", "good.org", "alone.org"],
+             "far.org": ["farm2.org"], "liked.org": ["bad.org"], "alone.org": ["alone.org"], "none.org": []}
+    links |= {f"w{i}.org": ["bad.org"] + ["good.org"] * 4 for i in range(5)}
+    pages = [(i, f"http://{h}/", "".join(f"<a href='http://{x}/'>" for x in to)) for i, (h, to) in enumerate(links.items())]
+    found = {r["host"]: r for r in link_graph.judge(spark.createDataFrame(pages, "page_id long, url string, html string"),
+                                                    [("good.org", "/", "allow"), ("bad.org", "/", "block")]).collect()}
+    blocked, allowed = ({h: float(h == x) for h in links} for x in ("bad.org", "good.org"))
+    out = {h: [x for x in to if x != h] for h, to in links.items()}
+    into = {h: [x for x in out for y in out[x] if y == h] for h in links}
+    mean = lambda of, among: sum(of[x] for x in among) / len(among) if among else 0.0
+    bad, good, trust, distrust = dict(blocked), dict(allowed), dict(allowed), dict(blocked)
+    for _ in range(12):
+        bad, good = ({h: blocked[h] + (1 - blocked[h] - allowed[h]) * mean(bad, out[h]) for h in links},
+                     {h: allowed[h] + (1 - blocked[h] - allowed[h]) * mean(good, into[h]) for h in links})
+        trust, distrust = (
+            {h: (seed[h] + sum(score[x] / len(back[x]) for x in to[h]) + (0 if back[h] else score[h])) / 2 for h in links}
+            for seed, score, to, back in ((allowed, trust, into, out), (blocked, distrust, out, into)))
+    for h, r in found.items():
+        assert r["trust"] == pytest.approx(trust[h]) and r["distrust"] == pytest.approx(distrust[h])
+        assert r["verdict"] == ("block" if bad[h] - good[h] >= 0.5 else "allow")
+    assert {h for h, r in found.items() if r["verdict"] == "block"} == {"bad.org", "farm1.org", "farm2.org", "half.org", "far.org"}
+
+
 def test_line_windows(spark):
     for name, docs in shapes(spark):
         found = line_windows.deduplicate_lines(docs)

@@ -9,9 +9,17 @@ links to bad hosts is distrusted. Both keep the walk's restart at the seeds:
     trust(v) = (1 - a) seed(v) + a x sum over links u -> v of trust(u) links(u, v) / links out of u
     distrust(u) = (1 - a) seed(u) + a x sum over links u -> v of distrust(v) links(u, v) / links into v
 
-A link within a host, relative ones among them, is an edge to itself, so a host without
-other links keeps its own share. A host is blocked if its distrust exceeds its trust by
-``threshold`` or more.
+A link within a host, relative ones among them, is an edge to itself. It counts only where
+the host has no other links on that side, so that such a host keeps its own share.
+
+The scores shrink with each step and with the number of links into a host, so they
+rank hosts but do not decide. A host is judged by shares that do not shrink: a page
+with a rule counts by its rule, one without by the links to other hosts,
+
+    bad(u) = blocked share(u) + share without rule(u) x mean of bad(v) over links u -> v
+    good(v) = allowed share(v) + share without rule(v) x mean of good(u) over links u -> v
+
+and is blocked if bad exceeds good by ``threshold`` or more. Links reach as far as ``rounds``.
 
 Null urls and urls without ``://`` have an empty host and path; empty hosts take no part
 in the graph and are allowed unless a rule fits. Null pages have no links. Repeated rows
@@ -62,15 +70,15 @@ def host_links(pages: DataFrame, url: str, html: str) -> DataFrame:
 
 
 def _spread(edges: DataFrame, seeds: DataFrame, seed: str, sender: str, receiver: str, share: str,
-            damping: float, rounds: int) -> DataFrame:
-    """``host, score``: (1 - a) seed + a x what neighbours send over ``share``."""
-    base = seeds.select("host", F.col(seed).alias("seed"))
+            rounds: int, kept: Column, weight: Column) -> DataFrame:
+    """``host, score``: kept x seed + weight x what neighbours send over ``share``."""
+    base = seeds.select("host", F.col(seed).alias("seed"), kept.alias("kept"), weight.alias("weight"))
     score = base.select("host", F.col("seed").alias("score"))
     sent = edges.select(F.col(sender).alias("host"), F.col(receiver).alias("to"), F.col(share).alias("part"))
     for k in range(rounds):
         arriving = sent.join(score, "host").groupBy(F.col("to").alias("host")).agg(F.sum(F.col("part") * F.col("score")).alias("more"))
         score = base.join(arriving, "host", "left").select(
-            "host", ((1 - damping) * F.col("seed") + damping * F.coalesce("more", F.lit(0.0))).alias("score"))
+            "host", (F.col("kept") * F.col("seed") + F.col("weight") * F.coalesce("more", F.lit(0.0))).alias("score"))
         if k % 4 == 3:
             score = stored(score, "scores")
     return score
@@ -78,7 +86,7 @@ def _spread(edges: DataFrame, seeds: DataFrame, seed: str, sender: str, receiver
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", html: str = "html",
                 damping: float = 0.5, rounds: int = 12) -> DataFrame:
-    """``host, trust, distrust`` for every host of a page or of a link."""
+    """``host, trust, distrust, good, bad`` for every host of a page or of a link."""
     prepare(pages.sparkSession)
     host, path = host_and_path(F.col(url))
     seen = pages.select(host.alias("host"), matching_rule(host, path, rules)[1].alias("said")).where("host != ''") \
@@ -93,15 +101,21 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url: str =
     seeds = stored(ends.join(seen, "host", "left").select(
         "host", F.coalesce(F.col("allowed") / F.col("pages"), F.lit(0.0)).alias("allowed"),
         F.coalesce(F.col("blocked") / F.col("pages"), F.lit(0.0)).alias("blocked")), "seeds")
-    outs = links.groupBy("src").agg(F.sum("links").alias("outs"), F.count("*").alias("n_out"))
-    ins = links.groupBy("dst").agg(F.sum("links").alias("ins"), F.count("*").alias("n_in"))
-    part = lambda total, n: F.when(F.col(total) > 0, F.col("links") / F.col(total)).otherwise(1 / F.col(n))
+    across = F.when(F.col("src") != F.col("dst"), F.col("links")).otherwise(0)
+    outs = links.groupBy("src").agg(F.sum(across).alias("outs"))
+    ins = links.groupBy("dst").agg(F.sum(across).alias("ins"))
+    # a link within a host counts where it has no others
+    part = lambda total: F.when(F.col(total) > 0, across / F.col(total)).otherwise(F.lit(1.0))
     # trust is dealt out over the sender's links out, distrust over the links into the host it leaves
     edges = stored(links.join(outs, "src").join(ins, "dst").select(
-        "src", "dst", part("ins", "n_in").alias("of_in"), part("outs", "n_out").alias("of_out")), "edges")
-    trust = _spread(edges, seeds, "allowed", "src", "dst", "of_out", damping, rounds).withColumnRenamed("score", "trust")
-    distrust = _spread(edges, seeds, "blocked", "dst", "src", "of_in", damping, rounds).withColumnRenamed("score", "distrust")
-    return trust.join(distrust, "host")
+        "src", "dst", part("ins").alias("of_in"), part("outs").alias("of_out")), "edges")
+    kept, weight = F.lit(1 - damping), F.lit(damping)
+    trust = _spread(edges, seeds, "allowed", "src", "dst", "of_out", rounds, kept, weight).withColumnRenamed("score", "trust")
+    distrust = _spread(edges, seeds, "blocked", "dst", "src", "of_in", rounds, kept, weight).withColumnRenamed("score", "distrust")
+    others, whole, rest = edges.where("src != dst"), F.lit(1.0), 1 - F.col("allowed") - F.col("blocked")
+    good = _spread(others, seeds, "allowed", "src", "dst", "of_in", rounds, whole, rest).withColumnRenamed("score", "good")
+    bad = _spread(others, seeds, "blocked", "dst", "src", "of_out", rounds, whole, rest).withColumnRenamed("score", "bad")
+    return trust.join(distrust, "host").join(good, "host").join(bad, "host")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", url: str = "url", html: str = "html",
@@ -116,5 +130,5 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_
         .withColumn("salt", F.pmod(F.xxhash64("id", "url_"), F.lit(SALTS)).cast("int"))
     return rows.join(dealt, ["host", "salt"], "left").select(
         F.col("id").alias(key), "host", "path", rule.alias("rule"),
-        F.coalesce(said, F.when(F.col("distrust") - F.col("trust") >= threshold, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce(said, F.when(F.col("bad") - F.col("good") >= threshold, "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
