@@ -1,4 +1,4 @@
-"""The ten operators applied to the shared tables, with production parameters.
+"""The operators applied to the shared tables, with production parameters.
 
 ``QUERIES`` and ``ORACLES`` have what ``__spark_entry__`` registers. A query without
 SQL is held against a brute-force version, or held-out labels, in ``tests/llm``.
@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake.llm import (
-    best_fit, budget_mix, line_windows, link_graph, merkle, order_minhash, quality_classifier, quality_rules, shard_table,
-    toxicity,
+    best_fit, budget_mix, hard_negatives, line_windows, link_graph, merkle, order_minhash, quality_classifier, quality_rules,
+    shard_table, toxicity, warc,
 )
 from transitlake.llm.tables import fold, prepare
+from transitlake.session import scratch_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +125,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_merkle_tree")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.followed(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH sized AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+least AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM sized)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM least
+"""
+
+
+@query("op11_warc_salvage", WARC_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return warc.read_archives(archives, payload=False).where("record_type IN ('response', 'revisit')").select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+HARD_NEGATIVES_SQL = """
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+  FROM part a JOIN part b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 10
+"""
+
+
+@query("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    id, label = F.col("vec_id"), F.col("label")
+    shifted = F.when(id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(hard_negatives.taking_part(table(spark, sf_dir, "embeddings"), id, shifted, F.col("embedding"), id % 100 == 0))
