@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake.llm import (
-    best_fit, budget_mix, hard_negatives, line_windows, link_graph, merkle, order_minhash, quality_classifier, quality_rules,
-    shard_table, toxicity, warc,
+    best_fit, budget_mix, conversation_repair, hard_negatives, line_windows, link_graph, merkle, order_minhash,
+    quality_classifier, quality_rules, shard_table, toxicity, warc,
 )
 from transitlake.llm.tables import fold, prepare
 from transitlake.session import scratch_dir
@@ -173,3 +173,82 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     id, label = F.col("vec_id"), F.col("label")
     shifted = F.when(id % 7 == 0, (label + 1) % 10).otherwise(label)
     return hard_negatives.mine(hard_negatives.taking_part(table(spark, sf_dir, "embeddings"), id, shifted, F.col("embedding"), id % 100 == 0))
+
+
+CONVERSATION_SQL = r"""
+WITH RECURSIVE
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(k, ''),
+           lambda c: [CAST(ord(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+         lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295) % 20 AS w
+  FROM keyed),
+after_damage AS (
+  SELECT conv_id, turn, CASE WHEN w = 4 THEN 'user' ELSE role END AS role,
+         CASE w WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE w WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) FROM hashed)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+  FROM after_damage),
+faults AS (
+  SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+         substr(role, 1, 1) AS c, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS c0
+  FROM placed),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (c0 IS NOT NULL AND c0 || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+edits AS (
+  SELECT conv_id, i, role, text, fault IN ('b', 'd') AS must, CASE fault WHEN 't' THEN 5 ELSE 0 END AS pen, c FROM faults),
+back AS (
+  SELECT conv_id, n + 1 AS i, 0 AS v0, 10 AS v1, 5 AS v2, 0 AS v3 FROM counted
+  UNION ALL
+  SELECT conv_id, i, least(o0, 5 + o2, 10 + o3), least(o1, 5 + o2, 10 + o3), least(o2, 5 + o3), least(o3, 5 + o2)
+  FROM (SELECT e.conv_id, e.i,
+               least(2 + v0, CASE WHEN must THEN 99999999 ELSE pen + least(1 + v2, CASE c WHEN 's' THEN v1 WHEN 'u' THEN v2 ELSE 99999999 END) END) AS o0,
+               least(2 + v1, CASE WHEN must THEN 99999999 ELSE pen + least(1 + v2, CASE c WHEN 'u' THEN v2 ELSE 99999999 END) END) AS o1,
+               least(2 + v2, CASE WHEN must THEN 99999999 ELSE pen + least(1 + v3, CASE c WHEN 'a' THEN v3 ELSE 99999999 END) END) AS o2,
+               least(2 + v3, CASE WHEN must THEN 99999999 ELSE pen + least(1 + v2, CASE c WHEN 'u' THEN v2 ELSE 99999999 END) END) AS o3
+        FROM back b JOIN edits e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.i = b.i - 1)),
+costs AS (SELECT conv_id, i, [v0, v1, v2, v3] AS v FROM back),
+steps AS (
+  SELECT h.conv_id, h.i, h.v, t.v AS v_next, e.role, e.text, e.must, e.pen, e.c
+  FROM costs h LEFT JOIN costs t ON t.conv_id IS NOT DISTINCT FROM h.conv_id AND t.i = h.i + 1
+  LEFT JOIN edits e ON e.conv_id IS NOT DISTINCT FROM h.conv_id AND e.i = h.i),
+forward AS (
+  SELECT conv_id, CAST(1 AS BIGINT) AS i, 0 AS s, '' AS audit, CAST([] AS VARCHAR[]) AS made, false AS done FROM counted
+  UNION ALL
+  SELECT conv_id, CASE WHEN letter IN ('', 'I') THEN i ELSE i + 1 END,
+         CASE letter WHEN 'I' THEN filled WHEN 'R' THEN filled WHEN 'K' THEN kept ELSE s END, audit || letter,
+         CASE letter WHEN 'I' THEN list_append(made, filled_role || ':') WHEN 'R' THEN list_append(made, filled_role || ':' || text)
+                     WHEN 'K' THEN list_append(made, role || ':' || text) ELSE made END, letter = ''
+  FROM (
+    SELECT *, CASE WHEN role IS NULL THEN CASE WHEN v[s + 1] > 0 THEN 'I' ELSE '' END
+                   WHEN v[s + 1] = 2 + v_next[s + 1] THEN 'D'
+                   WHEN v[s + 1] = 5 + v[filled + 1] THEN 'I'
+                   WHEN NOT must AND kept IS NOT NULL AND v[s + 1] = pen + v_next[kept + 1] THEN 'K' ELSE 'R' END AS letter
+    FROM (SELECT f.*, p.* EXCLUDE (conv_id, i), CASE f.s WHEN 2 THEN 3 ELSE 2 END AS filled,
+                 CASE f.s WHEN 2 THEN 'assistant' ELSE 'user' END AS filled_role,
+                 CASE WHEN p.c = 's' AND f.s = 0 THEN 1 WHEN p.c = 'u' AND f.s <> 2 THEN 2 WHEN p.c = 'a' AND f.s = 2 THEN 3 END AS kept
+          FROM forward f JOIN steps p ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND p.i = f.i WHERE NOT f.done))),
+ends AS (SELECT conv_id, audit, sha256(array_to_string(made, chr(10))) AS hash FROM forward WHERE done)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(b.v0, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, coalesce(hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN back b ON b.conv_id IS NOT DISTINCT FROM o.conv_id AND b.i = 1
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+@query("op13_conversation_repair", CONVERSATION_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.audited(conversation_repair.damaged(rows), every=rows)
