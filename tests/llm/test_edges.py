@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import collections
+import math
 import random
 
 import numpy as np
@@ -175,18 +176,18 @@ def test_links_decide_by_default(spark):
     blocked, allowed = ({h: float(h == x) for h in links} for x in ("bad.org", "good.org"))
     out = {h: [x for x in to if x != h] for h, to in links.items()}
     into = {h: [x for x in out for y in out[x] if y == h] for h in links}
-    mean = lambda of, among: sum(of[x] for x in among) / len(among) if among else 0.0
-    bad, good, trust, distrust = dict(blocked), dict(allowed), dict(allowed), dict(blocked)
+    known = {h: blocked[h] + allowed[h] for h in links}
+    trust, distrust, sent, sent_back = dict(allowed), dict(blocked), dict(known), dict(known)
     for _ in range(12):
-        bad, good = ({h: blocked[h] + (1 - blocked[h] - allowed[h]) * mean(bad, out[h]) for h in links},
-                     {h: allowed[h] + (1 - blocked[h] - allowed[h]) * mean(good, into[h]) for h in links})
-        trust, distrust = (
+        trust, distrust, sent, sent_back = (
             {h: (seed[h] + sum(score[x] / len(back[x]) for x in to[h]) + (0 if back[h] else score[h])) / 2 for h in links}
-            for seed, score, to, back in ((allowed, trust, into, out), (blocked, distrust, out, into)))
+            for seed, score, to, back in ((allowed, trust, into, out), (blocked, distrust, out, into), (known, sent, into, out), (known, sent_back, out, into)))
+    share = lambda score, whole, h: score[h] / whole[h] if whole[h] else 0.0
     for h, r in found.items():
         assert r["trust"] == pytest.approx(trust[h]) and r["distrust"] == pytest.approx(distrust[h])
-        assert r["verdict"] == ("block" if bad[h] - good[h] >= 0.5 else "allow")
-    assert {h for h, r in found.items() if r["verdict"] == "block"} == {"bad.org", "farm1.org", "farm2.org", "half.org", "far.org"}
+        assert r["verdict"] == ("block" if share(distrust, sent_back, h) - share(trust, sent, h) >= 0.5 else "allow")
+    # one blocked host suffices, however many others link to it; a host that trusted ones link to, or that mostly links to them, stays
+    assert {h for h, r in found.items() if r["verdict"] == "block"} == {"bad.org", "farm1.org", "farm2.org", "half.org", "third.org", "far.org"}
 
 
 def test_line_windows(spark):
@@ -205,6 +206,21 @@ def test_line_windows(spark):
         assert line_windows.lines_removed(docs).count() == max(0, count(name) - 2)  # both rows of key 2 are emptied
 
 
+def test_columns_named_like_results(spark):
+    """They give way to the results, and stages that only filter keep them."""
+    docs = brute.awkward(spark).selectExpr("*", "'mine' AS n_lines_", "'mine' AS n_removed_", "'mine' AS slot_", "'mine' AS shard_", "'mine' AS taken")
+    plain = brute.awkward(spark)
+    removed = line_windows.lines_removed(docs)
+    assert removed.columns == docs.columns and {r["n_removed_"] for r in removed.collect()} == {"mine"}
+    assert sorted(map(repr, removed.select(*plain.columns).collect())) == sorted(map(repr, line_windows.lines_removed(plain).collect()))
+    found = line_windows.deduplicate_lines(docs)
+    assert found.columns.count("n_lines_") == 1 and sum(r["n_removed_"] for r in found.collect()) == sum(
+        r["n_removed_"] for r in line_windows.deduplicate_lines(plain).collect())
+    placed = shard_table.place(docs)
+    assert placed.columns.count("slot_") == placed.columns.count("shard_") == 1
+    assert sorted((r["slot_"], r["shard_"]) for r in placed.collect()) == sorted((r["slot_"], r["shard_"]) for r in shard_table.place(plain).collect())
+
+
 def test_shards(spark):
     names = shard_table.shard_names(7)
     owners = shard_table.fill(names, 1009)
@@ -251,6 +267,11 @@ def test_quality_rules(spark, labels):
 
 def test_binomial_bound():
     assert abs(quality_rules.binomial_cdf(2, 10, 0.3) - 0.3827827864) < 1e-9
+    for n, p in ((1, 0.5), (7, 0.03), (60, 0.9), (400, 0.006)):
+        for x in range(n + 1):
+            plain = sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(x + 1))
+            assert quality_rules.binomial_cdf(x, n, p) == pytest.approx(plain, rel=1e-9)
+    assert quality_rules.binomial_cdf(60_000_000, 10 ** 10, 0.006) == pytest.approx(0.5, abs=0.001)  # at once, however many labels
     assert quality_rules.certify([0, 0, 50], 1000, 0.006, 0.05, (0.5, 0.3, 0.1)) == 0.3
     assert quality_rules.certify([0], 20, 0.006, 0.05, (0.5,)) is None
 

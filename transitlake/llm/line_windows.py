@@ -7,7 +7,9 @@ The earliest occurrence of a line is never removed, so no line is lost from the
 
 Texts of fewer than three lines have no window and stay as they are, as do null and
 empty texts; windows without a word do not count. Rows that agree in key and text are
-one document: they are cleaned alike. A null key comes first. Built-in functions only.
+one document: they are cleaned alike. A null key comes first. An empty table stays empty; a very long
+text is one row of windows a line. Extra columns pass through whatever their names; only a column with the name of a
+result (``n_lines_``, ``n_removed_``) gives way to it. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -53,6 +55,12 @@ def covered_positions(docs: DataFrame, key: str, text: str, size: int = LINES) -
 
 def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = LINES) -> DataFrame:
     """``docs`` with cleaned texts, and ``n_lines_``, ``n_removed_``."""
+    results = ("n_lines_", "n_removed_")
+    return _cleaned(docs, key, text, size).select(*[F.col(f"row_.`{c}`") for c in docs.columns if c not in results], *results)
+
+
+def _cleaned(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``row_`` with the cleaned text, ``n_lines_``, ``n_removed_``."""
     prepare(docs.sparkSession)
     covered = covered_positions(docs, key, text, size)
     rows = packed(docs).select("row_", _name(F.col(f"row_.{key}"), F.coalesce(F.col(f"row_.{text}"), F.lit(""))).alias("name"))
@@ -61,13 +69,13 @@ def deduplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     cleaned = F.when(F.col("covered").isNull(), F.col(f"row_.{text}")).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
     return rows.join(covered, "name", "left").select(
-        *[(cleaned if c == text else F.col(f"row_.`{c}`")).alias(c) for c in docs.columns],
+        F.struct(*[(cleaned if c == text else F.col(f"row_.`{c}`")).alias(c) for c in docs.columns]).alias("row_"),
         F.when(F.col(f"row_.{text}").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines_"),
         F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed_"))
 
 
 def lines_removed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = LINES) -> DataFrame:
     """``docs`` with cleaned texts; a document that nothing is left of goes."""
-    cleaned = deduplicate_lines(docs, key, text, size)
-    emptied = (F.col("n_removed_") > 0) & ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
-    return cleaned.where(~emptied | F.col(text).isNull()).drop("n_lines_", "n_removed_")
+    left = F.col(f"row_.`{text}`")
+    emptied = (F.col("n_removed_") > 0) & ~left.rlike(r"[^\x20\x09-\x0D]")
+    return _cleaned(docs, key, text, size).where(~emptied | left.isNull()).select("row_.*")

@@ -12,14 +12,12 @@ links to bad hosts is distrusted. Both keep the walk's restart at the seeds:
 A link within a host, relative ones among them, is an edge to itself. It counts only where
 the host has no other links on that side, so that such a host keeps its own share.
 
-The scores shrink with each step and with the number of links into a host, so they
-rank hosts but do not decide. A host is judged by shares that do not shrink: a page
-with a rule counts by its rule, one without by the links to other hosts,
-
-    bad(u) = blocked share(u) + share without rule(u) x mean of bad(v) over links u -> v
-    good(v) = allowed share(v) + share without rule(v) x mean of good(u) over links u -> v
-
-and is blocked if bad exceeds good by ``threshold`` or more. Links reach as far as ``rounds``.
+The scores shrink with each step and with the number of links into a host. To be
+comparable from host to host, each is divided by the score of the same walk that starts at every host with
+a judged page, allowed or blocked, with seed 1: what remains is the part of that walk's mass that
+comes from trusted seeds, or from blocked ones, between 0 and 1. A host is blocked if
+its part of distrust exceeds its part of trust by ``threshold`` or more. A host that no seed reaches has
+neither, and is allowed. Links reach as far as ``rounds``.
 
 Null urls and urls without ``://`` have an empty host and path; empty hosts take no part
 in the graph and are allowed unless a rule fits. Null pages have no links. Repeated rows
@@ -86,7 +84,8 @@ def _spread(edges: DataFrame, seeds: DataFrame, seed: str, sender: str, receiver
 
 def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", html: str = "html",
                 damping: float = 0.5, rounds: int = 12) -> DataFrame:
-    """``host, trust, distrust, good, bad`` for every host of a page or of a link."""
+    """``host, trust, distrust, good, bad`` for every host of a page or of a link; ``good`` and ``bad`` are
+    the parts of trust and distrust in what all judged seeds send."""
     prepare(pages.sparkSession)
     host, path = host_and_path(F.col(url))
     seen = pages.select(host.alias("host"), matching_rule(host, path, rules)[1].alias("said")).where("host != ''") \
@@ -100,7 +99,8 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url: str =
     ends = links.select("src").union(links.select("dst")).distinct().withColumnRenamed("src", "host")
     seeds = stored(ends.join(seen, "host", "left").select(
         "host", F.coalesce(F.col("allowed") / F.col("pages"), F.lit(0.0)).alias("allowed"),
-        F.coalesce(F.col("blocked") / F.col("pages"), F.lit(0.0)).alias("blocked")), "seeds")
+        F.coalesce(F.col("blocked") / F.col("pages"), F.lit(0.0)).alias("blocked"),
+        F.when(F.col("allowed") + F.col("blocked") > 0, 1.0).otherwise(0.0).alias("judged")), "seeds")
     across = F.when(F.col("src") != F.col("dst"), F.col("links")).otherwise(0)
     outs = links.groupBy("src").agg(F.sum(across).alias("outs"))
     ins = links.groupBy("dst").agg(F.sum(across).alias("ins"))
@@ -112,10 +112,11 @@ def host_scores(pages: DataFrame, rules: list[tuple[str, str, str]], url: str =
     kept, weight = F.lit(1 - damping), F.lit(damping)
     trust = _spread(edges, seeds, "allowed", "src", "dst", "of_out", rounds, kept, weight).withColumnRenamed("score", "trust")
     distrust = _spread(edges, seeds, "blocked", "dst", "src", "of_in", rounds, kept, weight).withColumnRenamed("score", "distrust")
-    others, whole, rest = edges.where("src != dst"), F.lit(1.0), 1 - F.col("allowed") - F.col("blocked")
-    good = _spread(others, seeds, "allowed", "src", "dst", "of_in", rounds, whole, rest).withColumnRenamed("score", "good")
-    bad = _spread(others, seeds, "blocked", "dst", "src", "of_out", rounds, whole, rest).withColumnRenamed("score", "bad")
-    return trust.join(distrust, "host").join(good, "host").join(bad, "host")
+    sent = _spread(edges, seeds, "judged", "src", "dst", "of_out", rounds, kept, weight).withColumnRenamed("score", "sent")
+    back = _spread(edges, seeds, "judged", "dst", "src", "of_in", rounds, kept, weight).withColumnRenamed("score", "back")
+    part = lambda score, whole: F.when(F.col(whole) > 0, F.col(score) / F.col(whole)).otherwise(F.lit(0.0))
+    return trust.join(distrust, "host").join(sent, "host").join(back, "host").select(
+        "host", "trust", "distrust", part("trust", "sent").alias("good"), part("distrust", "back").alias("bad"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], key: str = "page_id", url: str = "url", html: str = "html",

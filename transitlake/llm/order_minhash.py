@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitlake.llm import text as T
-from transitlake.llm.tables import connected_components, packed, prepare, stored, text_key
+from transitlake.llm.tables import connected_components, meeting, packed, prepare, stored, text_key
 
 WIDTH = 5
 SIMILARITY = 0.8
@@ -275,11 +275,11 @@ def near_duplicate_links(docs: DataFrame, text: str = "text", width: int = WIDTH
 
 def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
                  floor: float = SIMILARITY) -> DataFrame:
-    """``tkey, root, class_id, class_size, copies``: a row for each distinct text with a word.
+    """``tkey, root, class_id, class_size, rows, copies``: a row for each distinct text with a word.
 
-    ``class_id`` is the least key of the class's documents (null if all are null),
-    ``copies`` how many rows of this text bear that key; only one text of a class has
-    any, the one with the least name of those that bear it.
+    ``class_id`` is the least key of the class's documents (null if all are null), ``rows`` how many
+    rows a text has, ``copies`` how many of them bear that key; only one text of a class has
+    any copies, the one with the least name of those that bear it.
     """
     links = near_duplicate_links(docs, text, width, floor)
     roots = connected_components(links).select(F.col("node").alias("tkey"), "root")
@@ -289,10 +289,10 @@ def text_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width
         F.sum("count").alias("rows"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "tkey", "count")).alias("least"))
     texts = stored(texts.join(roots, "tkey", "left").select(
         "tkey", F.coalesce("root", "tkey").alias("root"), "rows", "least"), "classes")
-    classes = texts.groupBy("root").agg(F.sum("rows").alias("class_size"), F.min("least").alias("first"))
-    return texts.join(classes, "root").select(
-        "tkey", "root", F.col("first.id").alias("class_id"), "class_size",
-        F.when(F.col("tkey") == F.col("first.tkey"), F.col("first.count")).otherwise(F.lit(0)).alias("copies"))
+    classes = stored(texts.groupBy("root").agg(F.sum("rows").alias("class_size"), F.min("least").alias("first")), "roots")
+    return stored(meeting(texts, classes, "root", "class_size").select(
+        "tkey", "root", F.col("first.id").alias("class_id"), "class_size", "rows",
+        F.when(F.col("tkey") == F.col("first.tkey"), F.col("first.count")).otherwise(F.lit(0)).alias("copies")), "members")
 
 
 def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -302,7 +302,7 @@ def near_duplicate_classes(docs: DataFrame, key: str = "doc_id", text: str = "te
     rows = docs.select(F.col(key).alias("id"), F.when(
         F.col(text).rlike(r"[^\x20\x09-\x0D]"), text_key(F.col(text))).alias("tkey"))
     # rows without words meet nothing; spread them, for a null key would gather them
-    worded = rows.where("tkey is not null").join(classes, "tkey").select("id", "class_id", "class_size")
+    worded = meeting(rows.where("tkey is not null"), classes, "tkey", "rows").select("id", "class_id", "class_size")
     bare = rows.where("tkey is null").select("id", F.col("id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"))
     return worded.union(bare).withColumnRenamed("id", key)
 
@@ -314,7 +314,8 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     rows = packed(docs).select(
         "row_", F.col(f"row_.{key}").alias("id_"),
         F.when(F.col(f"row_.{text}").rlike(r"[^\x20\x09-\x0D]"), text_key(F.col(f"row_.{text}"))).alias("tkey"))
-    chosen = rows.join(classes.where("copies > 0"), "tkey").where(F.col("id_").eqNullSafe(F.col("class_id")))
+    chosen = meeting(rows.where("tkey is not null"), classes.where("copies > 0"), "tkey", "rows") \
+        .where(F.col("id_").eqNullSafe(F.col("class_id")))
     single = chosen.where("copies = 1").select("row_.*")
     repeated = chosen.where("copies > 1").dropDuplicates(["root"]).select("row_.*")
     return single.union(repeated).union(rows.where("tkey is null").select("row_.*"))

@@ -122,13 +122,21 @@ def stratum(language: Column) -> Column:
 
 
 def binomial_cdf(x: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= x), summed exactly."""
+    """P(Bin(n, p) <= x), summed from its largest term on until terms no longer count: about sqrt(n) of them."""
     if x >= n:
         return 1.0
-    logs = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
-            for k in range(x + 1)]
-    top = max(logs)
-    return min(1.0, math.exp(top) * sum(math.exp(v - top) for v in logs))
+    largest = min(x, int((n + 1) * p))
+    log = math.lgamma(n + 1) - math.lgamma(largest + 1) - math.lgamma(n - largest + 1) + largest * math.log(p) + (n - largest) * math.log1p(-p)
+    odds, total = p / (1 - p), 0.0
+    term, k = 1.0, largest
+    while k >= 0 and term > 1e-18 * total:
+        total += term
+        term, k = term * k / ((n - k + 1) * odds), k - 1
+    term, k = (n - largest) * odds / (largest + 1), largest + 1
+    while k <= x and term > 1e-18 * total:
+        total += term
+        term, k = term * (n - k) * odds / (k + 1), k + 1
+    return min(1.0, math.exp(log) * total)
 
 
 def certify(rejected: list[int], n: int, share: float, error: float, ladder=LADDER) -> float | None:

@@ -8,7 +8,8 @@ while nearly all others stay. The table has ``slots`` rows, a parameter, so it i
 broadcast and a document's place is one lookup by the hash of its key.
 
 A null key counts as the empty text; rows with equal keys share a shard, so the key to
-use is one that no large part of the rows shares. Built-in functions only.
+use is one that no large part of the rows shares. An empty table stays empty, texts are not looked at. Extra columns pass through
+whatever their names; only a column with the name of a result (``slot_``, ``shard_``) gives way to it. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ def place(docs: DataFrame, key: str = "doc_id", names: list[str] | None = None,
     prepare(docs.sparkSession)
     lookup = lookup_table(docs.sparkSession, names or shard_names(), slots)
     # the table has ``slots`` rows of two numbers
-    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), slot_of(F.col(f"`{key}`"), slots).alias("slot_"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("slot_", "shard_")]
+    placed = docs.select(F.struct(*kept).alias("row_"), slot_of(F.col(f"`{key}`"), slots).alias("slot_"))
     return placed.join(F.broadcast(lookup), "slot_").select("row_.*", "slot_", "shard_")
 
 

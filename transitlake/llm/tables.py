@@ -48,6 +48,23 @@ def packed(df: DataFrame, name: str = "row_") -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
 
 
+HOT_SHARE = 1000
+
+
+def meeting(rows: DataFrame, facts: DataFrame, key: str, copies: str) -> DataFrame:
+    """``rows`` with the facts of their ``key``, which is unique in the stored table ``facts``.
+
+    ``copies`` says how many rows a key has. Keys with more than a thousandth of all rows, fewer than a thousand
+    keys, are broadcast with their facts, so their rows stay where they are; no other key can fill a task.
+    """
+    total = facts.agg(F.coalesce(F.sum(copies), F.lit(0))).first()[0]
+    hot = F.col(copies) * HOT_SHARE > total
+    marked = rows.join(F.broadcast(facts.where(hot).select(key, F.lit(True).alias("hot_"))), key, "left")
+    many = marked.where("hot_").drop("hot_").join(F.broadcast(facts.where(hot)), key)
+    few = marked.where("hot_ is null").drop("hot_").join(facts.where(~hot), key)
+    return many.unionByName(few)
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, root`` for every node of some link; the root is the least node.
 
