@@ -21,9 +21,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from transitlake import build_session, schemas  # noqa: E402
 from transitlake.operators.decode import decode_bodies, header_metadata, validation_flags  # noqa: E402
 from transitlake.operators.flatten import flatten_trip_updates, projected_rows, stop_time_updates  # noqa: E402
+from transitlake.operators.statistics import DAY  # noqa: E402
+from transitlake.plans import compact, reconcile  # noqa: E402
 from transitlake.sources import revisions as R  # noqa: E402
 import workload.catalog  # noqa: E402, F401  registers the queries
-from workload.bindings import Bindings  # noqa: E402
+from workload.bindings import Bindings, now  # noqa: E402
 from workload.feeds import feed_captures  # noqa: E402
 from workload.registry import BUILDERS  # noqa: E402
 
@@ -47,6 +49,17 @@ class StoredLedger(Bindings):
         return self
 
 
+def compacted(spark, root: str, bronze, b: Bindings):
+    """The whole compaction of the orders' days: decode, flatten, write, check, manifests."""
+    captures = bronze.drop("body").withColumn("entity_count", F.lit(100))
+    days = captures.select(*DAY).distinct().withColumn("revision", F.lit(1))
+    ticks = reconcile.ticks_of(captures).join(captures.select("tick_id", "archive_date"), "tick_id")
+    streams = captures.groupBy("source_id", "stream_id", "expected_kind", "timezone").agg(F.first("sanitized_url").alias("url")).withColumns(
+        {n: F.lit("") for n in ("registry_id", "license_url", "attribution")})
+    result = compact.compact_days(spark, root, captures, ticks, bronze.select("raw_path", "body"), streams, days, b.destinations(), now())
+    return result.manifests
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -81,6 +94,7 @@ def main() -> None:
         decode_bodies(bronze, wanted=schemas.ENTITY_KIND_MESSAGE, keep_body=False))))
     timed("count_bodies", lambda: decode_bodies(bronze, wanted=schemas.TRIP_UPDATE_MESSAGE, keep_body=False)
           .select(projected_rows(), stop_time_updates()))
+    timed("compact_days", lambda: compacted(spark, tempfile.mkdtemp(dir=work), bronze, b))
     stored = StoredLedger(spark, sf_dir).store(work)
     for name in HEADLINE:
         timed(name, lambda name=name: BUILDERS[name](stored))

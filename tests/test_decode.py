@@ -1,182 +1,174 @@
+"""Decoding, flags, and both projections, over messages made by rule."""
+
 import datetime as dt
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.feeds import MALFORMED, body, feed, five_entities, trip
+from tests.feeds import MALFORMED, SOME_TIME, Shape, body, feed, feed_of, flattened, shapes, trip
 from transitlake import schemas
+from transitlake.operators import wire
 from transitlake.operators.decode import decode_bodies, header_metadata, validation_flags
-from transitlake.operators.flatten import (
-    ALWAYS_NULL, flatten_trip_updates, projected_rows, stop_time_updates,
-)
+from transitlake.operators.flatten import ALWAYS_NULL, flatten_trip_updates, projected_rows, stop_time_updates
 from transitlake.operators.project import nested_rows
 
-OBSERVED = dt.datetime(2026, 8, 13, 6, 30, 0)
-EPOCH = int(OBSERVED.replace(tzinfo=dt.timezone.utc).timestamp())
-
-
-def captures(spark, bodies, kind="trip_update"):
-    rows = [(f"c{i}", kind, bytes(b), OBSERVED) for i, b in enumerate(bodies)]
-    return spark.createDataFrame(
-        rows, "capture_id string, expected_kind string, body binary, completed_at timestamp")
-
-
-def decoded(spark, bodies, kind="trip_update", wanted=schemas.ENTITY_KIND_MESSAGE):
-    df = validation_flags(header_metadata(decode_bodies(captures(spark, bodies, kind), wanted=wanted)))
-    return [r.asDict() for r in df.drop("body").orderBy("capture_id").collect()]
-
-
-def test_decode_classes(spark):
-    unknown = body(feed(timestamp=EPOCH)) + bytes([0xBA, 0x3E, 1, 0x41])  # field 999
-    no_id = feed(timestamp=EPOCH)
-    no_id.entity.add(is_deleted=True)
-    rows = decoded(spark, [
-        body(feed(version=None)), b"\xff", unknown, body(feed(timestamp=EPOCH, incrementality=1)), b"", body(no_id),
-    ])
-    assert [r["parse_status"] for r in rows] == [
-        "protobuf_required_field", "protobuf_decode", "valid", "valid", "empty_body", "protobuf_required_field"]
-    assert rows[0]["message"] is not None and rows[0]["entity_count"] == 0
-    assert rows[0]["feed_version"] == "" and rows[0]["feed_timestamp"] is None
-    assert rows[1]["message"] is None and rows[1]["entity_count"] is None
-    assert rows[3]["validation_flags"] == ["differential_incrementality"]
-    assert rows[4]["message"]["header"] is None and rows[4]["message"]["entity"] == []
-    assert rows[4]["entity_count"] is None and rows[4]["validation_flags"] == []
-    # a missing required field elsewhere still leaves header facts and count
-    assert rows[5]["feed_version"] == "2.0" and rows[5]["entity_count"] == 1
-
-
-def test_timestamp_flags_survive_the_whole_unsigned_range(spark):
-    stamps = [EPOCH + 300, EPOCH + 301, EPOCH - 86400, EPOCH - 86401, 2**64 - 1, 0, None, 2**62]
-    rows = decoded(spark, [body(feed(timestamp=s)) for s in stamps])
-    flags = [r["validation_flags"] for r in rows]
-    future, stale = ["feed_timestamp_future"], ["feed_timestamp_stale"]
-    assert flags == [[], future, [], stale, stale, stale, ["missing_feed_timestamp"], future]
-    assert rows[4]["feed_timestamp"] == Decimal(2**64 - 1)
-
-
-def test_entity_flags(spark):
-    both = feed(timestamp=EPOCH)
-    e = both.entity.add(id=b"x")
-    trip(e)
-    e.vehicle.timestamp = 1
-    bare = feed(timestamp=EPOCH)
-    bare.entity.add(id=b"x")
-    rows = decoded(spark, [body(both), body(bare)])
-    assert rows[0]["validation_flags"] == ["multiple_entity_payloads", "unexpected_entity_kind"]
-    assert rows[1]["validation_flags"] == ["entity_without_payload"]
-    rows = decoded(spark, [body(both)], kind="mixed")
-    assert rows[0]["validation_flags"] == ["multiple_entity_payloads"]
-
-
-def provenance(df):
-    return df.withColumns({
-        "raw_path": F.lit("raw/source=demo/cap.pb"), "sanitized_url": F.lit("https://example.test/trips"),
-        "source_id": F.lit("demo"), "stream_id": F.lit("trips"), "archive_date": F.lit("2026-08-12"),
-        "timezone": F.lit("UTC"), "scheduled_at": F.col("completed_at"), "parse_status": F.lit("valid"),
-        "validation_flags": F.array(F.lit("flag")),
-    })
-
-
-def flat(spark, *messages):
-    df = decode_bodies(provenance(captures(spark, messages)), wanted=schemas.TRIP_UPDATE_MESSAGE, keep_body=False)
+SEEN = dt.datetime.fromtimestamp(SOME_TIME, dt.timezone.utc).replace(tzinfo=None)
+EVERY = list(shapes())
+
+
+def received(spark, bodies, kind="trip_update"):
+    """Bodies as captures, named by their place."""
+    rows = [(f"{k:03d}", kind, bytes(b), SEEN) for k, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "capture_id string, expected_kind string, body binary, completed_at timestamp")
+
+
+def facts(spark, bodies, kind="trip_update"):
+    df = decode_bodies(received(spark, bodies, kind), wanted=schemas.ENTITY_KIND_MESSAGE)
+    return validation_flags(header_metadata(df)).drop("body").orderBy("capture_id").collect()
+
+
+def with_origin(df):
+    """What a capture's row says of itself beside its body."""
+    values = {"raw_path": "raw/source=north/one.pb", "sanitized_url": "https://feeds.example/north", "source_id": "north", "stream_id": "buses",
+              "archive_date": "2023-11-14", "timezone": "Europe/Oslo", "parse_status": "valid"}
+    return df.withColumns({k: F.lit(v) for k, v in values.items()}).withColumns(
+        {"scheduled_at": F.col("completed_at"), "validation_flags": F.array(F.lit("seen"))})
+
+
+def flat(spark, *bodies):
+    df = decode_bodies(with_origin(received(spark, bodies)), wanted=schemas.TRIP_UPDATE_MESSAGE, keep_body=False)
     rows = flatten_trip_updates(df).orderBy("capture_id", "entity_pos", "stop_pos").collect()
-    counts = df.agg(F.sum(projected_rows()), F.sum(stop_time_updates())).first()
-    return [r.asDict() for r in rows], tuple(counts)
-
-
-def test_flatten_grain_and_values(spark):
-    rows, counts = flat(spark, body(five_entities()))
-    assert counts == (4, 3)
-    assert [(r["entity_id"], r["stop_id"], r["is_deleted"]) for r in rows] == [
-        ("e1", "quay", False), ("e1", "mill", False), ("e2", None, False), ("e4", None, True)]
-    first = rows[0]
-    assert (first["arrival_delay"], first["arrival_time"], first["arrival_uncertainty"]) == (61, 1735700555, 8)
-    assert (first["departure_delay"], first["departure_time"]) == (58, 1735700600)
-    assert first["assigned_stop_id"] == "quay:east" and first["stop_schedule_relationship"] == 1
-    assert first["license_plate"] == "KX 771" and first["trip_delay"] == -75
-    assert first["trip_timestamp"] == Decimal(1735700311) and first["direction_id"] == 1
-    assert rows[1]["stop_schedule_relationship"] is None and rows[1]["arrival_delay"] is None
-    assert rows[2]["stop_sequence"] is None and rows[2]["trip_id"] == "run 0815"
-    assert rows[3]["stop_sequence"] == 21
-    assert first["incrementality"] == 1 and first["feed_version"] == "2.0"
-
-
-def test_presence(spark):
-    m = feed(timestamp=0)
-    m.entity.add(id=b"e").trip_update.trip.trip_id = b"t"
-    rows, _ = flat(spark, body(m))
-    row = rows[0]
-    assert row["feed_timestamp"] == 0 and row["schedule_relationship"] == 0
-    assert row["route_id"] == "" and row["vehicle_id"] == "" and row["start_time"] == ""
-    for name in ("direction_id", "license_plate", "trip_timestamp", "trip_delay", "incrementality", *ALWAYS_NULL):
-        assert row[name] is None
-
-
-def test_flatten_skips_unreadable_and_empty(spark):
-    rows, counts = flat(spark, MALFORMED, b"", body(five_entities()))
-    assert len(rows) == 4 and counts == (4, 3)
-
-
-def test_unknown_enum_and_broken_utf8_are_kept(spark):
-    m = feed(timestamp=EPOCH)
-    e = m.entity.add(id=b"\xff\xfe")
-    trip(e, relationship=99)
-    df = decode_bodies(captures(spark, [body(m)]), wanted=schemas.TRIP_UPDATE_MESSAGE)
-    row = df.selectExpr("hex(message.entity[0].id) id",
-                        "message.entity[0].trip_update.trip.schedule_relationship rel").first()
-    assert row["id"] == "FFFE" and row["rel"] == 99
-
-
-def test_nested_projection_keeps_presence(spark):
-    m = feed(timestamp=EPOCH)
-    a = m.entity.add(id=b"a").alert
-    a.header_text.translation.add(text=b"Ferry replaced by coach", language=b"en")
-    a.active_period.add(start=2**64 - 1)
-    a.informed_entity.add(route_id=b"r")
-    v = m.entity.add(id=b"v").vehicle
-    v.position.latitude, v.position.longitude = 49.25, -123.5
-    v.multi_carriage_details.add(carriage_sequence=3, occupancy_percentage=-1)
-    df = decode_bodies(captures(spark, [body(m), MALFORMED]))
-    alert, vehicle = df.orderBy("capture_id").first()["message"]["entity"]
-    assert alert["alert"]["header_text"]["translation"][0]["text"] == "Ferry replaced by coach"
-    assert alert["alert"]["active_period"][0].asDict() == {"start": Decimal(2**64 - 1), "end": None}
-    assert alert["trip_update"] is None and alert["alert"]["cause"] is None and alert["alert"]["url"] is None
-    assert vehicle["vehicle"]["position"]["latitude"] == 49.25
-    assert vehicle["vehicle"]["multi_carriage_details"][0]["occupancy_percentage"] == -1
-
-
-def test_nested_rows_layout(spark):
-    df = provenance(decode_bodies(captures(spark, [body(five_entities()), MALFORMED])))
-    names = {"config_fingerprint": "", "application_version": "", "protobuf_revision": "", "content_encoding": "",
-             "parse_error": "", "body_sha256": ""}
-    df = df.withColumns({k: F.lit(v) for k, v in names.items()}).withColumns({
-        "started_at": F.col("completed_at"), "http_status": F.lit(200),
-        "response_headers": F.expr("map('b','2','a','<1>')"), "duration_ms": F.lit(1), "attempt_count": F.lit(1),
-        "advertised_length": F.lit(-1), "encoded_length": F.lit(1), "decoded_length": F.lit(1),
-        "transport_complete": F.lit(True), "entity_count": F.lit(5)})
+    return [r.asDict() for r in rows], tuple(df.agg(F.sum(projected_rows()), F.sum(stop_time_updates())).first())
+
+
+STATUSES = [
+    ("no body", b"", "empty_body"),
+    ("no version", body(feed(version=None)), "protobuf_required_field"),
+    ("cut off", MALFORMED, "protobuf_decode"),
+    ("a varint without end", b"\x80" * 11, "protobuf_decode"),
+    ("a field of a later version", body(feed()) + bytes([0xA2, 0x06, 2, 7, 7]), "valid"),
+    ("every shape", body(feed_of(EVERY)), "valid"),
+]
+
+
+def test_statuses(spark):
+    found = facts(spark, [b for _, b, _ in STATUSES])
+    assert {name: r["parse_status"] for (name, _, _), r in zip(STATUSES, found)} == {name: s for name, _, s in STATUSES}
+    by_name = dict(zip([name for name, _, _ in STATUSES], found))
+    # what cannot be read has no facts, what lacks a field keeps the others
+    assert by_name["cut off"]["message"] is None and by_name["cut off"]["entity_count"] is None
+    assert by_name["no version"]["feed_version"] == "" and by_name["no version"]["entity_count"] == 0
+    nothing = by_name["no body"]
+    assert (nothing["entity_count"], nothing["validation_flags"], nothing["message"]["header"], nothing["message"]["entity"]) == (None, [], None, [])
+    assert by_name["every shape"]["entity_count"] == len(EVERY)
+
+
+def test_an_entity_without_id_leaves_the_header_readable(spark):
+    message = feed()
+    message.entity.add(is_deleted=True)
+    [row] = facts(spark, [body(message)])
+    assert (row["parse_status"], row["feed_version"], row["entity_count"]) == ("protobuf_required_field", "2.0", 1)
+
+
+@pytest.mark.parametrize("kind, extra", [("trip_update", ["unexpected_entity_kind"]), ("mixed", [])])
+def test_flags_of_entities_and_header(spark, kind, extra):
+    two, none = feed(incrementality=1), feed()
+    both = two.entity.add(id=b"both")
+    trip(both)
+    both.vehicle.timestamp = 5
+    none.entity.add(id=b"none")
+    flags = [sorted(r["validation_flags"]) for r in facts(spark, [body(two), body(none), body(feed())], kind)]
+    assert flags == [sorted(["differential_incrementality", "multiple_entity_payloads", *extra]), ["entity_without_payload"], []]
+
+
+def test_flags_of_timestamps_over_all_unsigned_values(spark):
+    cases = {SOME_TIME: [], SOME_TIME + 300: [], SOME_TIME - 86400: [], SOME_TIME + 301: ["feed_timestamp_future"],
+             1 << 62: ["feed_timestamp_future"], SOME_TIME - 86401: ["feed_timestamp_stale"], 0: ["feed_timestamp_stale"],
+             (1 << 64) - 1: ["feed_timestamp_stale"], None: ["missing_feed_timestamp"]}
+    found = facts(spark, [body(feed(timestamp=t)) for t in cases])
+    assert [r["validation_flags"] for r in found] == list(cases.values())
+    assert [r["feed_timestamp"] for r in found] == [None if t is None else Decimal(t) for t in cases]
+
+
+def test_every_shape_flattens_by_the_rules(spark):
+    wanted = flattened(EVERY)
+    rows, counts = flat(spark, body(feed_of(EVERY, incrementality=0)))
+    assert [{name: r[name] for name in wanted[0]} for r in rows] == wanted
+    assert counts == (len(wanted), sum(s.stops for s in EVERY))
+    for row in rows:
+        assert (row["feed_timestamp"], row["feed_version"], row["incrementality"]) == (SOME_TIME, "2.0", 0)
+        assert (row["feed_url"], row["capture_id"], row["archive_timezone"]) == ("https://feeds.example/north", "000", "Europe/Oslo")
+        assert all(row[name] is None for name in ALWAYS_NULL)
+
+
+def test_unset_header_fields_are_told_from_zero(spark):
+    one = [Shape("trip", 1, False, False)]
+    rows, _ = flat(spark, body(feed_of(one, timestamp=0)), body(feed_of(one, timestamp=None, incrementality=1)))
+    assert [(r["feed_timestamp"], r["incrementality"]) for r in rows] == [(0, None), (None, 1)]
+
+
+def test_unreadable_bodies_flatten_to_nothing(spark):
+    some = [s for s in EVERY if s.stops > 1]
+    rows, counts = flat(spark, MALFORMED, body(feed_of(some)), b"", body(feed()))
+    assert {r["capture_id"] for r in rows} == {"001"}
+    assert counts == (len(flattened(some)), sum(s.stops for s in some))
+
+
+def test_values_outside_the_registry_are_kept(spark):
+    message = feed()
+    entity = message.entity.add(id=b"\xc3\x28")  # no UTF-8
+    trip(entity, relationship=77)
+    df = decode_bodies(received(spark, [body(message)]), wanted=schemas.TRIP_UPDATE_MESSAGE)
+    row = df.select(F.hex(F.col("message.entity")[0]["id"]).alias("id"), F.col("message.entity")[0]["trip_update"]["trip"]["schedule_relationship"].alias("r")).first()
+    assert (row["id"], row["r"]) == ("C328", 77)
+
+
+def test_nested_message_keeps_what_is_set(spark):
+    message = feed()
+    alert = message.entity.add(id=b"w").alert
+    for language in (b"nb", b"en"):
+        alert.description_text.translation.add(text=b"snow (%s)" % language, language=language)
+    alert.active_period.add(end=(1 << 64) - 1)
+    moving = message.entity.add(id=b"x").vehicle
+    moving.position.latitude, moving.position.longitude = -0.5, 60.25
+    moving.multi_carriage_details.add(occupancy_percentage=-1, carriage_sequence=2)
+    first, second = decode_bodies(received(spark, [body(message)])).first()["message"]["entity"]
+    texts = [(t["text"], t["language"]) for t in first["alert"]["description_text"]["translation"]]
+    assert texts == [("snow (nb)", "nb"), ("snow (en)", "en")]
+    assert first["alert"]["active_period"][0].asDict() == {"start": None, "end": Decimal((1 << 64) - 1)}
+    assert [first[name] for name in ("trip_update", "vehicle")] == [None, None] and first["alert"]["effect"] is None and first["alert"]["header_text"] is None
+    assert second["vehicle"]["position"]["longitude"] == 60.25 and second["alert"] is None
+    assert second["vehicle"]["multi_carriage_details"][0]["occupancy_percentage"] == -1
+
+
+def test_nested_rows_are_the_documented_columns(spark):
+    bodies = [body(feed_of(EVERY)), MALFORMED]
+    df = with_origin(decode_bodies(received(spark, bodies)))
+    texts = ("config_fingerprint", "application_version", "protobuf_revision", "content_encoding", "parse_error", "body_sha256")
+    numbers = {"http_status": 304, "duration_ms": 7, "attempt_count": 2, "advertised_length": -1, "encoded_length": 3, "decoded_length": 4,
+               "entity_count": 9}
+    df = df.withColumns({**{t: F.lit("") for t in texts}, **{n: F.lit(v) for n, v in numbers.items()}, "started_at": F.col("completed_at"),
+                         "response_headers": F.expr("map('Via', 'a & b', 'Age', '3')"), "transport_complete": F.lit(False)})
     rows = nested_rows(df)
     assert rows.columns == schemas.NESTED_ROW.names
-    good, bad = rows.orderBy("capture_id").collect()
-    assert len(good["entities"]) == 5 and good["parse_error"] is None
-    assert good["response_headers_json"] == '{"a":"\\u003c1\\u003e","b":"2"}'
-    assert bad["header"] is None and bad["entities"] == [] and bytes(bad["feed_message_pb"]) == MALFORMED
-
-
-def test_layout_pins():
-    assert len(schemas.FLAT_ROW) == 54 and len(schemas.NESTED_ROW) == 31 and len(schemas.MESSAGES) == 18
-    assert schemas.FLAT_ROW.names[:6] == [
-        "source_file", "feed_url", "feed_timestamp", "fetch_timestamp", "entity_id", "trip_id"]
-    assert schemas.FLAT_ROW.names[-8:] == [
-        "source_id", "stream_id", "capture_id", "archive_date", "archive_timezone", "scheduled_at",
-        "parse_status", "validation_flags"]
-    assert isinstance(schemas.FLAT_ROW["feed_timestamp"].dataType, T.DecimalType)
+    kept, broken = rows.orderBy("capture_id").collect()
+    assert len(kept["entities"]) == len(EVERY) and bytes(kept["feed_message_pb"]) == bodies[0] and kept["parse_error"] is None
+    assert kept["response_headers_json"] == '{"Age":"3","Via":"a \\u0026 b"}' and kept["http_status"] == 304
+    assert (broken["header"], broken["entities"], bytes(broken["feed_message_pb"])) == (None, [], MALFORMED)
+
 
+def test_layouts_have_their_published_width():
+    assert [len(schemas.FLAT_ROW), len(schemas.NESTED_ROW), len(schemas.MESSAGES)] == [54, 31, 18]
+    assert schemas.FLAT_ROW.names[0] == "source_file" and schemas.FLAT_ROW.names[-1] == "validation_flags"
+    assert isinstance(schemas.FLAT_ROW["feed_timestamp"].dataType, T.DecimalType)
 
-@pytest.mark.parametrize("size", [1, 7])
-def test_small_output_batches_keep_all_rows(spark, monkeypatch, size):
-    from transitlake.operators import wire
 
-    monkeypatch.setattr(wire, "BATCH_BODY_BYTES", size)
-    assert len(list(wire._slices(__import__("pyarrow").array([b"abcd", b"", b"abcdefgh", None, b"x"])))) >= 2
+@pytest.mark.parametrize("limit", [1, 6, 1000])
+def test_batches_are_cut_by_bytes_and_lose_nothing(monkeypatch, limit):
+    monkeypatch.setattr(wire, "BATCH_BODY_BYTES", limit)
+    bodies = [b"123", None, b"", b"4567890", b"x", b"yz"]
+    pieces = list(wire._slices(pa.array(bodies)))
+    assert len(pieces) == 1 if limit == 1000 else len(pieces) >= 2

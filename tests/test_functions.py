@@ -9,6 +9,7 @@ from transitlake.functions import paths as P
 from transitlake.functions import policy as R
 from transitlake.functions import urls as U
 from transitlake.operators import grid as G
+from transitlake.operators import slices as S
 
 
 def one(spark, column):
@@ -99,3 +100,33 @@ def test_hysteresis_holds_across_slices(spark):
     df = spark.createDataFrame(rows, "ts timestamp, i int, value double, series string")
     found = G.hysteresis(df, "value", ("series",), ("ts", "i"), 90.0, 80.0, instant="ts").orderBy("i").collect()
     assert [r["paused"] for r in found] == [False, True, True, True, True, False, False, True, False]
+
+
+def test_a_crowded_second_is_cut_and_equals_the_plain_window(spark):
+    """All rows of two series in one second: parts by fences, the result that of one window over each series."""
+    from pyspark.sql import Window
+
+    rows = spark.range(4000).selectExpr("id", "CAST(pmod(id * 7919, 4000) AS INT) AS i", "TIMESTAMP '2026-01-01 00:00:00' AS ts",
+                                        "CASE WHEN id % 3 = 0 THEN 'big' ELSE 'small' END AS series", "CAST(pmod(xxhash64(id), 101) AS DOUBLE) AS value")
+    cut = S.with_cuts(rows.withColumn("_slice", F.lit(0)), ("series",), "_slice", ("ts", "i"), every=50)
+    parts = cut.groupBy("series", "_cut").agg(F.count("*").alias("n"), F.min("i").alias("low"), F.max("i").alias("high")).orderBy("series", "_cut").collect()
+    assert len(parts) > 20 and max(r["n"] for r in parts) < 1000
+    assert all(a["high"] < b["low"] for a, b in zip(parts, parts[1:]) if a["series"] == b["series"])
+    found = G.hysteresis(rows, "value", ("series",), ("ts", "i"), 99.0, 2.0, instant="ts", every=50)
+    signal = F.when(F.col("value") >= 99, True).when(F.col("value") <= 2, False)
+    whole = Window.partitionBy("series").orderBy("ts", "i").rowsBetween(Window.unboundedPreceding, 0)
+    plain = rows.withColumn("paused", F.coalesce(F.last(signal, ignorenulls=True).over(whole), F.lit(False)))
+    assert sorted(map(tuple, found.select("id", "paused").collect())) == sorted(map(tuple, plain.select("id", "paused").collect()))
+
+
+def test_largest_gap_of_a_crowded_slice(spark):
+    from pyspark.sql import Window
+    from transitlake.operators import statistics
+
+    rows = spark.range(3000).selectExpr("'s' AS source_id", "'t' AS stream_id", "'2026-01-01' AS archive_date", "TIMESTAMP '2026-01-01 00:00:00' AS scheduled_at",
+                                        "lpad(pmod(id * 7919, 3000), 6, '0') AS capture_id", "timestamp_millis(pmod(xxhash64(id), 100000)) AS completed_at")
+    order = Window.partitionBy("source_id").orderBy("scheduled_at", "capture_id")
+    gap = F.unix_millis("completed_at") - F.lag(F.unix_millis("completed_at")).over(order)
+    wanted = rows.withColumn("gap", gap).agg(F.max("gap")).first()[0]
+    for every in (20, 100_000):
+        assert statistics.largest_fetch_gap(rows, every=every).first()["largest_fetch_gap_ms"] == wanted

@@ -42,6 +42,42 @@ def test_bronze_keeps_every_body_once(spark, tmp_path):
     assert joined.filter("body = kept").count() == 3
 
 
+def test_arrivals_by_their_documents(spark, tmp_path):
+    """Bodies come with the documents that name them: empty ones, those of odd names, and the news of a missing one."""
+    root = str(tmp_path)
+    captures = lake.captures_with_bodies(spark, [body(feed()), b"", MALFORMED, body(feed(timestamp=7))], stream="a b")
+    write_landing(captures.filter("capture_id LIKE '%-1' OR capture_id LIKE '%-2'"), root)
+
+    def run():
+        landing.start_bronze(B.stream_arrivals(spark, root, max_files=1), f"{root}/bronze", f"{root}/cp").awaitTermination()
+        return {r["raw_path"]: (r["parse_status"], r["body"] and bytes(r["body"])) for r in spark.read.parquet(f"{root}/bronze").collect()}
+
+    assert sorted(s for s, _ in run().values()) == ["empty_body", "valid"]
+    write_landing(captures.filter("capture_id LIKE '%-3' OR capture_id LIKE '%-4'"), root)
+    gone = captures.filter("capture_id LIKE '%-4'").first()["raw_path"]
+    B.located(f"file://{root}")[0].delete_file(f"{root}/{gone}")
+    found = run()
+    assert found.pop(gone) == ("missing_body", None)
+    batch = B.scan_bodies(spark, root).unionByName(B.empty_bodies(B.scan_sidecars(spark, root)))
+    assert {p: b for p, (_, b) in found.items()} == {r["raw_path"]: bytes(r["body"]) for r in batch.collect()}
+    assert sorted(s for s, _ in found.values()) == ["empty_body", "protobuf_decode", "valid"]
+    plan = B.open_arrivals(B.scan_sidecars(spark, root), root)
+    assert all(f.endswith(".json") for f in plan.inputFiles())  # no body is listed
+
+
+def test_large_bodies_come_in_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(B, "OPENED_BYTES", 10)
+    import pyarrow as pa
+
+    for name in "abc":
+        (tmp_path / name).write_bytes(name.encode() * 8)
+    rows = pa.RecordBatch.from_pydict({**{n: ["x"] * 4 for n in ("source", "stream", "date", "hour")}, "raw_path": ["a", "b", "none", "c"],
+                                       "decoded_length": [8, 8, 8, 8]})
+    out = list(B._opener(f"file://{tmp_path}")([rows]))
+    assert [b.num_rows for b in out] == [2, 2]
+    assert [v for b in out for v in b.column("body").to_pylist()] == [b"a" * 8, b"b" * 8, None, b"c" * 8]
+
+
 def test_late_captures_open_a_revision_and_repeats_do_not(spark, tmp_path):
     root = str(tmp_path)
     captures = lake.captures_with_bodies(spark, [body(feed())] * 4).drop("body")

@@ -53,7 +53,7 @@ def header_metadata(decoded: DataFrame) -> DataFrame:
         decoded
         .withColumn("parse_status", F.when(no_header, F.lit("protobuf_required_field"))
                     .otherwise(F.col("decode_status")))
-        .withColumn("parse_error", F.when(no_header, F.lit("feed header or gtfs_realtime_version is absent"))
+        .withColumn("parse_error", F.when(no_header, F.lit("no header, or one without a version"))
                     .otherwise(F.coalesce(F.col("decode_error"), F.lit(""))))
         .withColumn("feed_version", F.when(_has_header(), _version()).otherwise(F.lit("")))
         .withColumn("incrementality", F.when(_has_header(), F.col("message.header.incrementality")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitlake.functions.policy import stable_phase_ns
+from transitlake.operators.slices import FENCE_EVERY, with_cuts
 
 _HOUR_US = 3_600_000_000
 
@@ -52,25 +53,26 @@ def missed_ticks(grid: DataFrame, ticks: DataFrame) -> DataFrame:
 
 
 def hysteresis(df: DataFrame, value: str, series: tuple[str, ...], order: tuple[str, ...],
-               high: float, low: float, instant: str, slice_seconds: int = 3600) -> DataFrame:
+               high: float, low: float, instant: str, slice_seconds: int = 3600, every: int = FENCE_EVERY) -> DataFrame:
     """``paused``: set at or above ``high``, cleared at or below ``low``, otherwise held.
 
-    A held value may reach back any distance. Time slices are windowed on their own;
-    the last signal of every slice is carried over a small window of slices and joined
-    back, so a long series is never sorted by one task.
+    A held value may reach back any distance. Time slices, cut further where many rows lie in one, are
+    windowed on their own; the last signal of every slice is carried over a small window of slices
+    and joined back, so neither a long series nor a crowded second is sorted by one task.
     """
     signal = F.when(F.col(value) >= high, F.lit(True)).when(F.col(value) <= low, F.lit(False))
     marked = df.withColumn("_slice", F.floor(F.unix_seconds(F.col(instant).cast("timestamp")) / slice_seconds)) \
                .withColumn("_signal", signal)
+    marked = with_cuts(marked, series, "_slice", order, every)
     position = F.when(F.col("_signal").isNotNull(), F.struct(*order))
-    ends = marked.groupBy(*series, "_slice").agg(F.max_by("_signal", position).alias("_end"))
-    before = Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*series, "_slice", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
-    running = Window.partitionBy(*series, "_slice").orderBy(*order) \
+    ends = marked.groupBy(*series, "_slice", "_cut").agg(F.max_by("_signal", position).alias("_end"))
+    before = Window.partitionBy(*series).orderBy("_slice", "_cut").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*series, "_slice", "_cut", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    running = Window.partitionBy(*series, "_slice", "_cut").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         marked.withColumn("_held", F.last("_signal", ignorenulls=True).over(running))
-        .join(carried, [*series, "_slice"])
+        .join(carried, [*series, "_slice", "_cut"])
         .withColumn("paused", F.coalesce("_held", "_carried", F.lit(False)))
-        .drop("_slice", "_signal", "_held", "_carried")
+        .drop("_slice", "_cut", "_signal", "_held", "_carried")
     )

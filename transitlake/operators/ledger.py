@@ -111,6 +111,26 @@ def missing_from_latest(captures: DataFrame, inputs: DataFrame, compactions: Dat
     return captures.join(latest, list(DAY)).join(inputs, ["compaction_id", "capture_id"], "left_anti")
 
 
+def captures_digest(capture_id: Column) -> Column:
+    """An aggregate that names a set of captures whatever its order: count, xor and sum of hashes of the ids.
+
+    The sum takes 32 bits of a hash of its own, so it cannot overflow below two thousand million captures.
+    """
+    second = F.xxhash64(F.lit("sum"), capture_id).bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))
+    parts = (F.count(capture_id), F.coalesce(F.bit_xor(F.xxhash64(capture_id)), F.lit(0)), F.coalesce(F.sum(second), F.lit(0)))
+    return F.concat_ws(":", *[p.cast("string") for p in parts])
+
+
+NO_CAPTURES = "0:0:0"
+
+
+def revision_digests(compactions: DataFrame, inputs: DataFrame) -> DataFrame:
+    """Each revision with the digest of its inputs (``compaction_id``, ``capture_id``)."""
+    digests = inputs.groupBy("compaction_id").agg(captures_digest(F.col("capture_id")).alias("_digest"))
+    return compactions.select("compaction_id", *REVISION).join(digests, "compaction_id", "left").select(
+        "compaction_id", *REVISION, F.coalesce("_digest", F.lit(NO_CAPTURES)).alias("inputs_digest"))
+
+
 def without_summary(days: DataFrame, summaries: DataFrame) -> DataFrame:
     return days.join(summaries.select(*DAY), list(DAY), "left_anti")
 

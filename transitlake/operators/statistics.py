@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from transitlake import constants as K
 from transitlake.functions.bodies import is_valid_snapshot
 from transitlake.functions.calendar import local_date_text, millis_between
+from transitlake.operators.slices import FENCE_EVERY, with_cuts
 
 DAY = ("source_id", "stream_id", "archive_date")
 
@@ -160,30 +161,30 @@ def capture_facts(captures: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame
 SLICE_SECONDS = 900
 
 
-def largest_fetch_gap(captures: DataFrame, keys: tuple[str, ...] = DAY) -> DataFrame:
+def largest_fetch_gap(captures: DataFrame, keys: tuple[str, ...] = DAY, every: int = FENCE_EVERY) -> DataFrame:
     """Largest positive distance of consecutive completions, in whole milliseconds.
 
-    Slices of a quarter hour are windowed on their own and reduced to their first
-    and last completion; a second, small window over the slices adds the gaps
-    between them. A stream has one capture per scheduled instant, so a slice is
-    bounded by the polling interval however large the day's group is.
+    Slices of a quarter hour, cut further where many captures lie in one, are windowed on
+    their own and reduced to their first and last completion; a second, small window over the
+    slices adds the gaps between them.
     """
     done = F.col("completed_at")
     sliced = captures.select(
         *keys, "scheduled_at", "capture_id", "completed_at",
         F.floor(F.unix_seconds("scheduled_at") / SLICE_SECONDS).alias("_slice"),
     )
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy("scheduled_at", "capture_id")
+    in_slice = Window.partitionBy(*keys, "_slice", "_cut").orderBy("scheduled_at", "capture_id")
     slices = (
-        sliced.withColumn("_gap", millis_between(done, F.lag(done).over(in_slice)))
-        .groupBy(*keys, "_slice")
+        with_cuts(sliced, keys, "_slice", ("scheduled_at", "capture_id"), every)
+        .withColumn("_gap", millis_between(done, F.lag(done).over(in_slice)))
+        .groupBy(*keys, "_slice", "_cut")
         .agg(
             F.max("_gap").alias("_gap"),
             F.min_by(done, capture_order()).alias("_first"),
             F.max_by(done, capture_order()).alias("_last"),
         )
     )
-    across = Window.partitionBy(*keys).orderBy("_slice")
+    across = Window.partitionBy(*keys).orderBy("_slice", "_cut")
     step = millis_between(F.col("_first"), F.lag("_last").over(across))
     return (
         slices.withColumn("_step", step)

@@ -122,7 +122,7 @@ def _parse(body: bytes | None):
 
     message = message_class()()
     if not body:
-        return "empty_body", "response body is empty", message
+        return "empty_body", "no bytes to decode", message
     try:
         message.MergeFromString(body)
     except DecodeError:

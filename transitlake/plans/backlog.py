@@ -29,6 +29,21 @@ def candidate_days(streams: DataFrame, ticks: DataFrame, now: Column,
     )
 
 
+def days_due(streams: DataFrame, ticks: DataFrame, captures: DataFrame, digests: DataFrame, summaries: DataFrame,
+             now: Column, close_delay_s: int = K.CLOSE_DELAY_S) -> DataFrame:
+    """The days of :func:`days_to_compact`, from digests: a day is due where its captures' digest is not that of its
+    latest revision's inputs. No list of inputs is read. ``digests`` has one row for every revision."""
+    day = list(DAY)
+    ticked = ticks.select(*DAY).distinct()
+    captured = captures.groupBy(*DAY).agg(L.captures_digest(F.col("capture_id")).alias("_digest"))
+    latest = L.latest_revision(digests).select(*DAY, "revision", "inputs_digest")
+    due = candidate_days(streams, ticks, now, close_delay_s).join(ticked, day, "left_semi")
+    due = L.without_summary(due, summaries).join(captured, day, "left").join(latest, day, "left")
+    differs = F.coalesce("_digest", F.lit(L.NO_CAPTURES)) != F.col("inputs_digest")
+    return due.filter(F.col("revision").isNull() | differs).select(
+        *DAY, (F.coalesce("revision", F.lit(0)) + 1).cast("int").alias("revision"))
+
+
 def days_to_compact(streams: DataFrame, ticks: DataFrame, captures: DataFrame, compactions: DataFrame,
                     inputs: DataFrame, summaries: DataFrame, now: Column,
                     close_delay_s: int = K.CLOSE_DELAY_S) -> DataFrame:

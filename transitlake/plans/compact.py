@@ -26,6 +26,7 @@ from transitlake.operators.statistics import DAY
 from transitlake.plans import manifest as M
 from transitlake.schemas import FEED_MESSAGE, TRIP_UPDATE_MESSAGE
 from transitlake.sources import revisions as R
+from transitlake.sources.footers import provenance_of
 
 
 def day_captures(captures: DataFrame, days: DataFrame, flattened: bool) -> DataFrame:
@@ -66,19 +67,27 @@ def nested_plan(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> Data
     return nested_rows(decode_bodies(rows, wanted=FEED_MESSAGE), passthrough=("revision",))
 
 
+def decoded_captures(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> DataFrame:
+    """Flattened captures of all selected days with their decoded messages, and whether a body has the
+    recorded hash. A compaction stores this table: rows and counts both come from it, so a
+    body is decoded once, and what flattens to no row is still counted."""
+    rows = _by_day(with_bodies(day_captures(captures, days, flattened=True), bodies, keep_missing=True))
+    rows = rows.withColumn("hash_matches", F.coalesce(body_sha256(F.col("body")) == F.col("body_sha256"), F.lit(False)))
+    return decode_bodies(rows, wanted=TRIP_UPDATE_MESSAGE, keep_body=False)
+
+
 def flattened_plan(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> DataFrame:
     """Flattened rows of all selected days, before the write."""
-    rows = _by_day(with_bodies(day_captures(captures, days, flattened=True), bodies))
-    decoded = decode_bodies(rows, wanted=TRIP_UPDATE_MESSAGE, keep_body=False)
-    return flatten_trip_updates(decoded, passthrough=("revision",))
+    return flatten_trip_updates(decoded_captures(captures, bodies, days), passthrough=("revision",))
 
 
 def expected_counts(captures: DataFrame, bodies: DataFrame, days: DataFrame) -> DataFrame:
-    """What each flattened capture must contribute, from a second read of its body."""
-    rows = with_bodies(day_captures(captures, days, flattened=True), bodies, keep_missing=True)
-    slim = rows.select(*REVISION, "capture_id", "entity_count", "body_sha256", "body") \
-        .withColumn("hash_matches", F.coalesce(body_sha256(F.col("body")) == F.col("body_sha256"), F.lit(False)))
-    decoded = decode_bodies(slim, wanted=TRIP_UPDATE_MESSAGE, keep_body=False)
+    """What each flattened capture must contribute."""
+    return counts_of(decoded_captures(captures, bodies, days))
+
+
+def counts_of(decoded: DataFrame) -> DataFrame:
+    """What each decoded capture must contribute; of a stored table only the lists' lengths are read."""
     return decoded.select(*REVISION, "capture_id", "entity_count", "hash_matches",
                           projected_rows().alias("expected_rows"),
                           stop_time_updates().alias("stop_time_updates"))
@@ -139,59 +148,63 @@ class CompactionResult:
 def compact_days(spark: SparkSession, root: str, captures: DataFrame, ticks: DataFrame, bodies: DataFrame,
                  streams: DataFrame, days: DataFrame, destinations: DataFrame, created_at: Column,
                  options: R.WriterOptions | None = None, local_only_cleanup: bool = False,
-                 **versions: str) -> CompactionResult:
+                 scratch: str | None = None, **versions: str) -> CompactionResult:
     """Write a revision of every selected stream-day; the manifest goes last.
 
     A day whose content check fails, or whose captures disagree on the URL, gets no
-    manifest: readers never see its files, and other days are not held up.
+    manifest: readers never see its files, and other days are not held up. Tables between steps
+    lie below ``scratch``, by default the root, and the result reads some of them.
     """
-    options = options or R.WriterOptions()
+    options, scratch = options or R.WriterOptions(), scratch or root
     # the list of days decides everything below, so it is settled once
-    days = R.materialize(days.select(*REVISION), root, "days")
+    days = R.materialize(days.select(*REVISION), scratch, "days")
     bodies = bodies_of_days(bodies, days)
     # statistics and inputs concern these days; their dates prune the ledger's directories
     dated = days.filter("archive_date > ''").select(*DAY)
     captures, ticks = (t.join(dated, list(DAY), "left_semi") for t in (captures, ticks))
-    old = R.materialize(R.leftovers(spark, root, days), root, "leftovers")
-    R.write_nested(nested_plan(captures, bodies, days), root, options)
-    R.write_flattened(flattened_plan(captures, bodies, days), root, options)
-
-    # The counts cost a second decode, and the accepted manifests decide what is
-    # published: both are kept as tables, which also survive lost executors.
-    counts = R.materialize(expected_counts(captures, bodies, days), root, "counts")
+    old = R.materialize(R.leftovers(spark, root, days), scratch, "leftovers")
+    # the facts of this run and its streams go into every part's footer
+    nested_facts, flat_facts = (provenance_of(streams, days, created_at, flattened, **versions) for flattened in (False, True))
+    R.write_nested(nested_plan(captures, bodies, days), root, options, nested_facts)
+    # Decoding is the dear step. Its table gives the rows and, for the check, the counts; a part of it is
+    # read by one task, so the rows need no shuffle on their way to the files.
+    decoded = R.materialize(decoded_captures(captures, bodies, days), scratch, "decoded")
+    R.write_flattened(flatten_trip_updates(decoded, passthrough=("revision",)), root, options, flat_facts)
+    counts = R.materialize(counts_of(decoded), scratch, "counts")
     nested, flat = (
-        R.of_days(R.scan_written(spark, root, flattened), days).join(old, "file_name", "left_anti")
+        R.of_days(R.scan_written(spark, root, flattened, days), days).join(old, "file_name", "left_anti")
         for flattened in (False, True)
     )
     selected = captures.join(days.select(*REVISION), list(DAY))
-    placed = R.materialize(R.place_captures(flat), root, "placed")
-    nested_placed = R.materialize(R.place_captures(nested), root, "placed")
+    placed = R.materialize(R.place_captures(flat), scratch, "placed")
+    nested_placed = R.materialize(R.place_captures(nested), scratch, "placed")
     content = check_nested(nested, day_captures(captures, days, flattened=False)) \
         .unionByName(check_placed(placed, counts)) \
         .unionByName(check_parts(placed)).unionByName(check_parts(nested_placed))
 
     totals = counts.groupBy(*DAY).agg(F.sum("stop_time_updates").alias("stop_time_updates"))
     manifests = R.materialize(M.build_manifests(captures, ticks, streams, days, destinations, created_at,
-                                                stop_totals=totals, **versions), root, "built")
+                                                stop_totals=totals, **versions), scratch, "built")
     # a day whose captures name different URLs is reported as a whole, without a capture
     mismatched = manifests.filter(~F.col("urls_agree")).select(
         *REVISION, F.lit(None).cast("string").alias("capture_id"), F.lit("url_mismatch").alias("violation"))
-    violations = R.materialize(content.unionByName(mismatched), root, "violations")
+    violations = R.materialize(content.unionByName(mismatched), scratch, "violations")
     refused = violations.select(*REVISION).distinct()
     accepted = R.materialize(
-        manifests.filter("urls_agree").drop("urls_agree").join(refused, list(REVISION), "left_anti"), root, "accepted")
+        manifests.filter("urls_agree").drop("urls_agree").join(refused, list(REVISION), "left_anti"), scratch, "accepted")
     inputs = selected.select(*REVISION, "scheduled_at", F.col("capture_id").alias("id"),
                              F.col("body_sha256").alias("sha256"), F.col("decoded_length").alias("bytes"))
     R.write_inputs(R.of_days(inputs, accepted), root)
     files = R.list_files(spark, root, accepted, nested_placed, placed, selected, counts)
     R.write_files(R.of_days(files, accepted), root)
-    listed_inputs, listed_files = (R.of_days(t, accepted) for t in (R.scan_inputs(spark, root), R.scan_files(spark, root)))
+    listed_inputs, listed_files = (R.of_days(scan(spark, root, accepted), accepted) for scan in (R.scan_inputs, R.scan_files))
     R.write_manifests(M.manifest_documents(accepted, listed_inputs, listed_files), root)
 
-    written = R.of_days(R.scan_manifests(spark, root), days)
+    written = R.of_days(R.scan_manifests(spark, root, days), days)
+    inputs, files = (R.of_days(scan(spark, root, days), days) for scan in (R.scan_inputs, R.scan_files))
     return CompactionResult(
-        manifests=written, inputs=R.scan_inputs(spark, root), files=R.scan_files(spark, root),
-        violations=violations, compactions=ledger_rows(written, R.scan_files(spark, root), local_only_cleanup),
+        manifests=written, inputs=inputs, files=files, violations=violations,
+        compactions=ledger_rows(written, files, local_only_cleanup),
     )
 
 

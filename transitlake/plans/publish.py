@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from transitlake.functions.urls import sanitize_url
 from transitlake.operators import ledger as L
 from transitlake.operators.ledger import REVISION
 from transitlake.plans.verify import verify_revisions
+from transitlake.session import located
 from transitlake.sources import revisions as R
 
 _CHUNK = 4 << 20
@@ -49,12 +50,12 @@ def _copy_one(source: str, target: str, expected: str) -> tuple[str, int, str]:
     """
     from pyarrow import fs
 
-    source_fs, source_path = fs.FileSystem.from_uri(source)
-    target_fs, target_path = fs.FileSystem.from_uri(target)
+    source_fs, source_path = located(source)
+    target_fs, target_path = located(target)
 
     def digest(path: str) -> tuple[str, int]:
         hashed, size = hashlib.sha256(), 0
-        with target_fs.open_input_stream(path) as stream:
+        with target_fs.open_input_stream(path, compression=None) as stream:
             while chunk := stream.read(_CHUNK):
                 hashed.update(chunk)
                 size += len(chunk)
@@ -66,7 +67,8 @@ def _copy_one(source: str, target: str, expected: str) -> tuple[str, int, str]:
     parent = target_path.rsplit("/", 1)[0]
     target_fs.create_dir(parent, recursive=True)
     partial = f"{parent}/.{uuid.uuid4().hex}.partial"
-    with source_fs.open_input_stream(source_path) as reader, target_fs.open_output_stream(partial) as writer:
+    with source_fs.open_input_stream(source_path, compression=None) as reader, \
+            target_fs.open_output_stream(partial, compression=None) as writer:
         while chunk := reader.read(_CHUNK):
             writer.write(chunk)
     actual, size = digest(partial)
@@ -215,9 +217,9 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def _refuse_unsound(spark: SparkSession, root: str, work: DataFrame, compactions: DataFrame,
                     manifests: DataFrame) -> DataFrame:
     """Due publications, those of revisions that do not verify marked local_integrity."""
-    due = work.filter(F.col("remote_path").isNotNull()).select(*REVISION).distinct()
-    tables = (manifests, compactions, R.scan_inputs(spark, root), R.scan_files(spark, root),
-              R.scan_parts(spark, root).drop("path"))
+    due = _in_hand(work)
+    tables = (manifests, compactions, R.scan_inputs(spark, root, due), R.scan_files(spark, root, due),
+              R.scan_parts(spark, root, due).drop("path"))
     unsound = verify_revisions(*[R.of_days(t, due) for t in tables]).select(*REVISION).distinct()
     marked = work.join(unsound.withColumn("_unsound", F.lit("local_integrity")), list(REVISION), "left")
     return marked.withColumns({
@@ -226,31 +228,39 @@ def _refuse_unsound(spark: SparkSession, root: str, work: DataFrame, compactions
     }).select(*work.columns)
 
 
+def _in_hand(work: DataFrame) -> DataFrame:
+    return work.filter(F.col("remote_path").isNotNull()).select(*REVISION).distinct()
+
+
 def publish_due(spark: SparkSession, root: str, publications: DataFrame, compactions: DataFrame,
                 manifests: DataFrame, destinations: DataFrame, streams: DataFrame, now: Column,
-                jitter: Column) -> DataFrame:
+                jitter: Column, keep: Callable[[str, DataFrame], DataFrame] | None = None) -> DataFrame:
     """One round over the due publications; returns their change rows.
 
     A revision that no longer verifies is not copied at all. All artifacts are copied before any manifest, and a manifest follows only where
     every artifact of its publication is verified. Copies are recorded in a table
-    before they are looked at, so nothing is copied twice.
+    before they are looked at, so nothing is copied twice. ``keep`` stores a step's table under its name, and
+    gives back what an earlier attempt stored.
     """
+    keep = keep or (lambda step, rows: R.materialize(rows, root, step))
     work = with_publish_path(
         L.publication_work(L.publication_queue(publications, now), destinations, compactions, manifests), streams)
-    work = R.materialize(work, root, "publications")
-    work = R.materialize(_refuse_unsound(spark, root, work, compactions, manifests), root, "sound")
-    parts = R.scan_parts(spark, root).select(*REVISION, "relative_path", "path")
-    artifacts = R.scan_files(spark, root).join(parts, [*REVISION, "relative_path"])
-    wanted = R.materialize(published_files(work, artifacts, F.col("relative_path")), root, "artifacts")
-    copied = R.materialize(copy_files(wanted), root, "copied")
+    work = keep("publications", work)
+    work = keep("sound", _refuse_unsound(spark, root, work, compactions, manifests))
+    sound = _in_hand(work)
+    parts = R.of_days(R.scan_parts(spark, root, sound), sound).select(*REVISION, "relative_path", "path")
+    artifacts = R.of_days(R.scan_files(spark, root, sound), sound).join(parts, [*REVISION, "relative_path"])
+    wanted = keep("artifacts", published_files(work, artifacts, F.col("relative_path")))
+    copied = keep("copied", copy_files(wanted))
     first = copy_outcomes(wanted, copied)
 
     ready = work.join(first.filter(F.col("failed_with").isNotNull()), "publication_id", "left_anti")
-    documents = R.scan_documents(spark, root)
-    listed = R.materialize(published_files(ready, documents, F.lit("manifest.json")), root, "documents")
-    confirmed = R.materialize(copy_files(listed), root, "confirmed")
+    complete = _in_hand(ready)
+    documents = R.of_days(R.scan_documents(spark, root, complete), complete)
+    listed = keep("documents", published_files(ready, documents, F.lit("manifest.json")))
+    confirmed = keep("confirmed", copy_files(listed))
     second = copy_outcomes(listed, confirmed)
     outcomes = first.filter(F.col("failed_with").isNotNull()).unionByName(second)
     unseen = work.filter(F.col("remote_path").isNotNull()).join(outcomes, "publication_id", "left_anti") \
         .select("publication_id", F.lit("local_integrity").alias("failed_with"))
-    return R.materialize(attempt_outcomes(work, outcomes.unionByName(unseen), now, jitter), root, "attempts")
+    return keep("attempts", attempt_outcomes(work, outcomes.unionByName(unseen), now, jitter))

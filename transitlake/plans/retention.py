@@ -1,19 +1,22 @@
 """Retention: what may be dropped, and what remains of it.
 
-Nothing here deletes a file. The candidates are tables, and :func:`files_to_remove` lists
-paths for the caller, who deletes them.
+The candidates are tables, :func:`files_to_remove` lists their paths, and :func:`delete_paths` deletes
+listed paths where that is asked for.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitlake import constants as K
 from transitlake.operators import ledger as L
 from transitlake.operators.statistics import DAY
+from transitlake.session import located
 
 
 @dataclass(frozen=True)
@@ -123,7 +126,76 @@ def retention_report(captures: DataFrame, inputs: DataFrame, compactions: DataFr
 
 
 def files_to_remove(captures: DataFrame, datasets: DataFrame) -> DataFrame:
-    """The relative paths a cleanup would delete, two per capture and two per dataset."""
-    raw = captures.select(F.explode(F.array("raw_path", "sidecar_path")).alias("path"))
-    data = datasets.select(F.explode(F.array("data_path", "manifest_path")).alias("path"))
+    """The relative paths a cleanup would delete, two per capture and two per dataset, with what owns them."""
+    raw = captures.select(F.explode(F.array("raw_path", "sidecar_path")).alias("path"), F.lit("capture").alias("kind"),
+                          F.col("capture_id").alias("owner"))
+    data = datasets.select(F.explode(F.array("data_path", "manifest_path")).alias("path"), F.lit("dataset").alias("kind"),
+                           F.col("compaction_id").cast("string").alias("owner"))
     return raw.unionByName(data).filter("path <> ''")
+
+
+# Outcomes of a deletion. A path that is already gone is as good as deleted.
+GONE = ("deleted", "gone")
+OUTCOME = "path string, kind string, owner string, outcome string, bytes bigint"
+_TREES = ("raw/", "parquet/", "manifests/")
+
+
+def may_delete(path: str) -> bool:
+    """Only paths within the lake's trees: relative, and without a step upwards."""
+    return path.startswith(_TREES) and not {"", ".", ".."} & set(path.rstrip("/").split("/"))
+
+
+def _delete_one(store, base: str, path: str) -> tuple[str, int]:
+    from pyarrow import fs
+
+    if not may_delete(path):
+        return "refused", 0
+    place = f"{base}/{path}"
+    info = store.get_file_info(place)
+    if info.type == fs.FileType.NotFound:
+        return "gone", 0
+    if info.type == fs.FileType.File:
+        store.delete_file(place)
+        return "deleted", info.size
+    # a dataset of several parts is a directory; a revision's directory holds nothing else
+    files = store.get_file_info(fs.FileSelector(place, recursive=True))
+    store.delete_dir(place)
+    return "deleted", sum(f.size for f in files if f.type == fs.FileType.File)
+
+
+def _deleter(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = located(root)
+        for batch in batches:
+            outcomes, sizes = [], []
+            for path in batch.column("path").to_pylist():
+                try:
+                    outcome, size = _delete_one(store, base, path)
+                except FileNotFoundError:  # another attempt of this task was faster
+                    outcome, size = "gone", 0
+                except OSError:
+                    outcome, size = "failed", 0
+                outcomes.append(outcome)
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("path", "kind", "owner")), pa.array(outcomes), pa.array(sizes, pa.int64())],
+                names=["path", "kind", "owner", "outcome", "bytes"])
+    return run
+
+
+def delete_paths(paths: DataFrame, root: str, tasks: int | None = None) -> DataFrame:
+    """Delete (path, kind, owner) below ``root``, a URI; one row with the outcome for each path.
+
+    The paths are spread over tasks, whoever owns them. Doing it twice is harmless: what is gone counts as
+    deleted. ``refused`` are paths outside the lake's trees, ``failed`` those the store would not delete.
+    The result must be written before it is used, as each use deletes again.
+    """
+    spark = paths.sparkSession
+    spread = paths.select("path", "kind", "owner").repartition(tasks or 4 * spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(_deleter(root), OUTCOME)
+
+
+def fully_gone(outcomes: DataFrame) -> DataFrame:
+    """Owners (kind, owner) all of whose listed paths are gone."""
+    left = F.count_if(~F.col("outcome").isin(*GONE))
+    return outcomes.groupBy("kind", "owner").agg(left.alias("_left")).filter("_left = 0").select("kind", "owner")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake import constants as K
 from transitlake.functions.bodies import words
 from transitlake.operators.ledger import REVISION
+from transitlake.sources import revisions as R
+from transitlake.sources.footers import footer_violations, scan_footers
 
 
 def expected_artifact_rows() -> Column:
@@ -109,3 +111,11 @@ def verify_revisions(manifests: DataFrame, compactions: DataFrame, inputs: DataF
     """All violations; a revision without any is sound."""
     return manifest_violations(manifests, compactions, inputs, files).unionByName(
         file_violations(manifests, compactions, files, on_disk))
+
+
+def verify_days(spark: SparkSession, root: str, compactions: DataFrame, days: DataFrame) -> DataFrame:
+    """All violations of the selected revisions, what their footers say included; only their directories are listed."""
+    manifests, inputs, files = (R.of_days(scan(spark, root, days), days) for scan in (R.scan_manifests, R.scan_inputs, R.scan_files))
+    on_disk = R.of_days(R.scan_parts(spark, root, days), days)
+    found = verify_revisions(manifests, R.of_days(compactions, days), inputs, files, on_disk)
+    return found.unionByName(footer_violations(manifests, files, scan_footers(spark, root, days)))

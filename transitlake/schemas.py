@@ -277,6 +277,8 @@ COMPACTION = _columns(
     ("rows", _L), ("entities", _L), ("required_destinations", T.ArrayType(_S)),
     ("created_at", _TS), ("published_at", _TS),
 )
+REVISION_DIGEST = _columns(
+    ("compaction_id", _L), ("source_id", _S), ("stream_id", _S), ("archive_date", _S), ("revision", _I), ("inputs_digest", _S))
 COMPACTION_INPUT = _columns(("compaction_id", _L), ("capture_id", _S))
 PUBLICATION = _columns(
     ("publication_id", _L), ("compaction_id", _L), ("destination_id", _S), ("required", _B),
@@ -290,6 +292,8 @@ DAILY_SUMMARY = _columns(
     ("invalid_payloads", _L), ("http_failures", _L), ("network_failures", _L),
     ("parse_status_counts", _COUNTS), ("summarized_at", _TS),
 )
+# One row for each path that retention lists: what asked for it, and how its deletion went.
+DELETION = _columns(("path", _S), ("kind", _S), ("owner", _S), ("outcome", _S), ("bytes", _L), ("at", _TS))
 STREAM = _columns(
     ("source_id", _S), ("stream_id", _S), ("expected_kind", _S), ("url", _S), ("timezone", _S),
     ("interval_ms", _L), ("max_start_lateness_ms", _L), ("registry_id", _S), ("license_url", _S),
@@ -301,7 +305,9 @@ LEDGER: dict[str, T.StructType] = {
     "captures": CAPTURE,
     "compactions": COMPACTION,
     "compaction_inputs": COMPACTION_INPUT,
+    "revision_digests": REVISION_DIGEST,
     "publications": PUBLICATION,
     "audit": AUDIT,
     "daily_summaries": DAILY_SUMMARY,
+    "deletions": DELETION,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,6 +57,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{qualified(spark, base).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def located(path: str):
+    """The file system and the place in it of a path as Spark writes it: with a scheme, and nothing escaped.
+
+    A URI's parser would refuse blanks and turn the ``%3A`` in a directory's name into a colon.
+    """
+    from pyarrow import fs
+
+    parts = re.fullmatch(r"(?s)([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)", path)
+    if parts is None:
+        return fs.FileSystem.from_uri(path)
+    scheme, authority, place = parts.groups()
+    store, base = fs.FileSystem.from_uri(f"{scheme}://{authority or ''}/")
+    return store, base.rstrip("/") + place
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system, so that tasks outside the JVM mean the same one."""
     jvm = getattr(spark, "_jvm", None)

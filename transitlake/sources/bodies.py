@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitlake.schemas import CAPTURE
+from transitlake.session import located, qualified
+from transitlake.sources.directories import in_hand
 
 BODY_FILE = T.StructType(
     [
@@ -16,6 +21,8 @@ BODY_FILE = T.StructType(
         T.StructField("content", T.BinaryType()),
     ]
 )
+BODIES = T.StructType([*[T.StructField(n, T.StringType()) for n in ("source", "stream", "date", "hour", "raw_path")],
+                       T.StructField("body_bytes", T.LongType()), T.StructField("body", T.BinaryType())])
 _SOURCE, _STREAM, _DATE, _HOUR = r"/source=([^/]+)/", r"/stream=([^/]+)/", r"/date=([^/]+)/", r"/hour=([^/]+)/"
 
 
@@ -37,10 +44,15 @@ def _with_partitions(files: DataFrame) -> DataFrame:
     )
 
 
-def scan_bodies(spark: SparkSession, root: str) -> DataFrame:
+def scan_bodies(spark: SparkSession, root: str, days: DataFrame | None = None) -> DataFrame:
     """All raw bodies with their partition columns, as text. A filter on source,
-    stream, date or hour prunes directories before any file is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb").load(f"{root}/raw")
+    stream, date or hour prunes directories before any file is opened. With ``days``, a stored table
+    of stream-days, only their directories are listed."""
+    reader, raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb"), f"{root}/raw"
+    paths = None if days is None else in_hand(spark, raw, days, {"source": "source_id", "stream": "stream_id", "date": "archive_date"})
+    if paths == []:
+        return spark.createDataFrame([], BODIES)
+    files = reader.load(raw) if paths is None else reader.option("basePath", raw).load(paths)
     return files.select(
         "source", "stream", "date", "hour", relative_path(F.col("path")).alias("raw_path"),
         F.col("length").alias("body_bytes"), F.col("content").alias("body"))
@@ -96,3 +108,56 @@ def stream_sidecars(spark: SparkSession, root: str, max_files: int = 10_000) ->
         .option("maxFilesPerTrigger", max_files).json(f"{root}/raw")
     )
     return documents
+
+
+# Bodies opened before a batch of them is passed on.
+OPENED_BYTES = 8 << 20
+
+
+def _opener(root: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = located(root)
+        for batch in batches:
+            begin, held, size = 0, [], 0
+            for at, (path, length) in enumerate(zip(batch.column("raw_path").to_pylist(), batch.column("decoded_length").to_pylist(), strict=True)):
+                held.append(_opened(store, f"{base}/{path}", length))
+                size += len(held[-1] or b"")
+                if size >= OPENED_BYTES:
+                    yield _with_bodies(batch.slice(begin, at + 1 - begin), held)
+                    begin, held, size = at + 1, [], 0
+            if held:
+                yield _with_bodies(batch.slice(begin), held)
+    return run
+
+
+def _opened(store, place: str, length: int | None) -> bytes | None:
+    if length == 0:
+        return b""
+    try:
+        with store.open_input_stream(place, compression=None) as stream:
+            return stream.read()
+    except FileNotFoundError:
+        return None
+
+
+def _with_bodies(rows: pa.RecordBatch, bodies: list[bytes | None]) -> pa.RecordBatch:
+    kept = [f.name for f in BODIES.fields[:5]]
+    sizes = pa.array([None if b is None else len(b) for b in bodies], pa.int64())
+    return pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), sizes, pa.array(bodies, pa.binary())], names=BODIES.names)
+
+
+def open_arrivals(sidecars: DataFrame, root: str) -> DataFrame:
+    """The bodies that documents name, opened by path in tasks. Works on a stream and on a batch alike.
+
+    A poller writes a body first and its document last, so the documents are the log of what arrived: bodies need no listing, and an empty
+    one comes with its document. A body that is not there is NULL, as is its size.
+    """
+    named = sidecars.filter("raw_path IS NOT NULL").select(
+        F.col("source_id").alias("source"), F.col("stream_id").alias("stream"), F.col("archive_date").alias("date"),
+        F.regexp_extract("raw_path", _HOUR, 1).alias("hour"), "raw_path", "decoded_length")
+    return named.mapInArrow(_opener(qualified(sidecars.sparkSession, root)), BODIES)
+
+
+def stream_arrivals(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
+    """Bodies as they arrive, empty ones included, by the documents that complete them."""
+    return open_arrivals(stream_sidecars(spark, root, max_files), root)

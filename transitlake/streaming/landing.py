@@ -21,7 +21,13 @@ def decode_arrivals(bodies: DataFrame) -> DataFrame:
     many small files as the input of later jobs.
     """
     hashed = bodies.withColumn("body_sha256", body_sha256(F.col("body")))
-    return header_metadata(decode_bodies(hashed, wanted=ENTITY_KIND_MESSAGE)).select(*BRONZE)
+    decoded = header_metadata(decode_bodies(hashed, wanted=ENTITY_KIND_MESSAGE))
+    # a document whose body is not there: nothing was decoded, and nothing empty either
+    gone = F.col("body_bytes").isNull()
+    return decoded.withColumns({
+        "parse_status": F.when(gone, F.lit("missing_body")).otherwise(F.col("parse_status")),
+        "parse_error": F.when(gone, F.lit("no file at the document's path")).otherwise(F.col("parse_error")),
+    }).select(*BRONZE)
 
 
 def start_bronze(bodies: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -6,11 +6,15 @@ from transitlake import scratch_dir
 from transitlake.operators.ledger import REVISION
 from transitlake.operators.statistics import DAY
 from transitlake.plans import compact, jobs, reconcile, retention, verify
+from transitlake.plans.journal import Job
 from transitlake.schemas import CAPTURE, LEDGER
+from transitlake.session import qualified
+from transitlake.sources import bodies as B
 from transitlake.sources import revisions as R
 from transitlake.sources.ledger import Ledger
 from transitlake.streaming import registration
 from workload.bindings import Bindings, now
+from workload.landing_files import write_landing
 from workload.ledger_queries import DATA, RAW, RETIRED, partly_retained
 from workload.registry import query
 
@@ -124,3 +128,87 @@ def retention_applied(b: Bindings):
     number = {n: F.regexp_extract("target", rf"{n}=([0-9]+)", 1).cast("bigint") for n in ("captures", "datasets")}
     return ledger.current("audit").withColumns({**number, "expired": expired.agg(F.count(F.lit(1))).scalar()}).select(
         "captures", "datasets", "expired", "action")
+
+
+@query("retention_deleted", """
+SELECT source_id, CASE WHEN source_id NOT IN ('s1', 's2') THEN 'left' WHEN page_id % 9 = 4 AND file = 'body' THEN 'gone' ELSE 'deleted' END AS outcome,
+  count(*) AS files, count(*) FILTER (source_id IN ('s1', 's2') AND file = 'document') AS marked
+FROM (SELECT source_id, page_id, unnest(['body', 'document']) AS file FROM landing_v) GROUP BY ALL""")
+def retention_deleted(b: Bindings):
+    """Two of four sources are published: their bodies and documents go, some bodies were gone already."""
+    root = scratch_dir(b.spark, "deleted")
+    pages = b.landing().withColumn("entity_count", F.lit(0))
+    write_landing(pages, root)
+    ledger = Ledger(b.spark, root).create()
+    captures = R.materialize(pages.select(*CAPTURE.names, "page_id"), root, "captures")
+    days = captures.select(*DAY).distinct().withColumn("revision", F.lit(1))
+    published = F.when(F.col("source_id").isin("s1", "s2"), F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    facts = {"compaction_id": compact.ledger_id(), "published_at": published, "manifest_path": F.lit("")}
+    rows = days.withColumns(facts)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER["compactions"].fields if f.name not in rows.columns}
+    rows = R.materialize(rows.withColumns(missing), root, "revisions")
+    inputs = captures.select(*DAY, F.col("capture_id").alias("id")).withColumn("revision", F.lit(1))
+    first = ledger.claim("compact_due", "query")
+    ledger.append("captures", captures, first)
+    jobs.record_revisions(ledger, rows, inputs, b.spark.createDataFrame([], LEDGER["publications"]), first)
+    early = captures.filter("page_id % 9 = 4 AND source_id IN ('s1', 's2')").select(
+        F.col("raw_path").alias("path"), F.lit("capture").alias("kind"), F.col("capture_id").alias("owner"))
+    retention.delete_paths(early, qualified(b.spark, root)).count()
+    number = ledger.claim("clean_up", "query")
+    week = retention.RetentionPolicy(raw_s=7 * 86400, parquet_s=7 * 86400, metadata_s=400 * 86400)
+    done = jobs.clean_up(ledger, b.streams(), b.destinations(), now(), number, week, delete=True)
+    owners = captures.select(F.col("capture_id").alias("owner"), "source_id")
+    after = ledger.current("captures").select(F.col("capture_id").alias("owner"), F.col("raw_path").startswith("@retained/").alias("is_marked"))
+    document = F.col("path").endswith(".json")
+    gone = done.join(owners, "owner").join(after, "owner").groupBy("source_id", "outcome").agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("is_marked") & document).alias("marked"))
+    left = B.list_bodies(b.spark, root).select(F.col("source").alias("source_id")).unionByName(
+        B.scan_sidecars(b.spark, root).select("source_id"))
+    return gone.unionByName(left.groupBy("source_id").agg(
+        F.lit("left").alias("outcome"), F.count(F.lit(1)).alias("files"), F.lit(0).cast("bigint").alias("marked")))
+
+
+DELIVERIES = """(SELECT source_id, stream_id, archive_date, count(*) FILTER (event_id % 10 NOT IN (7, 8)) AS a,
+  count(*) FILTER (event_id % 10 = 8) AS b, count(*) FILTER (event_id % 10 = 7) AS c FROM captures_v GROUP BY ALL)"""
+
+
+@query("one_sequence", f"""
+SELECT source_id, stream_id, archive_date, 1 AS revision, 'compact_due' AS owner, a AS n FROM {DELIVERIES} WHERE a > 0
+UNION ALL SELECT source_id, stream_id, archive_date, 1 + CAST(a > 0 AS INTEGER), 'stream', a + b FROM {DELIVERIES} WHERE b > 0
+UNION ALL SELECT source_id, stream_id, archive_date, 1 + CAST(a > 0 AS INTEGER) + CAST(b > 0 AS INTEGER), 'stream', a + b + c FROM {DELIVERIES} WHERE c > 0""")
+def one_sequence(b: Bindings):
+    """A job compacts first, a stream revises later, and so does its successor with a new checkpoint, whose batches count from 0."""
+    root = scratch_dir(b.spark, "sequence")
+    ledger = Ledger(b.spark, root).create()
+    captures = b.captures()
+    in_time = R.materialize(captures.filter("event_id % 10 NOT IN (7, 8)").select(*CAPTURE.names), root, "in-time")
+    job = Job(ledger, "compact_due", ledger.claim("compact_due", "first"))
+    job.append("captures", in_time)
+    rows = in_time.groupBy(*DAY).agg(F.count(F.lit(1)).alias("rows")).withColumn("revision", F.lit(1)) \
+        .withColumn("compaction_id", compact.ledger_id())
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in LEDGER["compactions"].fields if f.name not in rows.columns}
+    job.append("compactions", rows.withColumns(missing))
+    job.end()
+    for number, digit in ((1, 8), (2, 7)):
+        captures.filter(F.col("event_id") % 10 == digit).select(*CAPTURE.names).write.parquet(f"{root}/arrive/part={number}")
+        arriving = b.spark.readStream.schema(CAPTURE).parquet(f"{root}/arrive/part={number}")
+        registration.start(arriving, registration.revise_late_days(ledger, now()), f"{root}/checkpoint-{number}").awaitTermination()
+    owner = F.when(F.col("change_seq") == job.seq, "compact_due").otherwise("stream").alias("owner")
+    return ledger.changes("compactions").select(*REVISION, owner, F.col("rows").alias("n"))
+
+
+@query("reconcile_corruption", """
+SELECT count(*) FILTER (page_id % 6 NOT IN (1, 2)) AS captures_registered, CAST(0 AS BIGINT) AS revisions_adopted,
+  count(*) FILTER (page_id % 6 IN (1, 2)) AS corrupt, count(*) FILTER (page_id % 6 NOT IN (1, 2)) AS captures, count(*) FILTER (page_id % 6 NOT IN (1, 2)) AS ticks
+FROM landing_v""")
+def reconcile_corruption(b: Bindings):
+    """A lake whose ledger is empty: a sixth of the bodies was altered, another sixth has an unknown document format."""
+    number = F.col("page_id") % 6
+    broken = b.landing().withColumns({
+        "body": F.when(number == 1, F.lit("altered").cast("binary")).otherwise(F.col("body")), "format_version": F.when(number == 2, 9).otherwise(1)})
+    root = scratch_dir(b.spark, "corrupt")
+    write_landing(broken, root)
+    ledger = Ledger(b.spark, root).create()
+    counted = jobs.reconcile_lake(ledger, root, now(), ledger.claim("reconcile_lake", "query"))
+    count = F.count(F.lit(1))
+    return counted.withColumns({t: ledger.current(t).agg(count).scalar() for t in ("captures", "ticks")})

@@ -11,6 +11,7 @@ from transitlake.plans import compact, publish, reconcile, verify
 from transitlake.schemas import CAPTURE, ENTITY_KIND_MESSAGE
 from transitlake.sources import bodies as B
 from transitlake.sources import revisions as R
+from transitlake.sources.footers import footer_violations, scan_footers
 from transitlake.sources.ledger import Ledger
 from workload.bindings import Bindings, now, text
 from workload.feeds import feed_captures
@@ -172,6 +173,48 @@ def written_manifests(b: Bindings):
         (F.size("files") > 0).alias("has_files"), F.size("input_captures").cast("bigint").alias("inputs"), rows.alias("artifact_rows"))
 
 
+@query("written_footers", """
+SELECT 'flat' AS layout, strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(feed * 30), '%Y-%m-%d') AS archive_date, 'tpch' AS source_id,
+  count(*) AS n, 'ZSTD' AS codec, TRUE AS bounded FROM stops_v GROUP BY 1, 2, 3
+UNION ALL SELECT 'nested', strftime(local_ts, '%Y-%m-%d'), source_id, count(*), 'ZSTD', TRUE FROM landing_v GROUP BY 1, 2, 3""")
+def written_footers(b: Bindings):
+    """Rows, codec and row groups of every revision, from the footers of its parts alone."""
+    root, _, _, _, _, _ = _compacted(b)
+    footers = scan_footers(b.spark, root)
+    nested = F.col("provenance")["schema_version"] == "1"
+    return footers.groupBy(F.when(nested, "nested").otherwise("flat").alias("layout"), "archive_date", "source_id").agg(
+        F.sum("rows").alias("n"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("codecs")))), ",").alias("codec"),
+        ((F.max("largest_row_group") <= 100000) & (F.min("row_groups") >= 1)).alias("bounded"))
+
+
+def _provenance_sql() -> str:
+    values = {"format_version": "'1'", "schema_version": "CASE WHEN source_id = 'tpch' THEN '2' ELSE '1' END", "application_version": "'1.0'",
+              "protobuf_revision": "'r1'", "config_fingerprint": "'f'", "source_id": "source_id", "stream_id": "CASE WHEN source_id = 'tpch' THEN 'orders' ELSE 'pages' END",
+              "archive_date": "archive_date", "timezone": "timezone", "license_url": "'https://example.test/license/' || source_id",
+              "attribution": "'by ' || source_id"}
+    pairs = ", ".join(f"struct_pack(k := '{k}', v := {v})" for k, v in values.items())
+    return f"""
+SELECT source_id, archive_date, e.k AS key, e.v AS value, TRUE AS sound FROM (SELECT *, unnest([{pairs}]) AS e FROM (
+  SELECT DISTINCT 'tpch' AS source_id, 'UTC' AS timezone, strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(feed * 30), '%Y-%m-%d') AS archive_date FROM stops_v
+  UNION SELECT DISTINCT source_id, tz, strftime(local_ts, '%Y-%m-%d') FROM landing_v))"""
+
+
+@query("footer_provenance", _provenance_sql())
+def footer_provenance(b: Bindings):
+    """What each part says of its origin, held against the documents; the time of the run is left out."""
+    root, captures, bodies, days, streams, _ = _compacted(b)
+    described = streams.withColumns({"license_url": F.concat(F.lit("https://example.test/license/"), "source_id"),
+                                     "attribution": F.concat(F.lit(" by "), "source_id", F.lit(" "))})
+    again = days.withColumn("revision", F.lit(2))
+    ticks = reconcile.ticks_of(captures).join(captures.select("tick_id", "archive_date"), "tick_id")
+    result = compact.compact_days(b.spark, root, captures, ticks, bodies, described, again, b.destinations(), now(), config_fingerprint="f",
+                                  application_version="1.0", protobuf_revision="r1")
+    footers = R.materialize(scan_footers(b.spark, root, R.materialize(again, root, "again")), root, "footers")
+    broken = footer_violations(result.manifests, result.files, footers).select(*REVISION).distinct().withColumn("_broken", F.lit(True))
+    told = footers.select(*REVISION, F.explode("provenance").alias("key", "value")).filter("key <> 'generated_at'").distinct()
+    return told.join(broken, list(REVISION), "left").select("source_id", "archive_date", "key", "value", F.col("_broken").isNull().alias("sound"))
+
+
 @query("verify_manifest_rules", """
 SELECT source_id, stream_id, archive_date, revision, violation FROM (
   SELECT m.*, unnest(list_filter([
@@ -208,6 +251,24 @@ def verify_manifest_rules(b: Bindings):
     return verify.manifest_violations(documents, b.compactions(), b.manifest_inputs(), files.unionByName(unseen).distinct())
 
 
+@query("verify_null_fields", """
+SELECT source_id, stream_id, archive_date, revision, violation FROM (SELECT *, CASE CAST(substr(archive_date, 9, 2) AS INTEGER) % 6
+  WHEN 1 THEN 'format_version' WHEN 2 THEN 'schema_version' WHEN 3 THEN 'aggregate_counts' WHEN 4 THEN 'dataset_status' WHEN 5 THEN 'aggregate_counts' END AS violation
+  FROM compactions_v WHERE rows_ > 0) WHERE violation IS NOT NULL""")
+def verify_null_fields(b: Bindings):
+    """Documents that lack one required field, chosen by the day of month; nothing else is wrong with them."""
+    known = b.compactions().filter("rows > 0")
+    fault = F.dayofmonth(F.to_date("archive_date")) % 6
+    lacking = lambda at, value: F.when(fault != at, value)
+    documents = b.manifests().join(known.select(*REVISION), list(REVISION), "left_semi").withColumns({
+        "manifest_version": lacking(1, F.lit(1)), "format_version": F.lit(1), "schema_version": lacking(2, F.lit(1)),
+        "captured_responses": lacking(3, F.col("captured_responses")), "dataset_status": lacking(4, F.lit("ready")),
+        "entity_total": lacking(5, F.col("entity_total")), "destinations": F.array(F.struct(F.lit("a").alias("id"), F.lit(True).alias("required"))),
+        "required_destinations": F.array(F.lit("a")), "stop_time_update_total": F.lit(None).cast("bigint")})
+    inputs = b.inputs().join(known.select("compaction_id", *REVISION), "compaction_id")
+    return verify.manifest_violations(documents, known, inputs, known.select(*REVISION))
+
+
 @query("verify_revisions", """
 SELECT 'artifact_integrity' AS violation, source_id, strftime(local_ts, '%Y-%m-%d') AS archive_date FROM landing_v WHERE page_id % 4 = 2 GROUP BY ALL""")
 def verify_revisions(b: Bindings):

@@ -160,7 +160,7 @@ def candidate_days(b: Bindings):
     return backlog.candidate_days(b.streams(), b.ticks(), now())
 
 
-@query("days_to_compact", f"""
+DUE = f"""
 SELECT {KEY}, CAST(coalesce(r.revision, 0) + 1 AS INTEGER) AS revision FROM {CANDIDATES} c
 JOIN days_v d USING ({KEY})
 LEFT JOIN (SELECT {KEY}, count(*) AS n FROM captures_v GROUP BY ALL) k USING ({KEY})
@@ -169,11 +169,21 @@ LEFT JOIN (SELECT {KEY}, revision, compaction_id, rows_ FROM compactions_v
 WHERE NOT EXISTS (SELECT 1 FROM summaries_v s WHERE s.source_id = c.source_id AND s.stream_id = c.stream_id AND s.archive_date = c.archive_date)
 AND (r.compaction_id IS NULL OR r.rows_ <> coalesce(k.n, 0) OR EXISTS (
   SELECT 1 FROM captures_v x WHERE x.source_id = c.source_id AND x.stream_id = c.stream_id AND x.archive_date = c.archive_date
-  AND NOT EXISTS (SELECT 1 FROM inputs_w i WHERE i.compaction_id = r.compaction_id AND i.capture_id = x.capture_id)))""")
+  AND NOT EXISTS (SELECT 1 FROM inputs_w i WHERE i.compaction_id = r.compaction_id AND i.capture_id = x.capture_id)))"""
+
+
+@query("days_to_compact", DUE)
 def days_to_compact(b: Bindings):
     return backlog.days_to_compact(b.streams(), b.ticks(), b.captures(), b.compactions(), b.inputs(), b.summaries(), now())
 
 
+@query("days_due_by_digest", DUE)
+def days_due_by_digest(b: Bindings):
+    """The same days from digests of captures and revisions; lists of inputs are read once, when a revision is recorded."""
+    digests = L.revision_digests(b.compactions(), b.inputs())
+    return backlog.days_due(b.streams(), b.ticks(), b.captures(), digests, b.summaries(), now())
+
+
 @query("compaction_job_order", f"""
 SELECT {KEY}, revision FROM compactions_v ORDER BY archive_date, source_id, stream_id""")
 def compaction_job_order(b: Bindings):

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from transitlake import scratch_dir
 from transitlake.operators import metrics as M
 from transitlake.operators.statistics import DAY
+from transitlake.plans.retention import delete_paths
 from transitlake.schemas import CAPTURE
+from transitlake.session import qualified
 from transitlake.sources import bodies as B
 from transitlake.sources.ledger import Ledger
 from transitlake.streaming import counters, daily, landing, registration
@@ -48,6 +50,24 @@ def stream_landing(b: Bindings):
     return b.spark.read.parquet(f"{root}/bronze").select("source", "date", "hour", "body_bytes", "body_sha256", "parse_status")
 
 
+@query("arrival_log", """
+SELECT source_id AS source, strftime(local_ts, '%Y-%m-%d') AS date, strftime(local_ts, '%H') AS hour, stem || '.pb' AS raw_path,
+  CASE WHEN page_id % 8 = 3 THEN 0 WHEN page_id % 8 = 5 THEN NULL ELSE body_bytes END AS body_bytes,
+  CASE WHEN page_id % 8 = 3 THEN sha256('') WHEN page_id % 8 = 5 THEN NULL ELSE body_sha256 END AS body_sha256,
+  CASE WHEN page_id % 8 = 3 THEN 'empty_body' WHEN page_id % 8 = 5 THEN 'missing_body' ELSE 'protobuf_decode' END AS parse_status FROM landing_v""")
+def arrival_log(b: Bindings):
+    """Bodies by the documents that name them: an eighth is empty, of another eighth only the document arrived."""
+    root = scratch_dir(b.spark, "arrivals")
+    number = F.col("page_id") % 8
+    pages = b.landing().withColumns({"body": F.when(number == 3, F.lit(b"")).otherwise(F.col("body")),
+                                     "decoded_length": F.when(number == 3, 0).otherwise(F.col("decoded_length"))})
+    write_landing(pages, root)
+    lost = pages.filter(number == 5).select(F.col("raw_path").alias("path"), F.lit("capture").alias("kind"), F.col("capture_id").alias("owner"))
+    delete_paths(lost, qualified(b.spark, root)).count()
+    landing.start_bronze(B.stream_arrivals(b.spark, root), f"{root}/bronze", f"{root}/checkpoint").awaitTermination()
+    return b.spark.read.parquet(f"{root}/bronze").select("source", "date", "hour", "raw_path", "body_bytes", "body_sha256", "parse_status")
+
+
 WINDOWS = """(SELECT * FROM (SELECT source_id, stream_id, time_bucket(INTERVAL 15 MINUTE, scheduled_at) AS w, count(*) AS scheduled_ticks,
   count(*) FILTER (WHERE result = 'skipped') AS skipped_ticks, count(*) FILTER (WHERE error_category = 'http_status') AS http_failures,
   count(*) FILTER (WHERE error_category IN ('dns', 'connect', 'tls', 'timeout', 'network')) AS network_failures
