@@ -254,6 +254,18 @@ def test_subset_sums_hit_the_budget():
         assert (chosen >= 0).all() and (chosen <= counts).all() and abs(int((sizes * chosen).sum()) - budget) <= 1
 
 
+def test_budgets_that_a_fixed_share_would_miss():
+    """Every sum that some choice of documents has is hit."""
+    for sizes, counts in (([2, 3], [1000, 1]), ([2, 7, 50], [40, 3, 2]), ([6, 10, 15], [60, 60, 60])):
+        sums = {0}
+        for size, n in zip(sizes, counts):
+            sums = {s + k * size for s in sums for k in range(n + 1)}
+        step = max(1, len(sums) // 700)
+        for budget in sorted(sums)[::step]:
+            chosen = budget_mix.fit_subset(np.array(sizes), np.array(counts), budget, 0.5)
+            assert int((np.array(sizes) * chosen).sum()) == budget and (chosen <= np.array(counts)).all() and (chosen >= 0).all()
+
+
 def test_quality_rules(spark, labels):
     for name, docs in shapes(spark):
         rows = quality_rules.judge(docs, labels).collect()
@@ -336,6 +348,9 @@ def test_merkle(spark):
     one = "first line of words here\nsecond line of other words\n\nthird one at the end"
     two = one.replace("other", "changed")
     a, b = merkle.tree(one.encode()), merkle.tree(two.encode())
+    sections = [name for name, _ in merkle.parsed(a[0])]
+    assert len(a[0].partition("|")[0]) == 32 and all(len(name) == 8 for name in sections)
+    assert a[0].partition("|")[0] != merkle._hash("".join(sections).encode(), 16)  # over whole digests, not the printed names
     spans = merkle.differences(a[0], b[0])
     at = two.encode().index(b"changed")
     assert spans and any(s <= at and at + 7 <= e for s, e in spans) and merkle.differences(a[0], a[0]) == []

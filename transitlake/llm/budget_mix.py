@@ -29,6 +29,8 @@ from transitlake.llm.tables import packed, prepare, stored, unit_hash
 
 SEED = 17
 REPEATS = 3
+# documents of every size that a fixed share gives back where it leaves a budget out of reach
+GIVEN_BACK = (1, 8, 64)
 
 
 def size_of(text: Column) -> Column:
@@ -79,27 +81,47 @@ def fit_subset(sizes: np.ndarray, counts: np.ndarray, budget: int, offset: float
         chosen[most] -= 1
         rest += int(sizes[most])
 
-    # reachable sums of the items so far, one bit each; every item is some documents of one size
-    items, states, reach, wanted = [], [], 1, 1 << rest
-    full = (1 << (rest + 1)) - 1
+    # where the share leaves sums out of reach, some documents of every size are given back, then more
+    found = chosen
+    for back in (0, *GIVEN_BACK):
+        less = np.maximum(chosen - back, 0)
+        more, missed = reach(sizes, counts - less, budget - int((sizes * less).sum()), usable)
+        found = less + more
+        if not missed or not less.any():
+            break
+    return found
+
+
+def reach(sizes: np.ndarray, counts: np.ndarray, budget: int, usable: np.ndarray) -> tuple[np.ndarray, int]:
+    """Bounded knapsack: counts whose sizes sum to ``budget``, or as near below as can be, and what is missed.
+
+    Reachable sums are bits of one number, and every sum remembers the item that reached it first, so memory
+    is that of the budget whatever the number of items. An item is some documents of one size.
+    """
+    items: list[tuple[int, int]] = []
+    sums, wanted, full = 1, 1 << budget, (1 << (budget + 1)) - 1
+    last = np.full(budget + 1, -1, np.int32)
     for at in np.random.default_rng(SEED).permutation(usable):
-        left, step = int(min(counts[at] - chosen[at], rest // sizes[at])), 1
-        while left > 0 and not reach & wanted:
+        left, step = int(min(counts[at], budget // sizes[at])), 1
+        while left > 0 and not sums & wanted:
             take = min(step, left)
-            grown = (reach | reach << int(sizes[at]) * take) & full
-            if grown != reach:
+            grown = (sums | sums << int(sizes[at]) * take) & full
+            if grown != sums:
+                fresh = np.frombuffer((grown ^ sums).to_bytes(budget // 8 + 1, "little"), np.uint8)
+                last[np.flatnonzero(np.unpackbits(fresh, bitorder="little")[:budget + 1])] = len(items)
                 items.append((int(at), take))
-                states.append(reach)
-                reach = grown
+                sums = grown
             left, step = left - take, step * 2
-        if reach & wanted:
+        if sums & wanted:
             break
-    at = reach.bit_length() - 1
-    for (size, take), before in zip(reversed(items), reversed(states)):
-        if not before >> at & 1:
-            chosen[size] += take
-            at -= int(sizes[size]) * take
-    return chosen
+    chosen = np.zeros(len(sizes), np.int64)
+    place = sums.bit_length() - 1
+    missed = budget - place
+    while place:
+        size, take = items[last[place]]
+        chosen[size] += take
+        place -= int(sizes[size]) * take
+    return chosen, missed
 
 
 def plan(histogram: DataFrame) -> DataFrame:

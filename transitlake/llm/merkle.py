@@ -36,7 +36,7 @@ from transitlake.llm.tables import prepare
 SPAN, SECTION = 8, 4
 
 
-def _hash(data: bytes, size: int = 4) -> str:
+def _hash(data: bytes, size: int) -> str:
     return hashlib.blake2b(data, digest_size=size).hexdigest()
 
 
@@ -63,29 +63,33 @@ def tree_of(block: T.Block, i: int) -> tuple[str, Counter]:
     cuts = np.union1d(np.union1d(block.starts[first:last][follows] - low, lines), [0, len(raw)]).tolist()
     line_ends = set(lines.tolist())
     leaves: Counter = Counter()
+    # nodes are hashed over the whole digests of their children; the names printed are these digests' first 32 bits
     sections, paragraphs, spans, blank = [], [], [], True
+    of_sections, of_paragraphs, of_spans = [], [], []
 
     def close_section():
-        nonlocal paragraphs
+        nonlocal paragraphs, of_paragraphs
         if paragraphs:
-            sections.append(_hash("".join(p[:8] for p in paragraphs).encode()) + ":" + ";".join(paragraphs))
-            paragraphs = []
+            of_sections.append(_hash("".join(of_paragraphs).encode(), 16))
+            sections.append(of_sections[-1][:8] + ":" + ";".join(paragraphs))
+            paragraphs, of_paragraphs = [], []
 
     for start, end in zip(cuts, cuts[1:]):
         span = raw[start:end]
-        name = _hash(span)
+        of_spans.append(_hash(span, 16))
+        name = of_spans[-1][:8]
         leaves[name, end - start] += end - start
         spans.append(f"{name}~{end - start:x}")
         blank = blank and not span.strip()
         if end in line_ends or end == len(raw):
-            node = _hash(",".join(spans).encode())
+            of_paragraphs.append(_hash("".join(of_spans).encode(), 16))
+            node = of_paragraphs[-1][:8]
             paragraphs.append(f"{node}={','.join(spans)}")
             if blank or int(node, 16) % SECTION == 0:
                 close_section()
-            spans, blank = [], True
+            spans, of_spans, blank = [], [], True
     close_section()
-    body = "|".join(sections)
-    return _hash(body.encode(), 16) + "|" + body, leaves
+    return _hash("".join(of_sections).encode(), 16) + "|" + "|".join(sections), leaves
 
 
 def likeness(a: tuple[str, Counter], b: tuple[str, Counter]) -> float:
