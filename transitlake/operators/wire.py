@@ -1,6 +1,7 @@
 """Protobuf bytes to Arrow structs, one Arrow batch at a time, inside Spark tasks.
 
-The message classes come from the protobuf library. Enum fields are declared as
+Sound bodies are scanned as columns (:mod:`transitlake.operators.columns`); the others go
+through message classes of the protobuf library. Enum fields are declared as
 int32, so numbers newer than the schema survive, and string fields as bytes, so a
 feed with broken UTF-8 still decodes; both keep what was published.
 """
@@ -17,10 +18,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import types as T
 
+from transitlake.operators.columns import scanned
 from transitlake.schemas import MESSAGES, SCALAR_TYPES
 
 # Bodies decoded into one output batch: the decoded tree is several times larger.
 BATCH_BODY_BYTES = 4 << 20
+FEW_FIELDS = 16
 
 _NUMBERS = {
     "bool": np.bool_, "int32": np.int32, "int64": np.int64, "uint32": np.int64, "uint64": np.uint64,
@@ -141,6 +144,33 @@ def _slices(bodies: pa.Array) -> Iterator[tuple[int, int]]:
         yield int(start), int(stop)
 
 
+def _leaves(wanted: T.DataType) -> int:
+    if isinstance(wanted, T.ArrayType):
+        return _leaves(wanted.elementType)
+    return sum(_leaves(f.dataType) for f in wanted.fields) if isinstance(wanted, T.StructType) else 1
+
+
+def decoded_bodies(bodies: pa.Array, wanted: T.StructType) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(status, error, message) columns. Sound bodies are scanned as columns, the others parsed one by one.
+
+    A layout of few fields asks little of message objects, which are then the cheaper way for all bodies.
+    """
+    if _leaves(wanted) < FEW_FIELDS:
+        parsed = [_parse(body) for body in bodies.to_pylist()]
+        return (pa.array([p[0] for p in parsed], pa.string()), pa.array([p[1] for p in parsed], pa.string()),
+                message_array(wanted, [p[2] for p in parsed]))
+    scan, rows = scanned(bodies, wanted)
+    if len(rows) == len(bodies):
+        return pa.array(["valid"] * len(rows), pa.string()), pa.nulls(len(rows), pa.string()), scan
+    rest = np.setdiff1d(np.arange(len(bodies)), rows)
+    parsed = [_parse(body) for body in bodies.take(pa.array(rest)).to_pylist()]
+    statuses, errors = np.full(len(bodies), "valid", dtype=object), np.full(len(bodies), None, dtype=object)
+    statuses[rest], errors[rest] = [p[0] for p in parsed], [p[1] for p in parsed]
+    places = np.argsort(np.concatenate([rows, rest]), kind="stable")
+    both = pa.concat_arrays([scan, message_array(wanted, [p[2] for p in parsed])])
+    return pa.array(statuses, pa.string()), pa.array(errors, pa.string()), both.take(pa.array(places))
+
+
 def decoder(body_column: str, wanted: T.StructType, keep_body: bool):
     """The function given to mapInArrow: input columns, then status, error and message."""
 
@@ -150,14 +180,12 @@ def decoder(body_column: str, wanted: T.StructType, keep_body: bool):
                 continue
             for start, stop in _slices(batch.column(body_column)):
                 part = batch.slice(start, stop - start)
-                parsed = [_parse(body) for body in part.column(body_column).to_pylist()]
+                statuses, errors, messages = decoded_bodies(part.column(body_column), wanted)
                 columns = {
                     name: part.column(name) for name in part.schema.names
                     if keep_body or name != body_column
                 }
-                columns["decode_status"] = pa.array([p[0] for p in parsed], pa.string())
-                columns["decode_error"] = pa.array([p[1] for p in parsed], pa.string())
-                columns["message"] = message_array(wanted, [p[2] for p in parsed])
+                columns["decode_status"], columns["decode_error"], columns["message"] = statuses, errors, messages
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run

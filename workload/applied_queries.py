@@ -76,12 +76,11 @@ def late_revisions_written(b: Bindings):
                                     target, now())
 
     late = F.col("page_id") % 10 == 8
-    for number, wanted in enumerate((~late, late), 1):
-        bronze.filter(wanted).select(*CAPTURE.names).coalesce(1).write.parquet(f"{root}/arrive/part={number}")
-    arriving = b.spark.readStream.schema(CAPTURE).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
-        .parquet(f"{root}/arrive")
     handle = registration.revise_late_days(ledger, now(), write, target)
-    registration.start(arriving, handle, f"{root}/checkpoint").awaitTermination()
+    for number, wanted in enumerate((~late, late), 1):
+        bronze.filter(wanted).select(*CAPTURE.names).write.parquet(f"{root}/arrive/part={number}")
+        arriving = b.spark.readStream.schema(CAPTURE).option("recursiveFileLookup", "true").parquet(f"{root}/arrive")
+        registration.start(arriving, handle, f"{root}/checkpoint").awaitTermination()
     count = F.count(F.lit(1))
     rows = R.read_revisions(b.spark, root, flattened=False).groupBy(*REVISION).agg(count.alias("n"))
     queued = ledger.current("publications").groupBy("compaction_id").agg(count.alias("queued"))

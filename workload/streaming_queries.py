@@ -97,17 +97,13 @@ def rolled_up_days(b: Bindings):
     return daily.roll_up_days(closed_windows(b), b.streams())
 
 
-def _arrivals(b: Bindings, root: str) -> None:
-    """Captures in two deliveries, as files of their own: most in time, a tenth late."""
+def _delivered(b: Bindings, root: str, handle) -> None:
+    """Captures in two deliveries, most in time and a tenth late; the stream runs to its end after each."""
     captures = b.captures()
-    captures.filter("event_id % 10 <> 8").select(*CAPTURE.names).coalesce(1).write.parquet(f"{root}/arrive/part=1")
-    captures.filter("event_id % 10 = 8 OR event_id % 10 = 7").select(*CAPTURE.names).coalesce(1).write.parquet(f"{root}/arrive/part=2")
-
-
-def _arriving(b: Bindings, root: str):
-    # the two deliveries were written one after the other, and files are taken by age
-    return b.spark.readStream.schema(CAPTURE).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
-        .parquet(f"{root}/arrive")
+    for number, wanted in ((1, "event_id % 10 <> 8"), (2, "event_id % 10 = 8 OR event_id % 10 = 7")):
+        captures.filter(wanted).select(*CAPTURE.names).write.parquet(f"{root}/arrive/part={number}")
+        arriving = b.spark.readStream.schema(CAPTURE).option("recursiveFileLookup", "true").parquet(f"{root}/arrive")
+        registration.start(arriving, handle, f"{root}/checkpoint").awaitTermination()
 
 
 @query("late_data_revisions", f"""
@@ -119,10 +115,8 @@ FROM captures_v GROUP BY {KEY} HAVING count(*) FILTER (WHERE event_id % 10 = 8)
 def late_data_revisions(b: Bindings):
     """Late captures are never dropped: their days get the next revision."""
     root = scratch_dir(b.spark, "late")
-    _arrivals(b, root)
     ledger = Ledger(b.spark, root).create()
-    handle = registration.revise_late_days(ledger, now())
-    registration.start(_arriving(b, root), handle, f"{root}/checkpoint").awaitTermination()
+    _delivered(b, root, registration.revise_late_days(ledger, now()))
     return ledger.current("compactions").select(*DAY, "revision", F.col("rows").alias("n"), "entities")
 
 
@@ -131,13 +125,12 @@ SELECT capture_id, CAST(CASE WHEN event_id % 10 = 8 THEN 1 ELSE 0 END AS BIGINT)
 def idempotent_registration(b: Bindings):
     """A tenth of the captures is delivered twice, and registered once."""
     root = scratch_dir(b.spark, "register")
-    _arrivals(b, root)
     ledger = Ledger(b.spark, root).create()
 
     def handle(batch, batch_id):
         registration.register(ledger, batch, batch_id)
 
-    registration.start(_arriving(b, root), handle, f"{root}/checkpoint").awaitTermination()
+    _delivered(b, root, handle)
     return ledger.changes("captures").select("capture_id", F.col("change_seq").alias("batch"))
 
 
