@@ -1,5 +1,5 @@
 """Operators of a training-data pipeline, built apart from the rest of the library.
 
-Each module holds one operator with a general interface; ``queries`` applies the ten
+Each module holds one operator with a general interface; ``queries`` applies all
 of them to the shared tables.
 """
