@@ -154,7 +154,8 @@ def test_reconcile_lake(spark, monkeypatch, copies):
 
     steps, wanted = trial(spark, monkeypatch, copies, "lost", 15, job, "raw")
     assert [s for s in steps if s.startswith("append-")] == [
-        "append-ticks-0", "append-captures-0", "append-compaction_inputs-0", "append-publications-0", "append-compactions-0"]
+        "append-ticks-0", "append-captures-0", "append-compaction_inputs-0", "append-revision_digests-0", "append-publications-0",
+        "append-compactions-0"]
     assert [len(wanted[t][0]) for t in ("captures", "ticks", "compaction_inputs", "publications", "compactions")] == [3, 3, 3, 1, 1]
 
 
