@@ -16,7 +16,7 @@ whose interval meets a window that still has room: for positives what reaches th
 the first five so far, for negatives what lies in a positive's window and reaches the last of
 its first ten so far. Nothing else is left out, so results are exact.
 
-**Layout.** Candidates are dealt by row number into groups of about ``GROUP`` rows, tree
+**Layout.** Candidates are dealt by row number into groups of about ``GROUP`` rows, or ``GROUP_BYTES``, tree
 runs into slices; a task streams a group's rows and then each anchor run of a slice, and
 holds one group and one run. Every anchor is sent once to each group, every candidate
 once to each slice; slices only spread the work where there are few groups. A
@@ -49,6 +49,7 @@ from transitlake.llm.tables import stored
 
 BLOCK = 128
 GROUP = 65536
+GROUP_BYTES = 64 << 20
 CHUNK = 2048
 PROJECTIONS = 24
 LONGS = np.iinfo(np.int64)
@@ -395,8 +396,10 @@ def _streamed(search):
 def searched(rows: DataFrame, tree: DataFrame, search, schema: str, group: int = GROUP) -> DataFrame:
     """``search(candidates, root, run)`` for every group of rows and every run of the tree."""
     spark = rows.sparkSession
-    total, runs = rows.count(), tree.select("run").distinct().count()
-    groups = max(1, -(-total // group))
+    total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    runs = tree.select("run").distinct().count()
+    fitting = max(CHUNK, GROUP_BYTES // (8 * max(width or 1, 1)))  # a group is a matrix in a task's memory
+    groups = max(1, -(-total // min(group, fitting)))
     slices = max(1, min(runs, 4 * spark.sparkContext.defaultParallelism // groups))
     extra = [f for f in tree.columns if f not in ("run", "place", "parent", "edge", "row", "vec_id", "label", "vector")]
     nulls = [F.lit(None).cast(tree.schema[f].dataType).alias(f) for f in extra]
