@@ -115,11 +115,11 @@ def reconcile_lake(ledger: Ledger, root: str, now: Column, seq: int) -> DataFram
     job = Job(ledger, "reconcile_lake", seq)
     if job.finished:
         return spark.createDataFrame([(0, 0, 0)], "captures_registered bigint, revisions_adopted bigint, corrupt bigint")
-    listed, sidecars = B.scan_bodies(spark, root), B.scan_sidecars(spark, root)
-    hashed = listed.withColumn("found_sha256", body_sha256(F.col("body"))).drop("body")
+    bodies, sidecars = B.scan_bodies(spark, root, in_tasks=True), B.scan_sidecars(spark, root, in_tasks=True)
+    hashed = bodies.withColumn("found_sha256", body_sha256(F.col("body"))).drop("body")
     known = job.current("captures")
     checked = job.table("checked", reconcile.check_sidecars(sidecars, hashed, known))
-    classified = job.table("classified", reconcile.classify_files(listed.drop("body"), sidecars, known))
+    classified = job.table("classified", reconcile.classify_files(B.list_bodies(spark, root, in_tasks=True), sidecars, known))
     fresh = reconcile.new_captures(checked)
     job.append("ticks", reconcile.ticks_of(fresh))
     job.append("captures", fresh)

@@ -25,6 +25,13 @@ BODIES = T.StructType([*[T.StructField(n, T.StringType()) for n in ("source", "s
                        T.StructField("body_bytes", T.LongType()), T.StructField("body", T.BinaryType())])
 _SOURCE, _STREAM, _DATE, _HOUR = r"/source=([^/]+)/", r"/stream=([^/]+)/", r"/date=([^/]+)/", r"/hour=([^/]+)/"
 
+_PARTS = (("source", _SOURCE), ("stream", _STREAM), ("date", _DATE), ("hour", _HOUR))
+
+
+def _unescaped(value: Column) -> Column:
+    """A partition value from a directory's name, as Spark reads it: percent escapes undone, a plus left alone."""
+    return F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+
 
 def relative_path(path: Column) -> Column:
     """The part of a file's path below the lake's root."""
@@ -44,10 +51,16 @@ def _with_partitions(files: DataFrame) -> DataFrame:
     )
 
 
-def scan_bodies(spark: SparkSession, root: str, days: DataFrame | None = None) -> DataFrame:
+def scan_bodies(spark: SparkSession, root: str, days: DataFrame | None = None, in_tasks: bool = False) -> DataFrame:
     """All raw bodies with their partition columns, as text. A filter on source,
     stream, date or hour prunes directories before any file is opened. With ``days``, a stored table
-    of stream-days, only their directories are listed."""
+    of stream-days, only their directories are listed. A job over the whole area takes ``in_tasks``:
+    files are then listed and opened by tasks, and the driver learns of none; no filter prunes them."""
+    if in_tasks:
+        opened = listed(spark, f"{root}/raw", ".pb").repartition(_tasks(spark), "path").mapInArrow(_read_files, OPENED)
+        path = F.col("path")
+        parts = [_unescaped(F.regexp_extract(path, pattern, 1)).alias(name) for name, pattern in _PARTS]
+        return opened.select(*parts, relative_path(path).alias("raw_path"), F.col("length").alias("body_bytes"), F.col("content").alias("body"))
     reader, raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb"), f"{root}/raw"
     paths = None if days is None else in_hand(spark, raw, days, {"source": "source_id", "stream": "stream_id", "date": "archive_date"})
     if paths == []:
@@ -58,6 +71,87 @@ def scan_bodies(spark: SparkSession, root: str, days: DataFrame | None = None) -
         F.col("length").alias("body_bytes"), F.col("content").alias("body"))
 
 
+OPENED = T.StructType([T.StructField("path", T.StringType()), T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
+
+def _tasks(spark: SparkSession) -> int:
+    return 4 * spark.sparkContext.defaultParallelism
+
+
+# Names passed on in one batch.
+LISTED_AT_ONCE = 10_000
+ENTRIES = T.StructType([T.StructField("path", T.StringType()), T.StructField("is_file", T.BooleanType())])
+
+
+def _lister(suffix: str, deep: bool, top: bool = False):
+    """The function given to mapInArrow: directories to what lies in them, one level or all files below.
+
+    Hidden and empty files are passed over, as Spark's own scans do. The top must be there.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path, is_file in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if is_file:
+                    rows.append((path, True))
+                    continue
+                store, base = located(path)
+                waiting = [base]
+                while waiting:
+                    for info in store.get_file_info(fs.FileSelector(waiting.pop(), allow_not_found=not top)):
+                        if info.base_name.startswith((".", "_")):
+                            continue
+                        if info.type != fs.FileType.Directory:
+                            if info.size and info.path.endswith(suffix):
+                                rows.append((path + info.path[len(base):], True))
+                        elif deep:
+                            waiting.append(info.path)
+                        else:
+                            rows.append((path + info.path[len(base):], False))
+                    while len(rows) >= LISTED_AT_ONCE:
+                        yield _entries(rows[:LISTED_AT_ONCE])
+                        rows = rows[LISTED_AT_ONCE:]
+            if rows:
+                yield _entries(rows)
+    return run
+
+
+def _entries(rows: list[tuple[str, bool]]) -> pa.RecordBatch:
+    paths, files = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(files, pa.bool_())], names=ENTRIES.names)
+
+
+def listed(spark: SparkSession, raw: str, suffix: str) -> DataFrame:
+    """Paths (``path``) of the files below the landing area, found by tasks: level by level down to the days, and what
+    lies below a day, or beside its way, with it. Nothing passes through the driver."""
+    found = spark.range(1, numPartitions=1).select(F.lit(qualified(spark, raw)).alias("path"), F.lit(False).alias("is_file"))
+    for level in range(3):
+        found = found.mapInArrow(_lister(suffix, False, top=level == 0), ENTRIES).repartition(_tasks(spark), "path")
+    return found.mapInArrow(_lister(suffix, True), ENTRIES).select("path")
+
+
+def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passed(rows):
+        paths, contents = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(map(len, contents), pa.int64()), pa.array(contents, pa.binary())],
+                                          names=OPENED.names)
+
+    for batch in batches:
+        held, size = [], 0
+        for path in batch.column("path").to_pylist():
+            store, place = located(path)
+            with store.open_input_stream(place, compression=None) as stream:
+                held.append((path, stream.read()))
+            size += len(held[-1][1])
+            if size >= OPENED_BYTES:
+                yield passed(held)
+                held, size = [], 0
+        if held:
+            yield passed(held)
+
+
 def empty_bodies(sidecars: DataFrame) -> DataFrame:
     """The empty bodies, from their documents: Spark's file scans pass over files of
     zero bytes, so these come from the captures that recorded no byte. Works on a
@@ -68,17 +162,32 @@ def empty_bodies(sidecars: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("body_bytes"), F.lit(b"").alias("body"))
 
 
-def list_bodies(spark: SparkSession, root: str) -> DataFrame:
-    """Paths and sizes only; the content column is pruned, so no body is read."""
+def list_bodies(spark: SparkSession, root: str, in_tasks: bool = False) -> DataFrame:
+    """Paths and sizes only; the content column is pruned, so no body is read. ``in_tasks``, see
+    :func:`scan_bodies`, gives paths alone."""
+    if in_tasks:
+        return listed(spark, f"{root}/raw", ".pb").select(relative_path(F.col("path")).alias("raw_path"))
     return scan_bodies(spark, root).drop("body")
 
 
-def scan_sidecars(spark: SparkSession, root: str) -> DataFrame:
+def scan_sidecars(spark: SparkSession, root: str, in_tasks: bool = False) -> DataFrame:
     """Capture documents, one JSON file each, with the path they were found at.
 
-    A document that cannot be read keeps its row with ``corrupt`` set.
+    A document that cannot be read keeps its row with ``corrupt`` set. ``in_tasks``: see :func:`scan_bodies`.
     """
     schema = T.StructType([*CAPTURE.fields, T.StructField("_corrupt_record", T.StringType())])
+    if in_tasks:
+        opened = listed(spark, f"{root}/raw", ".json").repartition(_tasks(spark), "path").mapInArrow(_read_files, OPENED)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+        text = F.col("content").cast("string")
+        # a document holding a list gives a row for each entry, as Spark's reader does
+        several = F.from_json(F.when(F.ltrim(text).startswith("["), text), T.ArrayType(CAPTURE), {"mode": "PERMISSIVE"})
+        one = F.from_json(text, schema, options)
+        rows = F.coalesce(F.transform(several, lambda c: F.struct(*[c[n].alias(n) for n in CAPTURE.names], F.lit(None).cast("string").alias("_corrupt_record"))),
+                          F.array(one))
+        found = opened.select("path", F.explode(rows).alias("c"))
+        return found.select(*[F.col("c")[n].alias(n) for n in CAPTURE.names], relative_path(F.col("path")).alias("found_path"),
+                            (F.col("c._corrupt_record").isNotNull() | F.col("c.capture_id").isNull()).alias("corrupt"))
     documents = (
         spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")

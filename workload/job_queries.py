@@ -95,8 +95,8 @@ def reconcile_landing(b: Bindings):
         "format_version": F.when(number % 6 == 2, 9).otherwise(1)})
     root = scratch_dir(b.spark, "landing")
     write_landing(broken, root)
-    bodies = _hashed(B.scan_bodies(b.spark, root))
-    checked = reconcile.check_sidecars(B.scan_sidecars(b.spark, root), bodies, pages.filter("page_id % 4 <> 1"))
+    bodies = _hashed(B.scan_bodies(b.spark, root, in_tasks=True))
+    checked = reconcile.check_sidecars(B.scan_sidecars(b.spark, root, in_tasks=True), bodies, pages.filter("page_id % 4 <> 1"))
     ticks = reconcile.ticks_of(reconcile.new_captures(checked)).select("tick_id", F.col("result").alias("tick"))
     return checked.join(ticks, "tick_id", "left").select("capture_id", "status", "tick")
 
@@ -335,10 +335,10 @@ def reconcile_counters(b: Bindings):
     pages = b.landing()
     write_landing(pages, root)
     kept = pages.filter("page_id % 4 <> 1")
-    bodies = B.scan_bodies(b.spark, root)
-    sidecars = B.scan_sidecars(b.spark, root)
+    bodies = B.scan_bodies(b.spark, root, in_tasks=True)
+    sidecars = B.scan_sidecars(b.spark, root, in_tasks=True)
     checked = reconcile.check_sidecars(sidecars, _hashed(bodies), kept)
-    classified = reconcile.classify_files(bodies, sidecars, kept)
+    classified = reconcile.classify_files(B.list_bodies(b.spark, root, in_tasks=True), sidecars, kept)
     nothing = result.compactions.filter("false")
     found = verify.verify_revisions(result.manifests, nothing, result.inputs, result.files, R.scan_parts(b.spark, root))
     adopted = reconcile.adoptable(result.manifests, nothing, result.inputs, captures, found)
