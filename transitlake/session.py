@@ -23,8 +23,8 @@ SESSION_CONF = {
     "spark.sql.files.openCostInBytes": str(1 << 20),
     # partition values stay text: hour 09 must not become 9, nor a source 007 become 7
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # directories are listed by a few tasks with many each: a task for every directory costs more than its listing
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
+    # a stream's log of files seen is rewritten whole every so many batches: less often than Spark's ten
+    "spark.sql.streaming.fileSource.log.compactInterval": "100",
     # no stack trace per column expression: plans here have thousands of them
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -32,6 +32,9 @@ SESSION_CONF = {
 # What adaptive execution gives to one task at most of a shuffle. The rows take ten times these bytes in the task's
 # sorts. A session that asks for less keeps it.
 _ADVISORY, ADVISORY_MB = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 32
+# Directories, and the files of a stream's batch, are listed by a few tasks with many each: a task for every one of them
+# costs more than its listing.
+_LISTING, LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 64
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -41,6 +44,7 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     if (spark.conf.get(_ADVISORY, None) or "64MB").upper().rstrip("B") in ("64M", "67108864"):  # Spark's own value
         spark.conf.set(_ADVISORY, f"{ADVISORY_MB}m")
+    spark.conf.set(_LISTING, str(min(LISTING_TASKS, 2 * spark.sparkContext.defaultParallelism)))
     return spark
 
 

@@ -12,6 +12,7 @@ from transitlake.schemas import ENTITY_KIND_MESSAGE
 
 BRONZE = ("source", "stream", "date", "hour", "raw_path", "body", "body_bytes", "body_sha256", "parse_status",
           "parse_error", "feed_version", "incrementality", "feed_timestamp", "entity_count")
+PARTITIONS = ("source", "stream", "date")
 
 
 def decode_arrivals(bodies: DataFrame) -> DataFrame:
@@ -31,9 +32,14 @@ def decode_arrivals(bodies: DataFrame) -> DataFrame:
 
 
 def start_bronze(bodies: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Decode arrivals into the table at ``path``; bodies of one day that arrive in one batch share a file.
+
+    Opening a file costs more than a small body does, and every file has an entry in the table's log.
+    """
+    tasks = 2 * bodies.sparkSession.sparkContext.defaultParallelism
     return (
-        decode_arrivals(bodies).writeStream.format("parquet").outputMode("append")
-        .partitionBy("source", "stream", "date")
+        decode_arrivals(bodies).repartition(tasks, *PARTITIONS).writeStream.format("parquet").outputMode("append")
+        .partitionBy(*PARTITIONS)
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
