@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from tests import lake
 from tests.feeds import MALFORMED, body, feed
+from transitlake.functions.bodies import body_sha256
+from transitlake.plans import reconcile
 from transitlake.sources import bodies as B
+from transitlake.sources.ledger import Ledger
 from workload.landing_files import write_landing
 
 
@@ -36,3 +39,23 @@ def test_the_same_rows_and_no_file_known_to_the_driver(spark, tmp_path):
     assert rows(B.list_bodies(spark, root, in_tasks=True)) == rows(B.list_bodies(spark, root).select("raw_path"))
     with pytest.raises(PythonException):
         B.scan_bodies(spark, f"{root}/nowhere", in_tasks=True).count()
+
+
+def test_a_listing_beyond_the_threshold_is_not_broadcast(spark, tmp_path):
+    root, key = str(tmp_path), "spark.sql.autoBroadcastJoinThreshold"
+    write_landing(lake.captures_with_bodies(spark, [body(feed(timestamp=n + 1)) for n in range(30)]), root)
+    known = Ledger(spark, root).create().current("captures")
+
+    def checked(in_tasks):
+        hashed = B.scan_bodies(spark, root, in_tasks=in_tasks).withColumn("found_sha256", body_sha256(F.col("body"))).drop("body")
+        return reconcile.check_sidecars(B.scan_sidecars(spark, root, in_tasks=in_tasks), hashed, known).select("capture_id", "status")
+
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1k")  # thirty paths with their hashes take more
+    try:
+        found = checked(True)
+        assert rows(found) == rows(checked(False)) and found.filter("status = 'new'").count() == 30
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "SortMergeJoin [_body_path" in plan and "BroadcastHashJoin [_body_path" not in plan

@@ -60,7 +60,7 @@ def scan_bodies(spark: SparkSession, root: str, days: DataFrame | None = None, i
         opened = listed(spark, f"{root}/raw", ".pb").repartition(_tasks(spark), "path").mapInArrow(_read_files, OPENED)
         path = F.col("path")
         parts = [_unescaped(F.regexp_extract(path, pattern, 1)).alias(name) for name, pattern in _PARTS]
-        return opened.select(*parts, relative_path(path).alias("raw_path"), F.col("length").alias("body_bytes"), F.col("content").alias("body"))
+        return _of_any_size(opened.select(*parts, relative_path(path).alias("raw_path"), F.col("length").alias("body_bytes"), F.col("content").alias("body")))
     reader, raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.pb"), f"{root}/raw"
     paths = None if days is None else in_hand(spark, raw, days, {"source": "source_id", "stream": "stream_id", "date": "archive_date"})
     if paths == []:
@@ -132,6 +132,12 @@ def listed(spark: SparkSession, raw: str, suffix: str) -> DataFrame:
     return found.mapInArrow(_lister(suffix, True), ENTRIES).select("path")
 
 
+def _of_any_size(listing: DataFrame) -> DataFrame:
+    """Joins of a listing are sort-merge joins. The optimizer takes it to be as small as the one row it starts from, so it
+    would broadcast any number of files through the driver, and adaptive execution does not take a broadcast back."""
+    return listing.hint("merge")
+
+
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def passed(rows):
         paths, contents = zip(*rows, strict=True)
@@ -166,7 +172,7 @@ def list_bodies(spark: SparkSession, root: str, in_tasks: bool = False) -> DataF
     """Paths and sizes only; the content column is pruned, so no body is read. ``in_tasks``, see
     :func:`scan_bodies`, gives paths alone."""
     if in_tasks:
-        return listed(spark, f"{root}/raw", ".pb").select(relative_path(F.col("path")).alias("raw_path"))
+        return _of_any_size(listed(spark, f"{root}/raw", ".pb").select(relative_path(F.col("path")).alias("raw_path")))
     return scan_bodies(spark, root).drop("body")
 
 
@@ -186,8 +192,9 @@ def scan_sidecars(spark: SparkSession, root: str, in_tasks: bool = False) -> Dat
         rows = F.coalesce(F.transform(several, lambda c: F.struct(*[c[n].alias(n) for n in CAPTURE.names], F.lit(None).cast("string").alias("_corrupt_record"))),
                           F.array(one))
         found = opened.select("path", F.explode(rows).alias("c"))
-        return found.select(*[F.col("c")[n].alias(n) for n in CAPTURE.names], relative_path(F.col("path")).alias("found_path"),
-                            (F.col("c._corrupt_record").isNotNull() | F.col("c.capture_id").isNull()).alias("corrupt"))
+        return _of_any_size(found.select(
+            *[F.col("c")[n].alias(n) for n in CAPTURE.names], relative_path(F.col("path")).alias("found_path"),
+            (F.col("c._corrupt_record").isNotNull() | F.col("c.capture_id").isNull()).alias("corrupt")))
     documents = (
         spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
