@@ -50,6 +50,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# How streams write their logs. Spark's own way goes through Hadoop's FileContext, which on a local disk starts a process
+# (chmod, readlink) several times for each file, and a batch writes four. Through FileSystem it starts one or none; temporary files and
+# renames are the same, and a file that is there is not overwritten.
+_LOGS, FILE_SYSTEM_LOGS = "spark.sql.streaming.checkpointFileManagerClass", \
+    "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+
+
+def light_logs(spark: SparkSession, checkpoint: str) -> None:
+    """Streams started next write their logs without processes of their own, if ``checkpoint`` is on a local disk."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None and qualified(spark, checkpoint).startswith("file:") and spark.conf.get(_LOGS, None) is None \
+            and jvm.org.apache.spark.util.Utils.classIsLoadable(FILE_SYSTEM_LOGS):
+        spark.conf.set(_LOGS, FILE_SYSTEM_LOGS)
+    elif spark.conf.get(_LOGS, None) == FILE_SYSTEM_LOGS and not qualified(spark, checkpoint).startswith("file:"):
+        spark.conf.unset(_LOGS)
+
+
 @contextmanager
 def split_bytes(spark: SparkSession, size: int) -> Iterator[None]:
     """Within this block tasks read at most about ``size`` bytes of stored files, where Spark's 128 MB would be more."""

@@ -11,16 +11,9 @@ from pyspark.sql import types as T
 
 from transitlake.schemas import CAPTURE
 from transitlake.session import located, qualified
+from transitlake.sources.arrivals import stream_names
 from transitlake.sources.directories import in_hand
 
-BODY_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
 BODIES = T.StructType([*[T.StructField(n, T.StringType()) for n in ("source", "stream", "date", "hour", "raw_path")],
                        T.StructField("body_bytes", T.LongType()), T.StructField("body", T.BinaryType())])
 _SOURCE, _STREAM, _DATE, _HOUR = r"/source=([^/]+)/", r"/stream=([^/]+)/", r"/date=([^/]+)/", r"/hour=([^/]+)/"
@@ -138,7 +131,8 @@ def _of_any_size(listing: DataFrame) -> DataFrame:
     return listing.hint("merge")
 
 
-def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_files(batches: Iterator[pa.RecordBatch], arrived: bool = False) -> Iterator[pa.RecordBatch]:
+    """``arrived``: the names come from the log of arrivals, so a file may have been deleted since, and is passed over."""
     def passed(rows):
         paths, contents = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(map(len, contents), pa.int64()), pa.array(contents, pa.binary())],
@@ -148,8 +142,13 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for path in batch.column("path").to_pylist():
             store, place = located(path)
-            with store.open_input_stream(place, compression=None) as stream:
-                held.append((path, stream.read()))
+            try:
+                with store.open_input_stream(place, compression=None) as stream:
+                    held.append((path, stream.read()))
+            except FileNotFoundError:
+                if not arrived:
+                    raise
+                continue
             size += len(held[-1][1])
             if size >= OPENED_BYTES:
                 yield passed(held)
@@ -158,6 +157,10 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield passed(held)
 
 
+def _read_arrived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _read_files(batches, arrived=True)
+
+
 def empty_bodies(sidecars: DataFrame) -> DataFrame:
     """The empty bodies, from their documents: Spark's file scans pass over files of
     zero bytes, so these come from the captures that recorded no byte. Works on a
@@ -176,27 +179,32 @@ def list_bodies(spark: SparkSession, root: str, in_tasks: bool = False) -> DataF
     return scan_bodies(spark, root).drop("body")
 
 
+DOCUMENT = T.StructType([*CAPTURE.fields, T.StructField("_corrupt_record", T.StringType())])
+
+
+def _parsed(opened: DataFrame) -> DataFrame:
+    """Opened documents as rows: ``path`` and the struct ``c``, all of NULL where a document cannot be read."""
+    text = F.col("content").cast("string")
+    # a document holding a list gives a row for each entry, as Spark's reader does
+    several = F.from_json(F.when(F.ltrim(text).startswith("["), text), T.ArrayType(CAPTURE), {"mode": "PERMISSIVE"})
+    one = F.from_json(text, DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = F.coalesce(F.transform(several, lambda c: F.struct(*[c[n].alias(n) for n in CAPTURE.names], F.lit(None).cast("string").alias("_corrupt_record"))),
+                      F.array(one))
+    return opened.select("path", F.explode(rows).alias("c"))
+
+
 def scan_sidecars(spark: SparkSession, root: str, in_tasks: bool = False) -> DataFrame:
     """Capture documents, one JSON file each, with the path they were found at.
 
     A document that cannot be read keeps its row with ``corrupt`` set. ``in_tasks``: see :func:`scan_bodies`.
     """
-    schema = T.StructType([*CAPTURE.fields, T.StructField("_corrupt_record", T.StringType())])
     if in_tasks:
         opened = listed(spark, f"{root}/raw", ".json").repartition(_tasks(spark), "path").mapInArrow(_read_files, OPENED)
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-        text = F.col("content").cast("string")
-        # a document holding a list gives a row for each entry, as Spark's reader does
-        several = F.from_json(F.when(F.ltrim(text).startswith("["), text), T.ArrayType(CAPTURE), {"mode": "PERMISSIVE"})
-        one = F.from_json(text, schema, options)
-        rows = F.coalesce(F.transform(several, lambda c: F.struct(*[c[n].alias(n) for n in CAPTURE.names], F.lit(None).cast("string").alias("_corrupt_record"))),
-                          F.array(one))
-        found = opened.select("path", F.explode(rows).alias("c"))
-        return _of_any_size(found.select(
+        return _of_any_size(_parsed(opened).select(
             *[F.col("c")[n].alias(n) for n in CAPTURE.names], relative_path(F.col("path")).alias("found_path"),
             (F.col("c._corrupt_record").isNotNull() | F.col("c.capture_id").isNull()).alias("corrupt")))
     documents = (
-        spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE")
+        spark.read.schema(DOCUMENT).option("multiLine", "true").option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(f"{root}/raw")
     )
@@ -208,22 +216,14 @@ def scan_sidecars(spark: SparkSession, root: str, in_tasks: bool = False) -> Dat
 
 
 def stream_bodies(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
-    """Bodies as they arrive."""
-    files = (
-        spark.readStream.format("binaryFile").schema(BODY_FILE)
-        .option("pathGlobFilter", "*.pb").option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files).load(f"{root}/raw")
-    )
-    return _with_partitions(files)
+    """Bodies as they arrive, each once, by the log of arrivals: see :mod:`transitlake.sources.arrivals`."""
+    return _with_partitions(stream_names(spark, root, ".pb", max_files).mapInArrow(_read_arrived, OPENED))
 
 
 def stream_sidecars(spark: SparkSession, root: str, max_files: int = 10_000) -> DataFrame:
-    documents = (
-        spark.readStream.schema(CAPTURE).option("multiLine", "true")
-        .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files).json(f"{root}/raw")
-    )
-    return documents
+    """Capture documents as they arrive, likewise."""
+    opened = stream_names(spark, root, ".json", max_files).mapInArrow(_read_arrived, OPENED)
+    return _parsed(opened).select(*[F.col("c")[n].alias(n) for n in CAPTURE.names])
 
 
 # Bodies opened before a batch of them is passed on.

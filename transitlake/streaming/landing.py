@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from transitlake.functions.bodies import body_sha256
 from transitlake.operators.decode import decode_bodies, header_metadata
 from transitlake.schemas import ENTITY_KIND_MESSAGE
+from transitlake.session import light_logs
 
 BRONZE = ("source", "stream", "date", "hour", "raw_path", "body", "body_bytes", "body_sha256", "parse_status",
           "parse_error", "feed_version", "incrementality", "feed_timestamp", "entity_count")
@@ -32,13 +33,16 @@ def decode_arrivals(bodies: DataFrame) -> DataFrame:
 
 
 def start_bronze(bodies: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Decode arrivals into the table at ``path``; bodies of one day that arrive in one batch share a file.
+    """Decode arrivals into the table at ``path``; bodies of one day that arrive in one batch share a file, unless they are
+    more than a task should have.
 
-    Opening a file costs more than a small body does, and every file has an entry in the table's log.
+    Opening a file costs more than a small body does, and every file has an entry in the table's log. A small batch is written by one task:
+    starting more takes longer than the writing.
     """
+    light_logs(bodies.sparkSession, checkpoint)
     tasks = 2 * bodies.sparkSession.sparkContext.defaultParallelism
     return (
-        decode_arrivals(bodies).repartition(tasks, *PARTITIONS).writeStream.format("parquet").outputMode("append")
+        decode_arrivals(bodies).hint("rebalance", tasks, *map(F.col, PARTITIONS)).writeStream.format("parquet").outputMode("append")
         .partitionBy(*PARTITIONS)
         .option("path", path).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
