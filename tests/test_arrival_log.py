@@ -6,6 +6,7 @@ import pytest
 
 from tests import lake
 from tests.feeds import body, feed
+from transitlake.sources import arrivals
 from transitlake.sources import bodies as B
 from transitlake.sources.arrivals import ArrivalLog
 from transitlake.streaming import landing
@@ -71,20 +72,17 @@ def test_a_file_deleted_since_is_passed_over(spark, tmp_path):
     assert spark.read.parquet(f"{root}/bronze").count() == 2
 
 
-def test_a_stream_that_goes_on_sees_later_files(spark, tmp_path):
+def test_a_stream_that_goes_on_sees_later_files(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
+    monkeypatch.setattr(arrivals, "LOOK_S", 1.0)
+    monkeypatch.setattr(arrivals, "_FOLLOWED", {})
     land(spark, root, 2)
-    key = "spark.sql.streaming.noDataProgressEventInterval"
-    spark.conf.set(key, "500")
-    try:
-        query = B.stream_bodies(spark, root).writeStream.format("parquet").option("path", f"{root}/out") \
-            .option("checkpointLocation", f"{root}/cp").trigger(processingTime="200 milliseconds").start()
-        query.processAllAvailable()
-        land(spark, root, 2, "more")
-        until = time.monotonic() + 60
-        while spark.read.parquet(f"{root}/out").count() < 4 and time.monotonic() < until:
-            time.sleep(1)
-        query.stop()
-    finally:
-        spark.conf.unset(key)
+    query = B.stream_bodies(spark, root).writeStream.format("parquet").option("path", f"{root}/out") \
+        .option("checkpointLocation", f"{root}/cp").trigger(processingTime="200 milliseconds").start()
+    query.processAllAvailable()
+    land(spark, root, 2, "more")
+    until = time.monotonic() + 60
+    while spark.read.parquet(f"{root}/out").count() < 4 and time.monotonic() < until:
+        time.sleep(1)
+    query.stop()
     assert spark.read.parquet(f"{root}/out").select("raw_path").distinct().count() == 4 == spark.read.parquet(f"{root}/out").count()

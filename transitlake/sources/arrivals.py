@@ -13,13 +13,14 @@ parts, so the driver knows of parts alone. A log lies in ``arrivals/<kind>`` bel
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
+import warnings
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
 
 from transitlake.session import qualified
 
@@ -117,31 +118,37 @@ class ArrivalLog:
             time.sleep(0.05)
 
 
-class _Follower(StreamingQueryListener):
-    """Lists the landing area again whenever a stream of its log has nothing left to read, for streams that go on."""
+# Seconds between two looks for streams with nothing left to read.
+LOOK_S = 10.0
+_FOLLOWED: dict[SparkSession, dict[str, ArrivalLog]] = {}
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.logs = spark, {}
 
-    def onQueryStarted(self, event) -> None:
-        pass
+def _follow(log: ArrivalLog) -> None:
+    """From now on the area is listed again whenever a running stream has read all of the log, for streams that go on."""
+    begun = log.spark in _FOLLOWED
+    logs = _FOLLOWED.setdefault(log.spark, {})
+    logs[log.names] = log
+    if not begun:
+        threading.Thread(target=_look, args=(log.spark, logs), daemon=True).start()
 
-    def onQueryProgress(self, event) -> None:
-        pass
 
-    def onQueryIdle(self, event) -> None:
-        query = self.spark.streams.get(str(event.id))
-        last = query and query.lastProgress
-        read = " ".join(s.description for s in last.sources) if last else None
-        for log in list(self.logs.values()):
-            if read is None or log.names in read:  # a stream without any batch yet does not say what it reads
-                log.note()
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-
-_FOLLOWERS: dict[SparkSession, _Follower] = {}
+def _look(spark: SparkSession, logs: dict[str, ArrivalLog]) -> None:
+    while True:
+        time.sleep(LOOK_S)
+        if spark.sparkContext._jsc is None:  # stopped
+            _FOLLOWED.pop(spark, None)
+            return
+        try:
+            for query in spark.streams.active:
+                status, last = query.status, query.lastProgress
+                if not status["isDataAvailable"] and not status["isTriggerActive"]:
+                    read = " ".join(s["description"] for s in last["sources"]) if last else None
+                    for log in list(logs.values()):
+                        if read is None or log.names in read:  # a stream without any batch yet does not say what it reads
+                            log.note()
+        except Exception as error:
+            if spark.sparkContext._jsc is not None:
+                warnings.warn(f"arrivals were not listed: {error}", stacklevel=1)
 
 
 def stream_names(spark: SparkSession, root: str, suffix: str, max_files: int) -> DataFrame:
@@ -149,8 +156,5 @@ def stream_names(spark: SparkSession, root: str, suffix: str, max_files: int) ->
     log = ArrivalLog(spark, root, suffix, max_files)
     names = log.stream(max_files)
     log.note()
-    if spark not in _FOLLOWERS:
-        _FOLLOWERS[spark] = _Follower(spark)
-        spark.streams.addListener(_FOLLOWERS[spark])
-    _FOLLOWERS[spark].logs[log.names] = log
+    _follow(log)
     return names
