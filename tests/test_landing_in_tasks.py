@@ -10,8 +10,11 @@ from transitlake.functions.bodies import body_sha256
 from transitlake.plans import reconcile
 from transitlake.sources import bodies as B
 from transitlake.sources.ledger import Ledger
+from workload.catalog import QUERIES
 from workload.landing_files import write_landing
 
+WHOLE = {"scan_bodies": ["scan_bodies"]}
+
 
 def rows(frame):
     return sorted(map(repr, frame.collect()))
@@ -59,3 +62,15 @@ def test_a_listing_beyond_the_threshold_is_not_broadcast(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert "SortMergeJoin [_body_path" in plan and "BroadcastHashJoin [_body_path" not in plan
+
+
+def test_queries_over_the_whole_area_open_no_file_on_the_driver(spark, monkeypatch):
+    """Their scans are those of tasks: the plans name no file."""
+    found = {}
+    for name in ("scan_bodies", "scan_sidecars", "list_bodies"):
+        scan = getattr(B, name)
+        monkeypatch.setattr(B, name, lambda *args, name=name, scan=scan, **kw: found.setdefault(name, scan(*args, **kw)))
+    for query, scans in WHOLE.items():
+        found.clear()
+        assert QUERIES[query](spark, "/root/testdata/sf0.001").count() > 0
+        assert set(scans) <= set(found) and all(frame.inputFiles() == [] for frame in found.values())

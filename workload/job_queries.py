@@ -30,7 +30,7 @@ def landed(b: Bindings) -> str:
 SELECT source_id AS source, 'pages' AS stream, strftime(local_ts, '%Y-%m-%d') AS date, strftime(local_ts, '%H') AS hour,
   stem || '.pb' AS raw_path, body_bytes, body_sha256 FROM landing_v""")
 def scan_bodies(b: Bindings):
-    return B.scan_bodies(b.spark, landed(b)).withColumn("body_sha256", body_sha256(F.col("body"))).drop("body")
+    return B.scan_bodies(b.spark, landed(b), in_tasks=True).withColumn("body_sha256", body_sha256(F.col("body"))).drop("body")
 
 
 @query("scan_sidecars", f"""
