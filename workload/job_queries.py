@@ -69,8 +69,8 @@ def classify_files(b: Bindings):
     root = scratch_dir(b.spark, "landing")
     write_landing(pages, root)
     number = F.regexp_extract("raw_path", r"/p([0-9]+)_", 1).cast("bigint")
-    listing = B.list_bodies(b.spark, root).filter(number % 5 != 0)
-    sidecars = B.scan_sidecars(b.spark, root).filter(
+    listing = B.list_bodies(b.spark, root, in_tasks=True).filter(number % 5 != 0)
+    sidecars = B.scan_sidecars(b.spark, root, in_tasks=True).filter(
         F.regexp_extract("found_path", r"/p([0-9]+)_", 1).cast("bigint") % 7 != 0)
     return reconcile.classify_files(listing, sidecars, pages.filter("page_id % 4 <> 1")).select("stem", "status")
 
