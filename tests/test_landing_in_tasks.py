@@ -13,7 +13,7 @@ from transitlake.sources.ledger import Ledger
 from workload.catalog import QUERIES
 from workload.landing_files import write_landing
 
-WHOLE = {"scan_bodies": ["scan_bodies"], "classify_files": ["list_bodies", "scan_sidecars"]}
+WHOLE = {"scan_bodies": ["scan_bodies"], "classify_files": ["list_bodies", "scan_sidecars"], "retention_deleted": ["list_bodies", "scan_sidecars"]}
 
 
 def rows(frame):

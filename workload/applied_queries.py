@@ -161,8 +161,8 @@ def retention_deleted(b: Bindings):
     document = F.col("path").endswith(".json")
     gone = done.join(owners, "owner").join(after, "owner").groupBy("source_id", "outcome").agg(
         F.count(F.lit(1)).alias("files"), F.count_if(F.col("is_marked") & document).alias("marked"))
-    left = B.list_bodies(b.spark, root).select(F.col("source").alias("source_id")).unionByName(
-        B.scan_sidecars(b.spark, root).select("source_id"))
+    left = B.list_bodies(b.spark, root, in_tasks=True).select(F.regexp_extract("raw_path", "source=([^/]+)/", 1).alias("source_id")).unionByName(
+        B.scan_sidecars(b.spark, root, in_tasks=True).select("source_id"))
     return gone.unionByName(left.groupBy("source_id").agg(
         F.lit("left").alias("outcome"), F.count(F.lit(1)).alias("files"), F.lit(0).cast("bigint").alias("marked")))
 
