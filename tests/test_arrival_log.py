@@ -23,13 +23,13 @@ def noted(log):
 
 def test_a_stream_keeps_no_name_of_a_file(spark, tmp_path):
     root = str(tmp_path)
-    land(spark, root, 30)
+    land(spark, root, 60)
     bodies = B.stream_bodies(spark, root, max_files=100)
     landing.start_bronze(bodies, f"{root}/bronze", f"{root}/cp").awaitTermination()
-    assert spark.read.parquet(f"{root}/bronze").select("raw_path").distinct().count() == 30
+    assert spark.read.parquet(f"{root}/bronze").select("raw_path").distinct().count() == 60
     kept = [line for p in tmp_path.glob("cp/sources/*/[!.]*") for line in p.read_text().splitlines() if "path" in line]
     assert 1 <= len(kept) <= 4 and not any(".pb" in line for line in kept)
-    assert [len(p.read_text().splitlines()) for p in sorted(tmp_path.glob("arrivals/pb/names/*/[!.]*.json"))] in ([25, 5], [5, 25])
+    assert [len(p.read_text().splitlines()) for p in sorted(tmp_path.glob("arrivals/pb/names/*/[!.]*.json"))] in ([50, 10], [10, 50])
     assert spark.conf.get("spark.sql.streaming.checkpointFileManagerClass").endswith("FileSystemBasedCheckpointFileManager")
 
 

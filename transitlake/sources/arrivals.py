@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from transitlake.session import qualified
 
-# Names in a part at most: a batch of a hundred files is still opened by four tasks.
-NAMES = 25
+# Names in a part at most: fewer make more files of the log, at 20 ms each here, and more leave fewer tasks to open a small batch.
+NAMES = 50
 NAME = "path string"
 # A file that is made exclusively has its text an instant later. One that has none after this was never finished.
 TEXT_S = 10.0
